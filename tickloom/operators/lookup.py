@@ -1,0 +1,32 @@
+"""Equi joins against a dimension whose size is checked before it is broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def lookup_join(
+    facts: DataFrame,
+    dim: DataFrame,
+    key: str,
+    spread_by: Column,
+    how: str = "inner",
+    broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = 64,
+) -> DataFrame:
+    """Join ``facts`` to ``dim`` on ``key``, ``key`` being unique in ``dim``.
+
+    A dimension of at most ``broadcast_rows`` rows is broadcast; the count stops one row past that bound. A larger one
+    is joined by shuffle with each of its rows repeated once per salt, and facts take the salt of ``spread_by`` (a
+    column that differs between rows of one key, such as the trade id). A key with a third of all facts then fills
+    ``salts`` partitions and not one, and a retried task draws the same salt again.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be inner or left: other joins would see the repeated dimension rows")
+    if dim.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return facts.join(F.broadcast(dim), key, how)
+    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")

@@ -7,6 +7,15 @@ from pyspark.sql import Column, functions as F
 from tickloom.schemas import TOPIC_PREFIX
 
 
+def once(value: Column) -> Column:
+    """A column for ``select`` that is computed exactly once per row.
+
+    The optimizer copies an expression into every filter and projection above that mentions it, which would parse a
+    JSON text several times. It does not reach through a generator, and a one-element array gives one row for each.
+    """
+    return F.explode(F.array(value))
+
+
 def event_time_from_millis(ms: Column) -> Column:
     """Epoch milliseconds to an instant, milliseconds kept and no detour through a zoned string."""
     return F.timestamp_millis(ms)

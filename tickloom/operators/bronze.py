@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from tickloom.functions.scalar import event_time_from_millis
+from tickloom.functions.scalar import event_time_from_millis, once
 from tickloom.schemas import BRONZE, TRADE_FIELDS, TRADE_MESSAGE
 
 CORRUPT = "_corrupt_record"
@@ -20,7 +20,7 @@ def parse_envelope(envelope: DataFrame) -> DataFrame:
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_timestamp"),
         payload.alias("raw_payload"),
-        F.from_json(payload, _PARSE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT}).alias("t"),
+        once(F.from_json(payload, _PARSE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT})).alias("t"),
     )
 
 
@@ -83,5 +83,5 @@ def quarantine_rows(parsed: DataFrame) -> DataFrame:
 
 def reparse_payloads(raw: DataFrame) -> DataFrame:
     """Unified messages out of kept payload text, for replay after a schema change."""
-    parsed = raw.select(F.from_json("raw_payload", TRADE_MESSAGE).alias("t")).select("t.*")
+    parsed = raw.select(once(F.from_json("raw_payload", TRADE_MESSAGE)).alias("t")).select("t.*")
     return parsed.where(F.col("trade_id").isNotNull())

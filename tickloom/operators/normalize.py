@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.functions.scalar import millis_from_rfc3339, prefixed_trade_id, snapshot_hour, to_double, to_long
+from tickloom.functions.scalar import millis_from_rfc3339, once, prefixed_trade_id, snapshot_hour, to_double, to_long
 from tickloom.operators.lookup import lookup_join
 from tickloom.schemas import (
     GLOBAL_METRICS,
@@ -41,7 +41,7 @@ def normalize_venue_a(messages: DataFrame, payload: str = "payload") -> DataFram
     def field(key: str) -> Column:
         return F.try_element_at("d", F.lit(key))
 
-    parsed = messages.select(F.from_json(payload, VENUE_A_MESSAGE)["data"].alias("d"))
+    parsed = messages.select(once(F.from_json(payload, VENUE_A_MESSAGE)["data"]).alias("d"))
     return parsed.where(field("e") == "trade").select(
         field("s").alias("symbol"),
         to_double(field("p")).alias("price"),
@@ -54,7 +54,7 @@ def normalize_venue_a(messages: DataFrame, payload: str = "payload") -> DataFram
 
 def venue_b_updates(messages: DataFrame, payload: str = "payload") -> DataFrame:
     """Update messages of the trade channel, one row per trade in their arrays."""
-    parsed = messages.select(F.from_json(payload, VENUE_B_MESSAGE).alias("m"))
+    parsed = messages.select(once(F.from_json(payload, VENUE_B_MESSAGE)).alias("m"))
     updates = parsed.where((F.col("m.channel") == "trade") & (F.col("m.type") == "update"))
     return updates.select(F.explode("m.data").alias("d")).select(
         F.col("d.symbol").alias("venue_pair"),
@@ -119,7 +119,7 @@ def market_snapshot_rows(payloads: DataFrame, payload: str = "payload", fetched_
 
 def global_metrics_rows(payloads: DataFrame, payload: str = "payload", fetched_at: str = "fetched_at") -> DataFrame:
     """Global payload (one JSON object) to one row, keyed by the hour of its fetch; a payload without data gives none."""
-    parsed = payloads.select(F.col(fetched_at).alias("at"), F.from_json(payload, GLOBAL_PAYLOAD)["data"].alias("d"))
+    parsed = payloads.select(F.col(fetched_at).alias("at"), once(F.from_json(payload, GLOBAL_PAYLOAD)["data"]).alias("d"))
     rows = parsed.where(F.col("d").isNotNull()).select(
         snapshot_hour(F.col("at")).alias("snapshot_hour"),
         F.try_element_at("d.total_market_cap", F.lit("usd")).alias("total_market_cap_usd"),

@@ -209,7 +209,8 @@ def late_audit(bronze: DataFrame, watermark: str, batch: str = "30 seconds") ->
     A batch is judged by the newest event time of the batches before it, less the allowed delay. This bounds what is
     dropped from above: while batches follow one another without a pause, Spark applies each mark one batch later.
     Rows are first reduced to one per batch, then ordered within their day and shifted by the maximum of the days
-    before, so nothing but one row per day is ever brought into a single order.
+    before, so nothing but one row per day is ever brought into a single order. ``bronze`` is read twice: pass a
+    stored table.
     """
     arrived = bronze.withColumn("batch_start", F.window("kafka_timestamp", batch)["start"])
     per_batch = arrived.groupBy("batch_start").agg(F.max("event_time").alias("newest"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickloom.functions.scalar import topic_of
+from tickloom.functions.scalar import once, topic_of
 from tickloom.schemas import VENUE_A, VENUE_B
 
 EVENT_SYMBOLS = {
@@ -93,7 +93,7 @@ def envelope_of(rows: DataFrame) -> DataFrame:
     delay_micros = F.when(user == LATE_USER, F.lit(3 * 3600 * 1_000_000)).otherwise(F.lit(250_000))
     return rows.select(
         F.col("symbol").cast("binary").alias("key"),
-        value.cast("binary").alias("value"),
+        once(value.cast("binary")).alias("value"),
         topic_of(F.col("symbol")).alias("topic"),
         (user % 6).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
@@ -115,7 +115,7 @@ def venue_a_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("price").cast("string").alias("p"), F.col("quantity").cast("string").alias("q"), ms.alias("T"),
     )
     stream = F.concat(F.lower("symbol"), F.lit("@trade"))
-    return rows.select(F.to_json(F.struct(stream.alias("stream"), data.alias("data"))).alias("payload"))
+    return rows.select(once(F.to_json(F.struct(stream.alias("stream"), data.alias("data")))).alias("payload"))
 
 
 def venue_b_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +142,7 @@ def venue_b_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pack = F.floor(F.col("event_id") / 8)
     messages = rows.groupBy(pack.alias("pack"), kind.alias("type")).agg(F.collect_list(trade).alias("data"))
     message = F.struct(F.lit("trade").alias("channel"), "type", "data")
-    return messages.select(F.to_json(message).alias("payload"))
+    return messages.select(once(F.to_json(message)).alias("payload"))
 
 
 def _hourly(spark: SparkSession, sf_dir: str) -> DataFrame:

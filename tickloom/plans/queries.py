@@ -62,6 +62,11 @@ def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(silver_of(feeds.trades(spark, sf_dir)), "silver")
 
 
+def stored_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trades written as the Bronze table and read back, so that messages are parsed once for several readers."""
+    return materialize(bronze.bronze_rows(bronze.parse_envelope(feeds.envelope(spark, sf_dir))), "bronze")
+
+
 # ---- candles and indicators -------------------------------------------------------------------------------------
 def ohlcv_candles(spark, sf_dir):
     return silver_of(dedupe.dedupe_batch(feeds.trades_with_replays(spark, sf_dir)))
@@ -241,7 +246,7 @@ def roundtrip_overwrite(spark, sf_dir):
 
 def backfill_merge(spark, sf_dir):
     path = scratch_path(spark, "bronze")
-    rows = bronze.bronze_rows(bronze.parse_envelope(feeds.envelope(spark, sf_dir)))
+    rows = stored_bronze(spark, sf_dir)
     live = F.col("event_time") >= UPDATES_FROM
     upsert.backfill(rows.where(live), path, "live")
     for _ in range(2):
@@ -316,8 +321,7 @@ def stream_progress(spark, sf_dir):
 
 
 def late_data_audit(spark, sf_dir):
-    rows = bronze.bronze_rows(bronze.parse_envelope(feeds.envelope(spark, sf_dir)))
-    return quality.late_summary(quality.late_audit(rows, WATERMARK, "30 seconds"))
+    return quality.late_summary(quality.late_audit(stored_bronze(spark, sf_dir), WATERMARK, "30 seconds"))
 
 
 # ---- serving ----------------------------------------------------------------------------------------------------

@@ -1,0 +1,158 @@
+import datetime as dt
+import json
+
+from pyspark.sql import functions as F
+
+from tickloom.functions import scalar
+from tickloom.operators import normalize
+from tickloom.operators.lookup import lookup_join
+from tickloom.schemas import GLOBAL_METRICS, MARKET_SNAPSHOT, TRADE_FIELDS, TRADE_TOPICS
+from tickloom.sources import kafka
+
+
+def payloads(spark, *messages):
+    texts = [m if isinstance(m, (str, type(None))) else json.dumps(m) for m in messages]
+    return spark.createDataFrame([(t,) for t in texts], "payload string")
+
+
+def venue_b(*trades, channel="trade", kind="update"):
+    return {"channel": channel, "type": kind, "data": list(trades)}
+
+
+def trade_b(pair, trade_id, timestamp="2024-03-12T10:11:12.123456Z", price=10.5, qty=2):
+    return {"symbol": pair, "side": "buy", "price": price, "qty": qty, "ord_type": "market", "trade_id": trade_id,
+            "timestamp": timestamp}
+
+
+def test_venue_a_keeps_trades_and_prefixes_ids(spark):
+    frame = payloads(
+        spark,
+        {"stream": "btcusdt@trade", "data": {"e": "trade", "E": 9, "s": "BTCUSDT", "t": 12345, "p": "84000.5",
+                                             "q": "0.25", "T": 1710238272123}},
+        {"stream": "x", "data": {"e": "aggTrade", "s": "BTCUSDT", "t": 1, "p": "1", "q": "1", "T": 1}},
+        {"result": None, "id": 1},
+        "{oops",
+        None,
+        {"stream": "y", "data": {"e": "trade", "s": "ETHUSDT", "t": 7, "p": "n/a", "q": "1", "T": 5}},
+    )
+    rows = {r.trade_id: r for r in normalize.normalize_venue_a(frame).collect()}
+    assert set(rows) == {"binance:12345", "binance:7"}
+    first = rows["binance:12345"]
+    assert (first.symbol, first.price, first.quantity, first.event_time, first.source) == (
+        "BTCUSDT", 84000.5, 0.25, 1710238272123, "binance")
+    assert rows["binance:7"].price is None
+
+
+def test_pair_spellings_map_to_one_symbol(spark):
+    frame = payloads(spark, venue_b(trade_b("XBT/USD", 1), trade_b("BTC-USD", 2), trade_b("BTC/USD", 3)))
+    rows = normalize.normalize_venue_b(frame).collect()
+    assert {r.symbol for r in rows} == {"BTCUSDT"}
+    assert {r.trade_id for r in rows} == {"kraken:1", "kraken:2", "kraken:3"}
+    assert {r.event_time for r in rows} == {1710238272123}
+    assert normalize.normalize_venue_b(frame).columns == list(TRADE_FIELDS)
+
+
+def test_venue_b_drops_what_is_not_followed_and_sets_bad_times_aside(spark):
+    frame = payloads(
+        spark,
+        venue_b(trade_b("DOGE/USD", 1), trade_b("ETH/USD", 2), trade_b("SOL/USD", 3, timestamp="soon")),
+        venue_b(trade_b("ETH/USD", 4), kind="snapshot"),
+        venue_b(trade_b("ETH/USD", 5), channel="book"),
+        venue_b(),
+    )
+    assert [r.trade_id for r in normalize.normalize_venue_b(frame).collect()] == ["kraken:2"]
+    rejects = normalize.venue_b_rejects(frame).collect()
+    assert [(r.trade_id, r.event_text) for r in rejects] == [("kraken:3", "soon")]
+
+
+def test_timestamp_offsets_are_read(spark):
+    frame = payloads(spark, venue_b(trade_b("ETH/USD", 1, timestamp="2024-03-12T12:11:12.123+02:00")))
+    assert normalize.normalize_venue_b(frame).first().event_time == 1710238272123
+
+
+def test_dimension_join_equals_the_literal_map(spark):
+    updates = normalize.venue_b_updates(
+        payloads(spark, venue_b(*[trade_b(p, i) for i, p in enumerate(["XBT/USD", "ADA/USD", "X/Y"] * 5)])))
+    dim = normalize.symbol_dimension(spark)
+    expected = sorted((r.trade_id, r.symbol) for r in normalize.map_pairs(updates).collect())
+    assert sorted((r.trade_id, r.symbol) for r in normalize.map_pairs(updates, dim).collect()) == expected
+
+
+def test_large_dimension_is_joined_with_salts(spark):
+    facts = spark.range(500).select(F.when(F.col("id") < 400, "hot").otherwise("cold").alias("k"), "id")
+    facts = facts.unionByName(spark.createDataFrame([("none", 1000)], "k string, id long"))
+    dim = spark.createDataFrame([("hot", 1), ("cold", 2), ("other", 3)], "k string, v int")
+    for how in ("inner", "left"):
+        joined = lookup_join(facts, dim, "k", F.col("id"), how, broadcast_rows=2, salts=8)
+        expected = facts.join(dim, "k", how)
+        assert sorted(map(str, joined.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_market_snapshot_rows(spark):
+    coin = {"id": "bitcoin", "symbol": "btc", "name": "Bitcoin", "current_price": 84000, "market_cap": 1.6e12,
+            "market_cap_rank": 1, "total_volume": 3e10, "price_change_percentage_24h": -1.25,
+            "circulating_supply": 19800000.0}
+    frame = spark.createDataFrame(
+        [(json.dumps([coin, {**coin, "symbol": "eth", "price_change_percentage_24h": None}]),
+          dt.datetime(2024, 3, 1, 12, 17, 5)), ("[]", dt.datetime(2024, 3, 1, 13, 0, 0))],
+        "payload string, fetched_at timestamp")
+    rows = normalize.market_snapshot_rows(frame)
+    assert rows.columns == MARKET_SNAPSHOT.fieldNames()
+    got = {r.symbol: r for r in rows.collect()}
+    assert set(got) == {"BTC", "ETH"}
+    assert got["BTC"].snapshot_hour == dt.datetime(2024, 3, 1, 12)
+    assert got["BTC"].current_price == 84000.0 and got["ETH"].price_change_24h_pct is None
+
+
+def test_global_metrics_rows(spark):
+    data = {"active_cryptocurrencies": 17000, "markets": 1200, "total_market_cap": {"usd": 2.5e12, "eur": 2.3e12},
+            "total_volume": {"usd": 9e10}, "market_cap_percentage": {"btc": 58.1, "eth": 11.2}}
+    at = dt.datetime(2024, 3, 1, 12, 59, 59)
+    frame = spark.createDataFrame(
+        [(json.dumps({"data": data}), at), (json.dumps({"error": 1}), at), ("", at)],
+        "payload string, fetched_at timestamp")
+    rows = normalize.global_metrics_rows(frame)
+    assert rows.columns == GLOBAL_METRICS.fieldNames()
+    (row,) = rows.collect()
+    assert (row.snapshot_hour, row.total_market_cap_usd, row.btc_dominance, row.markets) == (
+        dt.datetime(2024, 3, 1, 12), 2.5e12, 58.1, 1200)
+
+
+def test_publish_rows(spark):
+    trades = spark.createDataFrame(
+        [("BTCUSDT", 84000.5, 0.25, 1710238272123, "binance:1", "binance")],
+        "symbol string, price double, quantity double, event_time long, trade_id string, source string")
+    row = kafka.publish_rows(trades).first()
+    assert (row.topic, row.key) == ("crypto-trades-btcusdt", "BTCUSDT")
+    assert json.loads(row.value) == {"symbol": "BTCUSDT", "price": 84000.5, "quantity": 0.25,
+                                     "event_time": 1710238272123, "trade_id": "binance:1", "source": "binance"}
+
+
+def test_source_options():
+    listed = kafka.source_options("b:9092", topics=TRADE_TOPICS)
+    assert listed["subscribe"].split(",")[0] == "crypto-trades-btcusdt"
+    assert (listed["startingOffsets"], listed["failOnDataLoss"], listed["maxOffsetsPerTrigger"]) == (
+        "latest", "false", "5000")
+    matched = kafka.source_options("b:9092", pattern="crypto-trades-.*", min_partitions=48)
+    assert matched["subscribePattern"] == "crypto-trades-.*" and matched["minPartitions"] == "48"
+    assert "subscribe" not in matched
+
+
+def test_summer_time_change_keeps_instants_apart(spark):
+    # two instants an hour apart that share a wall-clock time in a zone that leaves summer time between them
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        frame = spark.createDataFrame([(1761438600000,), (1761442200999,)], "ms long")
+        micros = [r[0] for r in frame.select(
+            F.unix_micros(scalar.event_time_from_millis(F.col("ms")))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert micros == [1761438600000000, 1761442200999000]
+
+
+def test_display_formats(spark):
+    frame = spark.createDataFrame([(1234.56789, 0.5, -7.6)], "p double, pct double, bps double")
+    row = frame.select(scalar.price_text(F.col("p")), scalar.percent_text(F.col("pct")),
+                       scalar.bps_text(F.col("bps")), scalar.one_decimal_text(F.col("p"))).first()
+    assert tuple(row) == ("$1,234.5679", "+0.50%", "-8bps", "1234.6")

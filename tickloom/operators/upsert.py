@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from tickloom.operators.dedupe import latest_by
 from tickloom.session import materialize
@@ -67,7 +67,7 @@ def _merge_delta(fresh: DataFrame, path: str, keys: Sequence[str]) -> None:
 
 def read_snapshots(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
     """The table without its partition column, which a filter on it may still prune before this."""
-    stored = StructType(schema.fields).add(PARTITION, "date")
+    stored = StructType(schema.fields + [StructField(PARTITION, DateType())])
     return read_table(spark, path, stored, fmt).select(*schema.fieldNames())
 
 

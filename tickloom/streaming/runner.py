@@ -79,15 +79,17 @@ def drain(query: StreamingQuery) -> StreamingQuery:
 
 
 def run_until_signalled(query: StreamingQuery) -> None:
-    """Keep a continuous query running until SIGINT or SIGTERM, then stop it between two micro-batches' commits."""
-    def stop(_signum, _frame):
-        query.stop()
+    """Keep a continuous query running until SIGINT or SIGTERM, then stop it.
 
-    previous = {s: signal.signal(s, stop) for s in (signal.SIGINT, signal.SIGTERM)}
+    What a batch under way has not committed is done again after a restart from the same checkpoint.
+    """
+    asked = []
+    previous = {s: signal.signal(s, lambda signum, _: asked.append(signum)) for s in (signal.SIGINT, signal.SIGTERM)}
     try:
-        while query.isActive:
-            query.awaitTermination(1)
+        while not asked and not query.awaitTermination(1):
+            pass
     finally:
+        query.stop()
         for s, handler in previous.items():
             signal.signal(s, handler)
 

@@ -221,13 +221,13 @@ def late_audit(bronze: DataFrame, watermark: str, batch: str = "30 seconds") ->
     )
     before_batch = W.partitionBy("day").orderBy("batch_start").rowsBetween(W.unboundedPreceding, -1)
     in_day = per_batch.withColumn("newest_same_day", F.max("newest").over(before_batch))
-    marks = in_day.join(days, "day").select(
+    marks = in_day.join(days, "day", "left").select(
         "batch_start",
         (F.greatest("newest_same_day", "newest_earlier_day") - F.expr(f"INTERVAL {watermark}")).alias("watermark"),
     )
     late_by = F.unix_micros("watermark") - F.unix_micros("event_time")
     return (
-        arrived.join(marks, "batch_start")
+        arrived.join(marks, "batch_start", "left")
         .withColumn("late_seconds", F.when(late_by > 0, late_by / 1e6))
         .select("trade_id", "symbol", "event_time", "kafka_timestamp", "watermark", "late_seconds",
                 F.col("late_seconds").isNotNull().alias("is_late"))

@@ -4,7 +4,7 @@ import pytest
 
 from tickloom.operators import bronze
 from tickloom.schemas import BRONZE, KAFKA_ENVELOPE
-from tickloom.sources import landing
+from tickloom.sources import kafka, landing
 
 FULL = {"symbol": "BTCUSDT", "price": 1.5, "quantity": 2.0, "event_time": 1710238272123, "trade_id": "binance:1",
         "source": "binance"}
@@ -70,3 +70,13 @@ def test_landing_replay(spark, parsed, tmp_path):
     landing.save_raw(parsed, "raw_payload", str(tmp_path / "raw"))
     again = bronze.reparse_payloads(landing.read_raw(spark, str(tmp_path / "raw")))
     assert again.count() == bronze.bronze_rows(parsed).count()
+
+
+def test_dead_letters_keep_the_message_and_its_origin(parsed):
+    rejected = bronze.quarantine_rows(parsed)
+    rows = kafka.dead_letter_rows(rejected).collect()
+    assert len(rows) == rejected.count()
+    assert {(r.topic, r.key) for r in rows} == {("crypto-trades-dead-letter", "crypto-trades-btcusdt")}
+    by_offset = {json.loads(r.value)["kafka_offset"]: json.loads(r.value) for r in rows}
+    malformed = by_offset[list(CASES).index("malformed")]
+    assert malformed["raw_payload"] == "{oops" and malformed["reasons"] == ["malformed_json"]

@@ -100,6 +100,10 @@ def test_contracts(spark):
     assert quality.missing_columns(silver, SILVER_REQUIRED) == []
     assert quality.missing_columns(gold, GOLD_REQUIRED, strict=True) == []
     assert quality.missing_columns(gold.drop("vwap", "rsi"), GOLD_REQUIRED) == ["rsi", "vwap"]
+    assert quality.schema_differences(silver, SILVER) == []
+    drifted = silver.withColumn("close", F.lit(1)).withColumn("extra", F.lit(1)).drop("vwap")
+    assert quality.schema_differences(drifted, SILVER) == [
+        "close: int instead of double", "extra: not in the contract", "vwap: missing"]
     with pytest.raises(quality.ContractError):
         quality.missing_columns(gold.drop("vwap"), GOLD_REQUIRED, strict=True)
 

@@ -30,7 +30,10 @@ def ohlcv(
     else:
         first = F.min(F.struct("event_time", "price"))["price"]
         last = F.max(F.struct("event_time", "price"))["price"]
-    grouped = trades.groupBy(F.window("event_time", window).alias("window"), *keys).agg(
+    bucket = F.window("event_time", window)
+    # a stream needs the window itself, which carries the watermark; for a batch its start is the cheaper key
+    key = bucket.alias("window") if trades.isStreaming else bucket["start"].alias("window_start")
+    grouped = trades.groupBy(key, *keys).agg(
         first.alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
@@ -40,9 +43,13 @@ def ohlcv(
         F.avg("price").alias("avg_price"),
         F.sum(F.col("price") * F.col("quantity")).alias("notional"),
     )
+    if trades.isStreaming:
+        start, end = F.col("window.start"), F.col("window.end")
+    else:
+        start, end = F.col("window_start"), F.col("window_start") + F.expr(f"INTERVAL {window}")
     vwap = F.when(F.col("volume") > 0, F.col("notional") / F.col("volume"))
     return grouped.withColumn("vwap", vwap).select(
-        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, *_MEASURES
+        start.alias("window_start"), end.alias("window_end"), *keys, *_MEASURES
     )
 
 

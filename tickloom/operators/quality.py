@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import StructType
 
 from tickloom.operators.dedupe import dedupe_batch
 from tickloom.operators.candles import ohlcv
@@ -32,6 +33,20 @@ def missing_columns(df: DataFrame, required: Sequence[str], strict: bool = False
     return missing
 
 
+def schema_differences(df: DataFrame, expected: StructType) -> list[str]:
+    """What a writer's frame has otherwise than its contract: columns missing, added, or of another type."""
+    actual = {f.name: f.dataType for f in df.schema}
+    wanted = {f.name: f.dataType for f in expected}
+    found = [f"{name}: missing" for name in wanted if name not in actual]
+    found += [f"{name}: not in the contract" for name in actual if name not in wanted]
+    found += [
+        f"{name}: {actual[name].simpleString()} instead of {dtype.simpleString()}"
+        for name, dtype in wanted.items()
+        if name in actual and actual[name] != dtype
+    ]
+    return sorted(found)
+
+
 def contract_report(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """One row per table: its missing columns, whether it holds to its contract, and its row count."""
     report = None

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions.scalar import topic_of
-from tickloom.schemas import KAFKA_ENVELOPE, MAX_OFFSETS_PER_TRIGGER, TRADE_FIELDS
+from tickloom.schemas import DEAD_LETTER_TOPIC, KAFKA_ENVELOPE, MAX_OFFSETS_PER_TRIGGER, TRADE_FIELDS
 
 
 def source_options(
@@ -73,7 +73,15 @@ def publish_rows(trades: DataFrame) -> DataFrame:
     )
 
 
-def publish(trades: DataFrame, servers: str) -> None:
-    publish_rows(trades).write.format("kafka").option("kafka.bootstrap.servers", servers).option(
-        "kafka.acks", "all"
-    ).save()
+def dead_letter_rows(rejected: DataFrame) -> DataFrame:
+    """Quarantined messages as rows to publish: where each came from, its payload as it was, and the reasons."""
+    value = F.struct("topic", "kafka_partition", "kafka_offset", "raw_payload", "reasons")
+    return rejected.select(
+        F.lit(DEAD_LETTER_TOPIC).alias("topic"), F.col("topic").alias("key"), F.to_json(value).alias("value")
+    )
+
+
+def publish(rows: DataFrame, servers: str) -> None:
+    """Send rows of ``topic, key, value``; every in-sync replica must have taken them."""
+    writer = rows.write.format("kafka").option("kafka.bootstrap.servers", servers)
+    writer.option("kafka.acks", "all").save()

@@ -20,6 +20,12 @@ def connect(sf_dir: str):
     return con
 
 
+TYPES = {
+    "string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value)
@@ -40,6 +46,10 @@ def compare(con, frame, sql):
     expected_rows = result.fetchall()
     if sorted(names) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} != {sorted(names)}"
+    described = {d[0]: str(d[1]) for d in result.description}
+    types = {name: (dtype, described[name]) for name, dtype in frame.dtypes if TYPES[dtype] != described[name]}
+    if types:
+        return f"types differ: {types}"
     actual = rows_of(frame.columns, [tuple(r) for r in frame.collect()])
     expected = rows_of(names, expected_rows)
     if len(actual) != len(expected):

@@ -262,7 +262,12 @@ def _event_stream(spark, sf_dir):
 
 
 def _sink(spark, name):
-    return {"path": scratch_path(spark, name), "checkpoint": scratch_path(spark, f"{name}-checkpoint")}
+    """Fresh folders, and as many state partitions as there are cores."""
+    return {
+        "path": scratch_path(spark, name),
+        "checkpoint": scratch_path(spark, f"{name}-checkpoint"),
+        "state_partitions": spark.sparkContext.defaultParallelism,
+    }
 
 
 def stream_bronze(spark, sf_dir):

@@ -41,8 +41,9 @@ def candle_stream(
 
 
 def start_silver(trades: DataFrame, path: str, checkpoint: str, window: str = CANDLE_WINDOW,
-                 watermark: str = WATERMARK, **sink) -> StreamingQuery:
-    return start_table_sink(candle_stream(trades, window, watermark), path, checkpoint, **sink)
+                 watermark: str = WATERMARK, keys: Sequence[str] = ("symbol",), spread_by: Column | None = None,
+                 **sink) -> StreamingQuery:
+    return start_table_sink(candle_stream(trades, window, watermark, keys, spread_by), path, checkpoint, **sink)
 
 
 def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet",

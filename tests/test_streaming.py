@@ -154,6 +154,13 @@ def test_layers_end_to_end(spark, tmp_path, at):
     assert len(pattern) == 4 and all(r.is_expected for r in pattern)
 
 
+def test_files_per_batch(spark, feed, at, tmp_path):
+    feed.add([("A", 1.0, 1.0, at(i), f"v:{i}") for i in range(100)])
+    feed.run(lambda s: s, files_per_batch=3)
+    assert spark.read.parquet(feed.out).count() == 100
+    assert len([f for f in os.listdir(feed.out) if f.endswith(".parquet")]) == 3
+
+
 def test_session_options_are_put_back(spark, feed, at):
     key = "spark.sql.streaming.stateStore.providerClass"
     before, partitions = spark.conf.get(key), spark.conf.get("spark.sql.shuffle.partitions")

@@ -109,11 +109,19 @@ def test_contracts(spark):
 
 
 def test_time_range_reaches_the_scan(spark, tmp_path, at):
-    frame = spark.createDataFrame([(at(i), i) for i in range(10)], "event_time timestamp, i int")
-    frame.write.parquet(str(tmp_path / "t"))
-    ranged = quality.in_time_range(spark.read.parquet(str(tmp_path / "t")), "event_time", at(2), at(5))
-    assert sorted(r.i for r in ranged.collect()) == [2, 3, 4]
-    assert "GreaterThanOrEqual(event_time" in ranged._jdf.queryExecution().executedPlan().toString()
+    frame = spark.createDataFrame([(at(i * 3600), i) for i in range(40)], "event_time timestamp, i int")
+    frame = frame.withColumn("trade_date", F.to_date("event_time"))
+    tables.overwrite_table(frame, str(tmp_path / "t"), partition_by=["trade_date"])
+    stored = tables.read_table(spark, str(tmp_path / "t"), frame.schema)
+    bounds = [F.lit(at(s * 3600)) for s in (2, 5)]
+    for partition in (None, "trade_date"):
+        ranged = quality.in_time_range(stored, "event_time", *bounds, partition)
+        assert sorted(r.i for r in ranged.collect()) == [2, 3, 4]
+        plan = ranged._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(event_time" in plan
+        assert ("PartitionFilters: []" in plan) == (partition is None)
+        files = ranged._jdf.queryExecution().executedPlan().collectLeaves().head().selectedPartitions()
+        assert files.partitionCount() == (3 if partition is None else 1)
 
 
 # ---- reconciliation and signals ---------------------------------------------------------------------------------

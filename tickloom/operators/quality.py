@@ -62,9 +62,15 @@ def contract_report(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> Da
     return report
 
 
-def in_time_range(df: DataFrame, column: str, start, end) -> DataFrame:
-    """Half-open range; with literal bounds it reaches the scan as a pushed filter."""
-    return df.where((F.col(column) >= start) & (F.col(column) < end))
+def in_time_range(df: DataFrame, column: str, start: Column, end: Column, date_partition: str | None = None):
+    """Half-open range; with literal bounds it reaches the scan as a pushed filter.
+
+    ``date_partition`` names a partition column with the date of ``column``: other dates are then not even listed.
+    """
+    ranged = df.where((F.col(column) >= start) & (F.col(column) < end))
+    if date_partition is None:
+        return ranged
+    return ranged.where(F.col(date_partition).between(F.to_date(start), F.to_date(end)))
 
 
 def window_check(trades: DataFrame, symbol: str, start, end) -> DataFrame:

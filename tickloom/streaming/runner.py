@@ -43,12 +43,17 @@ def start_table_sink(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     state_partitions: int | None = None,
+    files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Append a stream to a table, each row once, across restarts from ``checkpoint``.
 
     ``trigger`` is a processing-time interval; without one the query takes what is there and stops.
     ``state_partitions`` sets the number of state partitions, which the first run of a query fixes for good.
+    ``files_per_batch`` spreads each micro-batch evenly over that many files. Without it every task writes its own,
+    which with many topic or state partitions and short triggers fills the table with tiny files.
     """
+    if files_per_batch:
+        df = df.repartition(files_per_batch)
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)

@@ -22,7 +22,7 @@ def ohlcv(
     Open and close are the prices at the first and last event time; among trades at the same instant open takes the
     lowest price and close the highest. That rule orders (time, price) pairs, which Spark aggregates by sorting each
     map partition first. ``distinct_times=True`` tells it that no two trades of a group share an instant: the same
-    result then comes from hash aggregation, about three times faster. Either way the map tasks reduce their rows to
+    result then comes from hash aggregation, well over twice as fast. Either way the map tasks reduce their rows to
     one per group before the shuffle, so a hot symbol costs no more than any other.
     """
     if distinct_times:

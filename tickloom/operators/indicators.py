@@ -11,7 +11,14 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec, functions as F, types as T
 
-from tickloom.operators.series import CHUNK_ROWS, _SERIES, chunk_series, index_series, over_series
+from tickloom.operators.series import (
+    CHUNK_ROWS,
+    _SERIES,
+    chunk_series,
+    index_series,
+    latest_per_key,
+    over_series,
+)
 from tickloom.schemas import BOLLINGER_PERIOD, BOLLINGER_WIDTH, GOLD, MACD_FAST, MACD_SIGNAL, MACD_SLOW, RSI_PERIOD
 
 
@@ -138,16 +145,46 @@ def bollinger(candles: DataFrame, period: int = BOLLINGER_PERIOD, width: float =
     return over_series(candles, add, halo=period - 1, keys=keys, chunk_rows=chunk_rows)
 
 
+# rows before a candle that its indicators look back on
+GOLD_HALO = max(RSI_PERIOD, MACD_SLOW + MACD_SIGNAL - 2, BOLLINGER_PERIOD - 1)
+
+
 def gold_indicators(
-    candles: DataFrame, keys: Sequence[str] = ("symbol",), chunk_rows: int | None = CHUNK_ROWS
+    candles: DataFrame,
+    keys: Sequence[str] = ("symbol",),
+    chunk_rows: int | None = CHUNK_ROWS,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """All indicators in one pass: the three groups share one partitioning and one sort order."""
     def add(frame: DataFrame, window: WindowSpec) -> DataFrame:
         return add_bollinger(add_macd(add_rsi(frame, window), window), window)
 
-    halo = max(RSI_PERIOD, MACD_SLOW + MACD_SIGNAL - 2, BOLLINGER_PERIOD - 1)
     extra = [k for k in keys if k != "symbol"]
-    return over_series(candles, add, halo, keys, chunk_rows=chunk_rows).select(*GOLD.fieldNames(), *extra)
+    scored = over_series(candles, add, GOLD_HALO, keys, chunk_rows=chunk_rows, start=start)
+    return scored.select(*GOLD.fieldNames(), *extra)
+
+
+def gold_after(candles: DataFrame, newest, keys: Sequence[str] = ("symbol",), chunk_rows: int = CHUNK_ROWS):
+    """Indicators of the candles after ``newest`` only, equal to those of a full pass.
+
+    The candles up to there contribute their counts and the last few rows per series, which map tasks pick out, so
+    the history is scanned but neither shuffled nor computed again. ``candles`` is read several times: pass a stored
+    table.
+    """
+    past = candles.where(F.col("window_start") <= newest)
+    lead = latest_per_key(past, keys, n=GOLD_HALO).drop("recency")
+    counts = past.groupBy(*keys).agg(F.count("*").alias("rows"), F.count("close").alias("closes"))
+    in_lead = lead.groupBy(F.struct(*keys).alias(_SERIES)).agg(
+        F.count("*").alias("lead_rows"), F.count("close").alias("lead_closes")
+    )
+    start = counts.withColumn(_SERIES, F.struct(*keys)).join(in_lead, _SERIES).select(
+        *keys,
+        (F.col("rows") - F.col("lead_rows")).alias("rows_before"),
+        (F.col("closes") - F.col("lead_closes")).alias("values_before"),
+    )
+    recent = lead.unionByName(candles.where(F.col("window_start") > newest))
+    scored = gold_indicators(recent, keys, chunk_rows, start)
+    return scored.where(F.col("window_start") > newest)
 
 
 def volume_zscore(

@@ -22,12 +22,15 @@ def index_series(
     order: str = "window_start",
     value: str = "close",
     bucket: str = "day",
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``row_idx`` (position in the series, from 1) and ``candle_idx`` (running count of non-null ``value``).
 
     Rows are numbered within (series, bucket), which for candles is at most the number of windows in a day, and
     shifted by the counts of the earlier buckets. Only those per-bucket counts are ordered over a whole series. The
     series key is a struct so that a NULL key matches itself in the join. ``df`` is read twice: pass a stored table.
+
+    ``start`` (keys, ``rows_before``, ``values_before``) continues series whose earlier rows are not in ``df``.
     """
     keyed = df.withColumn(_SERIES, F.struct(*keys)).withColumn(_BUCKET, F.date_trunc(bucket, order))
     counts = keyed.groupBy(_SERIES, _BUCKET).agg(F.count("*").alias("_rows"), F.count(value).alias("_values"))
@@ -38,6 +41,14 @@ def index_series(
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
         F.coalesce(F.sum("_values").over(earlier), F.lit(0)).alias("_values_before"),
     )
+    if start is not None:
+        begun = start.select(F.struct(*keys).alias(_SERIES), "rows_before", "values_before")
+        offsets = offsets.join(begun, _SERIES, "left").select(
+            _SERIES,
+            _BUCKET,
+            (F.col("_rows_before") + F.coalesce("rows_before", F.lit(0))).alias("_rows_before"),
+            (F.col("_values_before") + F.coalesce("values_before", F.lit(0))).alias("_values_before"),
+        )
     within = W.partitionBy(_SERIES, _BUCKET).orderBy(order)
     numbered = keyed.withColumns(
         {
@@ -75,12 +86,16 @@ def over_series(
     value: str = "close",
     chunk_rows: int | None = CHUNK_ROWS,
     bucket: str = "day",
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Apply ``columns(frame, window)`` with ``window`` ordered along each series; frames may look back ``halo`` rows.
 
     ``columns`` may also use ``row_idx`` and ``candle_idx``; both are dropped from the result unless it renames them.
-    ``chunk_rows=None`` uses one window per series, for series known to be short.
+    ``chunk_rows=None`` uses one window per series, for series known to be short. ``start`` continues series, see
+    ``index_series``.
     """
+    if chunk_rows is None and start is not None:
+        raise ValueError("continuing a series needs chunk_rows")
     if chunk_rows is None:
         window = W.partitionBy(*keys).orderBy(order)
         running = window.rowsBetween(W.unboundedPreceding, 0)
@@ -88,7 +103,7 @@ def over_series(
             {"row_idx": F.row_number().over(window), "candle_idx": F.count(value).over(running)}
         )
         return columns(plain, window).drop("row_idx", "candle_idx")
-    chunked = chunk_series(index_series(df, keys, order, value, bucket), halo, chunk_rows)
+    chunked = chunk_series(index_series(df, keys, order, value, bucket, start), halo, chunk_rows)
     window = W.partitionBy(_SERIES, "_chunk").orderBy("row_idx")
     result = columns(chunked, window).where(F.col("_chunk") == F.col("_home"))
     return result.drop(_SERIES, "_home", "_chunk", "row_idx", "candle_idx")

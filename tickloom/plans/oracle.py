@@ -311,6 +311,7 @@ HAVING time_bucket(INTERVAL 1 DAY, kafka_timestamp, TIMESTAMP '1970-01-01') + IN
        <= (SELECT max(kafka_timestamp) FROM envelope) - INTERVAL 2 MINUTE""",
         "stream_gold_refresh": f"WITH {HOURLY}, closed AS (SELECT * FROM candles WHERE {CLOSED}), {_gold('closed')} "
         f"SELECT {GOLD_COLUMNS} FROM gold",
+        "gold_extend": f"WITH {GOLD} SELECT {GOLD_COLUMNS} FROM gold",
         "stream_progress": "SELECT 'silver_progress' AS query, count(*) AS input_rows, "
         "CAST(0 AS BIGINT) AS late_rows FROM events",
         "late_data_audit": f"""WITH {ENVELOPE},

@@ -317,6 +317,18 @@ def stream_gold_refresh(spark, sf_dir):
     return tables.read_table(spark, gold_path, GOLD)
 
 
+def gold_extend(spark, sf_dir):
+    """Gold built up to one date, then extended by the candles after it, twice."""
+    silver_path, gold_path = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    silver = stored_silver(spark, sf_dir)
+    tables.append_table(silver.where(F.col("window_start") < UPDATES_FROM), silver_path)
+    jobs.extend_gold(spark, silver_path, gold_path)
+    tables.append_table(silver.where(F.col("window_start") >= UPDATES_FROM), silver_path)
+    for _ in range(2):
+        jobs.extend_gold(spark, silver_path, gold_path)
+    return tables.read_table(spark, gold_path, GOLD)
+
+
 def stream_progress(spark, sf_dir):
     sink = _sink(spark, "progress")
     trades = feeds.with_trade_columns(_event_stream(spark, sf_dir))
@@ -463,7 +475,7 @@ QUERIES: Sequence[Query] = (
     global_metrics_rows,
     dedupe_trades, snapshot_upsert, global_metrics_upsert, roundtrip_overwrite, backfill_merge,
     stream_bronze, stream_quarantine, stream_ohlcv, stream_dedupe, stream_feed_health, stream_gold_refresh,
-    stream_progress, late_data_audit,
+    gold_extend, stream_progress, late_data_audit,
     latest_per_symbol, last_non_null, price_board, signal_summary, signal_history, warmup_status, candle_direction,
     indicator_points, distinct_symbols, display_time,
     bronze_silver_recon, layer_count_parity, null_pattern, table_profile, counts_by_source, topic_health, arrival_lag,

@@ -10,9 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.operators.bronze import bronze_rows, parse_envelope, quarantine_rows
 from tickloom.operators.candles import ohlcv
 from tickloom.operators.dedupe import dedupe_stream
-from tickloom.operators.indicators import CHUNK_ROWS, gold_indicators
-from tickloom.schemas import CANDLE_WINDOW, SILVER, WATERMARK
-from tickloom.sources.tables import overwrite_table, read_table
+from tickloom.operators.indicators import CHUNK_ROWS, gold_after, gold_indicators
+from tickloom.schemas import CANDLE_WINDOW, GOLD, SILVER, WATERMARK
+from tickloom.sources.tables import append_table, overwrite_table, read_table, table_exists
 from tickloom.streaming.runner import start_table_sink
 
 
@@ -51,3 +51,23 @@ def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str
     """Recompute the indicators of all candles and replace the table. Run it whenever Silver has moved on."""
     silver = read_table(spark, silver_path, SILVER, fmt)
     overwrite_table(gold_indicators(silver, chunk_rows=chunk_rows), gold_path, fmt=fmt)
+
+
+def extend_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet",
+                chunk_rows: int = CHUNK_ROWS) -> None:
+    """Add the indicators of the candles that are newer than any in Gold; what is there stays as it is.
+
+    For a Silver table written by the candle stream, which emits windows in the order in which they close: no candle
+    can come later for a time Gold has passed. Running it again adds nothing. After corrections to older candles use
+    ``refresh_gold``.
+    """
+    newest = None
+    if table_exists(spark, gold_path, fmt):
+        # as microseconds: a local date and time would be ambiguous when the host's clock is set back
+        latest = F.unix_micros(F.max("window_start"))
+        newest = read_table(spark, gold_path, GOLD, fmt).agg(latest).first()[0]
+    if newest is None:
+        refresh_gold(spark, silver_path, gold_path, fmt, chunk_rows)
+        return
+    silver = read_table(spark, silver_path, SILVER, fmt)
+    append_table(gold_after(silver, F.timestamp_micros(F.lit(newest)), chunk_rows=chunk_rows), gold_path, fmt=fmt)

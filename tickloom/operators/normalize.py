@@ -118,8 +118,9 @@ def market_snapshot_rows(payloads: DataFrame, payload: str = "payload", fetched_
 
 
 def global_metrics_rows(payloads: DataFrame, payload: str = "payload", fetched_at: str = "fetched_at") -> DataFrame:
-    """Global payload (one JSON object) to one row, keyed by the hour of its fetch; a payload without data gives none."""
-    parsed = payloads.select(F.col(fetched_at).alias("at"), once(F.from_json(payload, GLOBAL_PAYLOAD)["data"]).alias("d"))
+    """Global payload (one JSON object) to one row keyed by the hour of its fetch; without data it gives none."""
+    data = F.from_json(payload, GLOBAL_PAYLOAD)["data"]
+    parsed = payloads.select(F.col(fetched_at).alias("at"), once(data).alias("d"))
     rows = parsed.where(F.col("d").isNotNull()).select(
         snapshot_hour(F.col("at")).alias("snapshot_hour"),
         F.try_element_at("d.total_market_cap", F.lit("usd")).alias("total_market_cap_usd"),

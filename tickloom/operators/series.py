@@ -123,7 +123,7 @@ def latest_per_key(
 def last_non_null(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("symbol",), order: str = "window_start"
 ) -> DataFrame:
-    """Per key the newest non-null value of each column, NULL if it has none. One hash aggregate, partial in the maps."""
+    """Per key the newest non-null value of each column, NULL without one. One aggregate, partial in the map tasks."""
     def last(name: str) -> Column:
         return F.max_by(name, F.when(F.col(name).isNotNull(), F.col(order))).alias(name)
 

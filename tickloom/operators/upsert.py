@@ -80,7 +80,7 @@ def upsert_global_metrics(source: DataFrame, path: str, fmt: str = "parquet") ->
 
 
 def backfill(history: DataFrame, path: str, label: str, fmt: str = "parquet") -> None:
-    """Load one batch of history into its own partition ``load=<label>`` of the raw table; running it again replaces it."""
+    """Load a batch of history into its own partition ``load=<label>`` of the raw table; a second run replaces it."""
     labelled = history.withColumn("load", F.lit(label))
     writer = labelled.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("load").save(path)

@@ -189,7 +189,8 @@ def global_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("btc", "eth").alias("market_cap_percentage"),
         F.col("symbols").alias("active_cryptocurrencies"), F.col("n").alias("markets"),
     )
-    return per_hour.select(_fetch_time(F.col("hour")).alias("fetched_at"), F.to_json(F.struct(data.alias("data"))).alias("payload"))
+    payload = F.to_json(F.struct(data.alias("data")))
+    return per_hour.select(_fetch_time(F.col("hour")).alias("fetched_at"), payload.alias("payload"))
 
 
 def brand_trades(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Independent SQL for the registered queries, run by another engine on the same tables.
 
 The statements start from the given tables and state the expected result directly: they do not retrace how the Spark
-side gets there (no JSON, no envelopes, no chunks, no streams). Doubles are rounded like the compared results: to six decimals
-after adding a billionth, so that exact halves round the same way whatever the order of summation.
+side gets there (no JSON, no envelopes, no chunks, no streams). Doubles are rounded like the compared results: to six
+decimals after adding a billionth, so that exact halves round the same way whatever the order of summation.
 """
 
 from __future__ import annotations
@@ -101,15 +101,14 @@ envelope AS (
   FROM trades),
 bronze AS (SELECT * EXCLUDE (reasons) FROM envelope WHERE trade_id IS NOT NULL)"""
 BRONZE_COLUMNS = (
-    "topic, kafka_partition, kafka_offset, kafka_timestamp, symbol, round(price + 1e-9, 6) + 0.0 AS price, "
-    "round(quantity + 1e-9, 6) + 0.0 AS quantity, event_time, event_time_ms, trade_id, source"
+    f"topic, kafka_partition, kafka_offset, kafka_timestamp, symbol, {_r('price', 'quantity')}, event_time, "
+    "event_time_ms, trade_id, source"
 )
 QUARANTINE = f"""WITH {ENVELOPE}
 SELECT topic, kafka_partition, kafka_offset, kafka_timestamp, reasons FROM envelope WHERE trade_id IS NULL"""
 
 MESSAGE_COLUMNS = (
-    "symbol, round(price + 1e-9, 6) + 0.0 AS price, round(quantity + 1e-9, 6) + 0.0 AS quantity, event_ms AS event_time, "
-    "trade_id, source"
+    f"symbol, {_r('price', 'quantity')}, event_ms AS event_time, trade_id, source"
 )
 VENUE_A_ROWS = f"SELECT {MESSAGE_COLUMNS} FROM trades WHERE source = 'binance' AND user_id <> 2"
 VENUE_B_ROWS = f"SELECT {MESSAGE_COLUMNS} FROM trades WHERE source = 'kraken' AND user_id NOT IN (1, 13, 15)"
@@ -128,10 +127,15 @@ snapshots AS (
          CAST(snapshot_hour AS TIMESTAMP) + INTERVAL 17 MINUTE AS ingested_at
   FROM per_symbol),
 metrics AS (
-  SELECT CAST(snapshot_hour AS TIMESTAMP) AS snapshot_hour, round(sum(notional) + 1e-9, 6) + 0.0 AS total_market_cap_usd,
+  SELECT CAST(snapshot_hour AS TIMESTAMP) AS snapshot_hour,
+         round(sum(notional) + 1e-9, 6) + 0.0 AS total_market_cap_usd,
          sum(quantity) AS total_volume_24h_usd,
-         round((CASE WHEN sum(notional) <> 0 THEN sum(notional) FILTER (WHERE symbol = 'BTC') * 100 / sum(notional) END) + 1e-9, 6) + 0.0 AS btc_dominance,
-         round((CASE WHEN sum(notional) <> 0 THEN sum(notional) FILTER (WHERE symbol = 'ETH') * 100 / sum(notional) END) + 1e-9, 6) + 0.0 AS eth_dominance,
+         round((CASE WHEN sum(notional) <> 0
+                     THEN sum(notional) FILTER (WHERE symbol = 'BTC') * 100 / sum(notional) END) + 1e-9, 6) + 0.0
+           AS btc_dominance,
+         round((CASE WHEN sum(notional) <> 0
+                     THEN sum(notional) FILTER (WHERE symbol = 'ETH') * 100 / sum(notional) END) + 1e-9, 6) + 0.0
+           AS eth_dominance,
          count(*) AS active_cryptocurrencies, CAST(sum(n) AS BIGINT) AS markets,
          CAST(snapshot_hour AS TIMESTAMP) + INTERVAL 17 MINUTE AS ingested_at
   FROM per_symbol GROUP BY snapshot_hour)"""
@@ -143,10 +147,6 @@ NEWEST = HOURLY + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS recency FROM candles)"""
 
 
-def _ema(alpha: str, value: str) -> str:
-    return f"{alpha} * {value} + (1 - {alpha})"
-
-
 EMA = f"""WITH RECURSIVE {HOURLY},
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start) AS rn FROM candles),
@@ -158,7 +158,8 @@ walk AS (
          0.2 * ((2.0 / 13 * n.close + 11.0 / 13 * w.f) - (2.0 / 27 * n.close + 25.0 / 27 * w.s)) + 0.8 * w.sig
   FROM walk w JOIN numbered n ON n.symbol = w.symbol AND n.rn = w.rn + 1)
 SELECT symbol, window_start, round(close + 1e-9, 6) + 0.0 AS close, round(f + 1e-9, 6) + 0.0 AS ema_fast,
-       round(s + 1e-9, 6) + 0.0 AS ema_slow, round((f - s) + 1e-9, 6) + 0.0 AS ema_macd, round(sig + 1e-9, 6) + 0.0 AS ema_signal,
+       round(s + 1e-9, 6) + 0.0 AS ema_slow, round((f - s) + 1e-9, 6) + 0.0 AS ema_macd,
+       round(sig + 1e-9, 6) + 0.0 AS ema_signal,
        round((f - s - sig) + 1e-9, 6) + 0.0 AS ema_histogram
 FROM walk"""
 
@@ -218,14 +219,15 @@ FROM gold GROUP BY symbol"""
 def _rate(first: str = "min(kafka_timestamp)", last: str = "max(kafka_timestamp)") -> str:
     seconds = f"((epoch_us({last}) - epoch_us({first})) / 1e6)"
     per_second = f"CASE WHEN {seconds} > 0 THEN count(*) / {seconds} END"
-    return f"round({per_second} + 1e-9, 6) + 0.0 AS per_second, round(({per_second} * 60) + 1e-9, 6) + 0.0 AS per_minute"
+    per_minute = f"({per_second} * 60)"
+    return f"round({per_second} + 1e-9, 6) + 0.0 AS per_second, round({per_minute} + 1e-9, 6) + 0.0 AS per_minute"
 
 
 def statements() -> dict[str, str]:
     candle_rows = f"WITH {HOURLY} SELECT {CANDLE_COLUMNS} FROM candles"
     bronze_rows = f"WITH {ENVELOPE} SELECT {BRONZE_COLUMNS} FROM bronze"
     trade_rows = (
-        "symbol, round(price + 1e-9, 6) + 0.0 AS price, round(quantity + 1e-9, 6) + 0.0 AS quantity, event_time, trade_id, source"
+        f"symbol, {_r('price', 'quantity')}, event_time, trade_id, source"
     )
     return {
         "ohlcv_candles": candle_rows,
@@ -377,8 +379,9 @@ FROM l GROUP BY topic""",
 r AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY kafka_partition, kafka_offset) AS n
       FROM envelope WHERE reasons = '')
 SELECT topic, kafka_partition, kafka_offset FROM r WHERE n = 1""",
-        "window_range_check": f"""WITH {TRADES} SELECT count(*) AS trade_count, round(sum(quantity) + 1e-9, 6) + 0.0 AS volume,
-            min(price) AS low, max(price) AS high FROM trades WHERE symbol = 'BTCUSDT'
+        "window_range_check": f"""WITH {TRADES} SELECT count(*) AS trade_count,
+            round(sum(quantity) + 1e-9, 6) + 0.0 AS volume, min(price) AS low, max(price) AS high
+            FROM trades WHERE symbol = 'BTCUSDT'
             AND event_time >= TIMESTAMP '2024-01-10' AND event_time < TIMESTAMP '2024-01-11'""",
         "latest_trades_topk": f"""WITH {TRADES} SELECT {trade_rows} FROM trades
             ORDER BY event_time DESC, trade_id DESC LIMIT 10""",
@@ -387,9 +390,10 @@ SELECT 'silver' AS table_name, '' AS missing, true AS is_valid, count(*) AS n_ro
 UNION ALL SELECT 'gold', '', true, count(*) FROM candles
 UNION ALL SELECT 'gold_drifted', 'rsi,vwap', false, count(*) FROM candles""",
         "reference_price_check": f"""WITH {HOUR_FACTS}, {_candles('trades', '15 MINUTE', 'quarters')}
-SELECT q.symbol, q.window_start, round(q.close + 1e-9, 6) + 0.0 AS price, round(s.current_price + 1e-9, 6) + 0.0 AS reference_price,
-       round((CASE WHEN s.current_price <> 0 THEN (q.close - s.current_price) / s.current_price * 10000 END) + 1e-9, 6) + 0.0
-         AS deviation_bps
+SELECT q.symbol, q.window_start, round(q.close + 1e-9, 6) + 0.0 AS price,
+       round(s.current_price + 1e-9, 6) + 0.0 AS reference_price,
+       round((CASE WHEN s.current_price <> 0 THEN (q.close - s.current_price) / s.current_price * 10000 END) + 1e-9, 6)
+         + 0.0 AS deviation_bps
 FROM quarters q LEFT JOIN snapshots s
   ON s.symbol = replace(q.symbol, 'USDT', '') AND s.snapshot_hour = date_trunc('hour', q.window_start)""",
     }

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tickloom.functions.scalar import clock_text, in_zone
+from tickloom.functions.scalar import clock_text
 from tickloom.operators import bronze, candles, dedupe, indicators, normalize, quality, series, signals, upsert
 from tickloom.plans import feeds
 from tickloom.schemas import (
@@ -274,7 +274,8 @@ def stream_bronze(spark, sf_dir):
     sink = _sink(spark, "bronze")
     envelope = feeds.envelope_of(feeds.with_trade_columns(_event_stream(spark, sf_dir)))
     runner.drain(jobs.start_bronze(envelope, **sink))
-    stored = tables.read_table(spark, sink["path"], T.StructType(BRONZE.fields + [T.StructField("trade_date", T.DateType())]))
+    schema = T.StructType(BRONZE.fields + [T.StructField("trade_date", T.DateType())])
+    stored = tables.read_table(spark, sink["path"], schema)
     return stored.drop("ingested_at", "raw_payload", "trade_date")
 
 

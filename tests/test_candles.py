@@ -66,6 +66,21 @@ def test_edges_ties_and_zero_volume(spark, at):
     assert got["A", at(180)].open is None
 
 
+def test_window_length_does_not_depend_on_the_session_zone(spark):
+    """A day that loses an hour of summer time is still one window of 24 hours."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        frame = spark.createDataFrame([(1761438600 + h * 3600, 1.0) for h in range(48)], "s long, price double")
+        trades = frame.select(F.timestamp_seconds("s").alias("event_time"), "price", F.lit(1.0).alias("quantity"),
+                              F.lit("A").alias("symbol"))
+        lengths = candles.ohlcv(trades, "1 day").select(
+            (F.unix_seconds("window_end") - F.unix_seconds("window_start")).alias("n")).distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.n for r in lengths] == [86400]
+
+
 def test_order_and_split_do_not_matter(spark, at):
     rows = sixty_trades(at)
     expected = as_dict(candles.ohlcv(spark.createDataFrame(rows, TRADES).coalesce(1)))

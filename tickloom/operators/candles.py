@@ -46,7 +46,7 @@ def ohlcv(
     if trades.isStreaming:
         start, end = F.col("window.start"), F.col("window.end")
     else:
-        start, end = F.col("window_start"), F.col("window_start") + F.expr(f"INTERVAL {window}")
+        start, end = F.col("window_start"), F.window("window_start", window)["end"]
     vwap = F.when(F.col("volume") > 0, F.col("notional") / F.col("volume"))
     return grouped.withColumn("vwap", vwap).select(
         start.alias("window_start"), end.alias("window_end"), *keys, *_MEASURES

@@ -4,10 +4,12 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from tests.oracle_check import compare, connect
+from tickloom.plans import oracle
+from tickloom.plans.queries import registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = spark_entry.queries()
-SQL = spark_entry.oracle_sql()
+QUERIES = registry()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -28,3 +30,8 @@ def test_entry(spark):
     frame = spark_entry.entry(spark)
     assert frame.count() > 0
     assert "vwap" in frame.columns
+
+
+def test_entry_registers_all():
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert SQL.items() <= spark_entry.oracle_sql().items()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
@@ -33,13 +35,23 @@ def require_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tickloom-")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Folder shared by all executors: the cluster's ``spark.checkpoint.dir``, or a local one where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+
+    Where it is unset, a session whose executors are threads of the driver (``local[...]``) gets a folder of its own; any
+    other one is refused, since a folder of one machine would lose what the others write.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_root()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, fingerprints, packing, sharding, token_counts, topk, wavelet
+from tickloom.llm import bpe, fingerprints, minhash, packing, sharding, token_counts, topk, toxicity, wavelet
 from tickloom.llm.common import read_table
 from tickloom.session import scratch_path
 
@@ -23,6 +23,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read_table(spark, sf_dir, "documents"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(read_table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), digests=True)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors.where(F.col("vec_id") % QUERY_STEP == 0), vectors)
@@ -47,7 +55,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    op1_packing, op2_sharding, op4_fingerprints, op5_byte_bpe, op8_top_k, op9_wavelet_tokens, op10_token_counts,
+    op1_packing, op2_sharding, op3_minhash, op4_fingerprints, op5_byte_bpe, op7_toxicity, op8_top_k,
+    op9_wavelet_tokens, op10_token_counts,
 )
 
 

@@ -32,7 +32,7 @@ def keep_ids(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFra
 
     A list of ids under ``BROADCAST_BYTES`` is sent to the texts; a longer one meets them in a shuffled join.
     """
-    ids = ids.select("doc_id").distinct() if how == "inner" else ids.select("doc_id")
+    ids = ids.select("doc_id")
     return docs.join(F.broadcast(ids) if small_enough(ids, 64) else ids, "doc_id", how)
 
 

@@ -287,3 +287,13 @@ def near_duplicates(
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``docs``, with all their columns, but for documents whose group has one of smaller doc_id.
+
+    Rows without doc_id stay, and so do rows that repeat a kept doc_id.
+    """
+    found = near_duplicates(docs, percent)
+    dropped = materialize(found.where("not kept").select("doc_id").distinct(), "dropped")
+    return keep_ids(docs, dropped, "left_anti").select(*docs.columns)

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.llm import bpe, fingerprints, minhash, packing, sharding, token_counts, topk, toxicity, wavelet
+from tickloom.llm import (
+    bpe,
+    fingerprints,
+    minhash,
+    packing,
+    passages,
+    sharding,
+    token_counts,
+    topk,
+    toxicity,
+    wavelet,
+)
 from tickloom.llm.common import read_table
 from tickloom.session import scratch_path
 
@@ -35,6 +46,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), digests=True)
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(read_table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.detect(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -55,8 +70,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = (
-    op1_packing, op2_sharding, op3_minhash, op4_fingerprints, op5_byte_bpe, op7_toxicity, op8_top_k,
-    op9_wavelet_tokens, op10_token_counts,
+    op1_packing, op2_sharding, op3_minhash, op4_fingerprints, op5_byte_bpe, op6_passages, op7_toxicity,
+    op8_top_k, op9_wavelet_tokens, op10_token_counts,
 )
 
 

@@ -22,6 +22,14 @@ def id_and_text(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def small_enough(df: DataFrame, bytes_per_row: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether a stored frame fits into a broadcast, by its row count."""
     return df.count() * bytes_per_row <= limit

@@ -86,13 +86,12 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, scale: int = SC
     blocks = max(1, -(-stored.count() // CANDIDATE_BLOCK))
     row = F.monotonically_increasing_id()
     length = F.size("parts").alias("length")
-    left = asked.select(
-        "*", length, F.pmod(row, F.lit(query_blocks)).alias("query_block"),
-        F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("block"),
+    # the block is fixed before rows are repeated for the blocks that they meet
+    left = asked.select("*", length, F.pmod(row, F.lit(query_blocks)).alias("query_block")).select(
+        "*", F.explode(F.expr(f"sequence(0L, {blocks - 1}L)")).alias("block")
     )
-    right = stored.select(
-        "*", length, F.pmod(row, F.lit(blocks)).alias("block"),
-        F.explode(F.expr(f"sequence(0L, {query_blocks - 1}L)")).alias("query_block"),
+    right = stored.select("*", length, F.pmod(row, F.lit(blocks)).alias("block")).select(
+        "*", F.explode(F.expr(f"sequence(0L, {query_blocks - 1}L)")).alias("query_block")
     )
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.llm.common import id_and_text
+from tickloom.llm.common import id_and_text, unused
 
 THRESHOLD = 0.3
 SAMPLE = 20_000  # labelled rows that the lexicon and the curve are fitted on, about
@@ -224,17 +224,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(model.entries, fit_curve(x, y))
 
 
-def score(docs: DataFrame, model: Model, columns: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``columns`` of every row and its ``toxicity``. Narrow. A null text is an empty one, which has a score as well."""
-    kept = docs.select(*columns, F.col("text").alias("_scored_text"))
-    schema = kept.drop("_scored_text").schema.add("toxicity", "double")
+def score(docs: DataFrame, model: Model, columns: Sequence[str] = ("doc_id",), name: str = "score") -> DataFrame:
+    """``columns`` of every row and its score under ``name``. Narrow. A null text is an empty one, which has a score too."""
+    text = unused(docs, "scored_text")
+    kept = docs.select(*columns, F.col("text").alias(text))
+    schema = kept.drop(text).schema.add(name, "double")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [model.score(text.as_py() or "") for text in batch.column("_scored_text")]
-            names = [name for name in batch.schema.names if name != "_scored_text"]
+            scores = [model.score(x.as_py() or "") for x in batch.column(text)]
+            others = [other for other in batch.schema.names if other != text]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in names), pa.array(scores, pa.float64())], [*names, "toxicity"]
+                [*(batch.column(other) for other in others), pa.array(scores, pa.float64())], [*others, name]
             )
 
     return kept.mapInArrow(run, schema)
@@ -246,12 +247,13 @@ def detect(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sam
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
-        F.col("toxicity").alias("score"),
-        (F.col("toxicity") >= threshold).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """Rows of ``docs``, with all their columns, whose score is below the threshold."""
-    scored = score(docs, fit(docs, labels, sample), docs.columns)
-    return scored.where(F.col("toxicity") < threshold).select(*docs.columns)
+    name = unused(docs, "score")
+    scored = score(docs, fit(docs, labels, sample), docs.columns, name)
+    return scored.where(F.col(name) < threshold).select(*docs.columns)

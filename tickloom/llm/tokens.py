@@ -59,20 +59,26 @@ class PieceEncoder:
         """Whether a piece keeps clear of runs of white space; it may only begin with one new line."""
         if self._by_words:
             return True
-        bare = piece.startswith(_BARE)
-        inner = piece[len(_BARE) + 1 :] if bare else piece
-        return (bare or piece != "") and piece != _BARE + "\n" and not _WHITE.search(inner)
+        if not piece.startswith(_BARE):
+            return piece != "" and not _WHITE.search(piece)
+        return piece != _BARE + "\n" and not _WHITE.search(piece.removeprefix(_BARE).removeprefix("\n"))
 
     def _learn(self, fresh: list[str]) -> None:
         spelt = fresh
         if not self._by_words:
+            if _BARE in fresh:  # nothing before the first space
+                self._known[_BARE] = b""
+                fresh.remove(_BARE)
             spelt = [p[len(_BARE):] if p.startswith(_BARE) else " " + p for p in fresh]
-        self._known.update(zip(fresh, self.pieces(spelt), strict=True))
+        if fresh:
+            self._known.update(zip(fresh, self.pieces(spelt), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self._pieces(text) for text in texts]
-        if len(self._known) > self.PIECES:
-            self._known.clear()
+        if len(self._known) > self.PIECES:  # the shorter pieces come again more often
+            self._known = {piece: ids for piece, ids in self._known.items() if len(piece) < 8}
+            if len(self._known) > self.PIECES // 2:
+                self._known.clear()
         fresh = set().union(*(pieces for pieces in cut if pieces)).difference(self._known)
         unsafe = {piece for piece in fresh if not self._safe(piece)}
         if unsafe:
@@ -96,19 +102,25 @@ class LibraryEncoder(PieceEncoder):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._separator = "<|endoftext|>"
-        self._separator_id = self._tokenizer.token_to_id(self._separator)
+        # between pieces: a token that no piece has. A byte-level piece may only begin with a new line, see ``pieces``
+        self._separator = "<|endoftext|>" if by_words else "\n"
+        self._separator_ids = self._tokenizer.encode(self._separator, add_special_tokens=False).ids
 
     def whole(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def pieces(self, texts: list[str]) -> list[bytes]:
-        """One call for all: the special token between them keeps each one by itself."""
-        joined = self._separator.join(texts)
+        """One call for all, which the separator keeps apart."""
+        (separator,) = self._separator_ids
+        joined = self._separator.join([text.removeprefix(self._separator) for text in texts])
         ids = np.array(self._tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
-        cuts = np.flatnonzero(ids == self._separator_id).tolist()
+        cuts = np.flatnonzero(ids == separator).tolist()
         data = ids.tobytes()
-        return [data[4 * (start + 1) : 4 * end] for start, end in zip([-1, *cuts], [*cuts, len(ids)])]
+        mark = int(separator).to_bytes(4, "little")
+        return [
+            (mark if text.startswith(self._separator) else b"") + data[4 * (start + 1) : 4 * end]
+            for text, start, end in zip(texts, [-1, *cuts], [*cuts, len(ids)], strict=True)
+        ]
 
 
 @functools.lru_cache(maxsize=4)

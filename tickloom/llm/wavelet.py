@@ -48,9 +48,9 @@ class WaveletMatrix:
         for digit in reversed(range(width)):
             ones = (sequence >> digit & 1).astype(bool)
             planes.append(np.packbits(ones))
-            low = sequence[~ones]
+            low = np.compress(~ones, sequence)
             zeros.append(len(low))
-            sequence = np.concatenate([low, sequence[ones]])
+            sequence = np.concatenate([low, np.compress(ones, sequence)])
         return cls(planes, zeros, len(ids), docs)
 
     def to_bytes(self) -> bytes:
@@ -150,8 +150,9 @@ class WaveletMatrix:
         for level in reversed(range(len(self._planes))):
             ones = self._bits(level).astype(bool)
             above = np.empty_like(values)
-            above[~ones] = values[: self._zeros[level]]
-            above[ones] = values[self._zeros[level] :] | values.dtype.type(1 << (len(self._planes) - 1 - level))
+            digit = values.dtype.type(1 << (len(self._planes) - 1 - level))
+            above[np.flatnonzero(~ones)] = values[: self._zeros[level]]
+            above[np.flatnonzero(ones)] = values[self._zeros[level] :] | digit
             values = above
         return values
 

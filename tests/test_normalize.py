@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import scalar
 from tickloom.operators import normalize
-from tickloom.operators.lookup import lookup_join
 from tickloom.schemas import GLOBAL_METRICS, MARKET_SNAPSHOT, TRADE_FIELDS, TRADE_TOPICS
 from tickloom.sources import kafka
 
@@ -78,16 +77,6 @@ def test_dimension_join_equals_the_literal_map(spark):
     assert sorted((r.trade_id, r.symbol) for r in normalize.map_pairs(updates, dim).collect()) == expected
 
 
-def test_large_dimension_is_joined_with_salts(spark):
-    facts = spark.range(500).select(F.when(F.col("id") < 400, "hot").otherwise("cold").alias("k"), "id")
-    facts = facts.unionByName(spark.createDataFrame([("none", 1000)], "k string, id long"))
-    dim = spark.createDataFrame([("hot", 1), ("cold", 2), ("other", 3)], "k string, v int")
-    for how in ("inner", "left"):
-        joined = lookup_join(facts, dim, "k", F.col("id"), how, broadcast_rows=2, salts=8)
-        expected = facts.join(dim, "k", how)
-        assert sorted(map(str, joined.collect())) == sorted(map(str, expected.collect()))
-
-
 def test_market_snapshot_rows(spark):
     coin = {"id": "bitcoin", "symbol": "btc", "name": "Bitcoin", "current_price": 84000, "market_cap": 1.6e12,
             "market_cap_rank": 1, "total_volume": 3e10, "price_change_percentage_24h": -1.25,
@@ -131,7 +120,11 @@ def test_publish_rows(spark):
 def test_source_options():
     listed = kafka.source_options("b:9092", topics=TRADE_TOPICS)
     assert listed["subscribe"].split(",")[0] == "crypto-trades-btcusdt"
-    assert (listed["startingOffsets"], listed["failOnDataLoss"], listed["maxOffsetsPerTrigger"]) == (
+    assert (listed["startingOffsets"], listed["failOnDataLoss"]) == ("earliest", "true")
+    assert "maxOffsetsPerTrigger" not in listed
+    asked = kafka.source_options("b:9092", topics=TRADE_TOPICS, starting_offsets="latest", fail_on_data_loss=False,
+                                 max_offsets_per_trigger=5000)
+    assert (asked["startingOffsets"], asked["failOnDataLoss"], asked["maxOffsetsPerTrigger"]) == (
         "latest", "false", "5000")
     matched = kafka.source_options("b:9092", pattern="crypto-trades-.*", min_partitions=48)
     assert matched["subscribePattern"] == "crypto-trades-.*" and matched["minPartitions"] == "48"
@@ -156,3 +149,33 @@ def test_display_formats(spark):
     row = frame.select(scalar.price_text(F.col("p")), scalar.percent_text(F.col("pct")),
                        scalar.bps_text(F.col("bps")), scalar.one_decimal_text(F.col("p"))).first()
     assert tuple(row) == ("$1,234.5679", "+0.50%", "-8bps", "1234.6")
+
+
+def test_times_that_are_not_all_there_are_set_aside(spark):
+    texts = ["2024-03-12T10:11:12Z", "2024-03-12T10:11:12.5+05:30", "12:34:56", "T10:00", "2024", "2024-03-12",
+             "2024-03-12T10:11:12", "2024-03-12 10:11:12Z", "2024-13-12T10:11:12Z", "", None]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = dict(frame.select("i", scalar.millis_from_rfc3339(F.col("t"))).collect())
+    assert got[0] == 1710238272000 and got[1] == 1710218472500
+    assert all(got[i] is None for i in range(2, len(texts)))
+
+
+def test_hours_dates_and_display_do_not_follow_the_session_zone(spark):
+    # summer time begins in Paris on 31 March 2024 at 01:00 UTC
+    micros = [1711846799000000, 1711846800000000, 1711843200123456, -1]
+    before, seen = spark.conf.get("spark.sql.session.timeZone"), []
+    try:
+        for zone in ("UTC", "Asia/Kolkata", "Europe/Paris"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            frame = spark.createDataFrame([(m,) for m in micros], "m long").withColumn("t", F.timestamp_micros("m"))
+            seen.append(frame.select(
+                F.unix_micros(scalar.snapshot_hour(F.col("t"))).alias("hour"),
+                scalar.utc_date(F.col("t")).cast("string").alias("date"),
+                scalar.in_zone(F.col("t"), "Europe/Paris").cast("string").alias("shown"),
+            ).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert seen[0] == seen[1] == seen[2]
+    assert [r.hour for r in seen[0]] == [1711843200000000, 1711846800000000, 1711843200000000, -3600000000]
+    assert [r.date for r in seen[0]] == ["2024-03-31"] * 3 + ["1969-12-31"]
+    assert [r.shown for r in seen[0]][:2] == ["2024-03-31 01:59:59", "2024-03-31 03:00:00"]

@@ -6,10 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.operators import bronze, candles, dedupe, quality
+from tickloom.plans.queries import registry
 from tickloom.schemas import KAFKA_ENVELOPE, SILVER
 from tickloom.sources import kafka, tables
 from tickloom.streaming import jobs, runner
 
+SF_DIR = "/root/testdata/sf0.001"
 TRADES = "symbol string, price double, quantity double, event_time timestamp, trade_id string"
 
 
@@ -101,23 +103,39 @@ def test_late_rows_are_dropped_and_reported(spark, feed, at):
     feed.add([("A", 1.0, 1.0, at(0), "a"), ("A", 2.0, 1.0, at(3600), "b")])
     feed.run(lambda s: jobs.candle_stream(s, "10 minutes"))
     feed.add([("A", 99.0, 1.0, at(10), "late"), ("A", 3.0, 1.0, at(7200), "c")])
-    query = feed.run(lambda s: jobs.candle_stream(s, "10 minutes"), name="late_check")
+    with runner.recording(spark, feed.out + "-progress") as log:
+        log.wait_for(feed.run(lambda s: jobs.candle_stream(s, "10 minutes"), name="late_check"))
     got = {r.window_start: r for r in tables.read_table(spark, feed.out, SILVER).collect()}
     assert got[at(0)].high == 1.0 and got[at(0)].trade_count == 1
-    progress = runner.progress_rows(spark, query)
+    progress = runner.read_progress(spark, feed.out + "-progress")
     assert progress.agg(F.sum("late_rows")).first()[0] == 1
     assert progress.agg(F.sum("input_rows")).first()[0] == 2
     assert {r.query for r in progress.collect()} == {"late_check"}
 
 
-def test_late_audit_names_the_same_row(spark, at):
-    rows = [("t", at(0), at(0), "a", "A"), ("t", at(3600), at(3600), "b", "A"), ("t", at(3700), at(10), "late", "A"),
-            ("t", at(90000), at(3400), "late2", "A"), ("t", at(90000), at(90000), "c", "A")]
-    frame = spark.createDataFrame(
-        rows, "topic string, kafka_timestamp timestamp, event_time timestamp, trade_id string, symbol string")
-    audit = quality.late_audit(frame, "2 minutes")
-    assert {r.trade_id for r in audit.where("is_late").collect()} == {"late", "late2"}
-    assert audit.count() == len(rows)
+def test_progress_outlives_the_reports_that_a_query_keeps(spark, feed, at):
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(key)
+    for i in range(6):
+        feed.add([("A", 1.0, 1.0, at(i * 60 + j), f"v:{i}:{j}") for j in range(5)])
+    try:
+        spark.conf.set(key, 2)
+        with runner.recording(spark, feed.out + "-progress") as log:
+            log.wait_for(feed.run(lambda s: s, name="many"))
+    finally:
+        spark.conf.set(key, before)
+    progress = runner.read_progress(spark, feed.out + "-progress").where("query = 'many'")
+    assert progress.agg(F.sum("input_rows")).first()[0] == 30
+    assert progress.where("input_rows > 0").count() == 6
+
+
+@pytest.mark.parametrize("name", ["stream_bronze", "stream_dedupe"])
+def test_registered_streams_read_tables_of_many_files(spark, tmp_path, name):
+    for table in ("events",):
+        spark.read.parquet(f"{SF_DIR}/{table}.parquet").repartition(4).write.parquet(str(tmp_path / f"{table}.parquet"))
+    query = registry()[name]
+    rows = query(spark, str(tmp_path))
+    assert rows.count() > 0 and sorted_rows(rows) == sorted_rows(query(spark, SF_DIR))
 
 
 def test_bronze_and_quarantine_split_the_feed(spark, tmp_path, at):

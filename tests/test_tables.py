@@ -4,9 +4,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import candles, quality, signals, upsert
+from tickloom import session
+from tickloom.functions import scalar
+from tickloom.operators import bronze, candles, quality, signals, upsert
 from tickloom.schemas import GOLD, GOLD_REQUIRED, MARKET_SNAPSHOT, SILVER, SILVER_REQUIRED
 from tickloom.sources import landing, tables
+from tickloom.streaming import runner
 
 HOUR = dt.datetime(2024, 3, 1, 23)
 
@@ -87,13 +90,78 @@ def test_upsert_against_a_dictionary(spark, tmp_path):
     assert stored(spark, path) == sorted((s, h, p) for (s, h), p in expected.items())
 
 
-def test_backfill_replaces_its_own_partition_only(spark, tmp_path):
-    path = str(tmp_path / "bronze")
-    upsert.backfill(spark.range(3), path, "live")
-    upsert.backfill(spark.range(5), path, "2019")
-    upsert.backfill(spark.range(7), path, "2019")
-    counts = spark.read.parquet(path).groupBy("load").count().collect()
-    assert {r["load"]: r["count"] for r in counts} == {"live": 3, "2019": 7}
+def test_backfill_replaces_its_own_partition_only(spark, tmp_path, at):
+    path = str(tmp_path / "history")
+
+    def days(*numbers):
+        return spark.createDataFrame([(at(86400 * n), n) for n in numbers], "event_time timestamp, n int")
+
+    upsert.backfill(days(0, 1), path, "2018")
+    upsert.backfill(days(2, 3, 4), path, "2019")
+    upsert.backfill(days(2, 5), path, "2019")
+    rows = spark.read.parquet(path).collect()
+    assert sorted((str(r.load), r.n) for r in rows) == [("2018", 0), ("2018", 1), ("2019", 2), ("2019", 5)]
+
+
+def test_backfill_is_seen_beside_a_streamed_table(spark, tmp_path, at):
+    schema = spark.createDataFrame([], "event_time timestamp, n int").schema
+    frame = spark.createDataFrame([(at(i), i) for i in range(4)], schema)
+    frame.write.parquet(str(tmp_path / "feed"))
+    stream = tables.stream_table(spark, str(tmp_path / "feed"), schema).withColumn(
+        "trade_date", scalar.utc_date(F.col("event_time")))
+    live, history = str(tmp_path / "live"), str(tmp_path / "history")
+    runner.drain(runner.start_table_sink(stream, live, str(tmp_path / "c"), partition_by=["trade_date"]))
+    assert upsert.read_raw_table(spark, live, history, schema).count() == 4
+    upsert.backfill(spark.createDataFrame([(at(-86400 - i), i) for i in range(3)], schema), history, "old")
+    both = upsert.read_raw_table(spark, live, history, schema)
+    assert both.groupBy("load").count().orderBy("load").collect() == [(None, 4), ("old", 3)]
+
+
+def test_upsert_of_nothing(spark, tmp_path):
+    path = str(tmp_path / "snapshots")
+    upsert.upsert_market_snapshot(snapshots(spark, ("BTC", 0, 1, 1)).limit(0), path)
+    upsert.upsert_market_snapshot(snapshots(spark, ("BTC", 0, 1, 1)), path)
+    upsert.upsert_market_snapshot(snapshots(spark, ("BTC", 0, 2, 1)).limit(0), path)
+    assert stored(spark, path) == [("BTC", 0, 1.0)]
+    (tmp_path / "touched").mkdir()
+    (tmp_path / "touched" / "_SUCCESS").touch()
+    upsert.upsert_market_snapshot(snapshots(spark, ("BTC", 0, 1, 1)), str(tmp_path / "touched"))
+    assert stored(spark, str(tmp_path / "touched")) == [("BTC", 0, 1.0)]
+
+
+def test_scratch_folder(spark, monkeypatch):
+    class Session:
+        def __init__(self, master, root=None):
+            self.conf, self.sparkContext, self._root, self.master = self, self, root, master
+
+        def get(self, key, default):
+            return self._root or default
+
+        def getCheckpointDir(self):
+            return None
+
+    assert session.scratch_root(Session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    local = session.scratch_root(Session("local[4]"))
+    assert local == session.scratch_root(Session("local"))
+    for master in ("yarn", "local-cluster[3,2,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError):
+            session.scratch_root(Session(master))
+
+
+def test_raw_text_with_line_breaks_is_kept_whole(spark, tmp_path):
+    message = '{\n  "symbol": "A",\r\n  "price": 1.5, "quantity": 2.0, "event_time": 5, "trade_id": "v:1", "source": "v"\n}'
+    frame = spark.createDataFrame([(message,), (None,)], "raw_payload string")
+    landing.save_raw(frame, "raw_payload", str(tmp_path / "raw"))
+    rows = bronze.reparse_payloads(landing.read_raw(spark, str(tmp_path / "raw"))).collect()
+    assert [(r.trade_id, r.price) for r in rows] == [("v:1", 1.5)]
+
+
+def test_reference_price_of_the_last_fetch(spark, at):
+    candle = spark.createDataFrame([(at(600), "BTCUSDT", 110.0)], "window_start timestamp, symbol string, close double")
+    hour = dt.datetime(2024, 3, 1, 12)
+    fetched = [(hour, "BTC", "btc", p, 1.0, 1, 1.0, None, 1.0, hour + dt.timedelta(minutes=m)) for p, m in ((90.0, 5), (100.0, 40))]
+    (row,) = quality.reference_check(candle, spark.createDataFrame(fetched, MARKET_SNAPSHOT)).collect()
+    assert (row.reference_price, row.deviation_bps) == (100.0, 1000.0)
 
 
 def test_contracts(spark):

@@ -21,9 +21,13 @@ def event_time_from_millis(ms: Column) -> Column:
     return F.timestamp_millis(ms)
 
 
+# a date, a time of day and Z or an offset: without any of them a cast would fill in today, midnight or its own zone
+_RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
+
+
 def millis_from_rfc3339(text: Column) -> Column:
-    """RFC 3339 text to epoch milliseconds; NULL when it cannot be read, so the caller can set the row aside."""
-    return F.unix_millis(F.try_to_timestamp(text))
+    """RFC 3339 text to epoch milliseconds; NULL when it is not all there, so the caller can set the row aside."""
+    return F.unix_millis(F.when(text.rlike(_RFC3339), F.try_to_timestamp(text)))
 
 
 def to_double(text: Column) -> Column:
@@ -43,13 +47,24 @@ def topic_of(symbol: Column) -> Column:
     return F.concat(F.lit(TOPIC_PREFIX), F.lower(symbol))
 
 
+def _floored(ts: Column, micros: int) -> Column:
+    return F.floor(F.unix_micros(ts) / F.lit(micros).cast("decimal(20,0)")).cast("long")
+
+
 def snapshot_hour(ts: Column) -> Column:
-    return F.date_trunc("hour", ts)
+    """Start of the hour in UTC, whatever the session's zone."""
+    return F.timestamp_micros(_floored(ts, 3_600_000_000) * 3_600_000_000)
+
+
+def utc_date(ts: Column) -> Column:
+    """Date of an instant in UTC, whatever the session's zone."""
+    return F.date_from_unix_date(_floored(ts, 86_400_000_000).cast("int"))
 
 
 def in_zone(ts: Column, zone: str) -> Column:
-    """Wall-clock time of a UTC instant in a display zone, as a timestamp without zone."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts.cast("timestamp_ntz"))
+    """Wall-clock time of an instant in a display zone, as a timestamp without zone, whatever the session's zone."""
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
 def clock_text(ts: Column) -> Column:

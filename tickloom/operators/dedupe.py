@@ -11,8 +11,10 @@ def dedupe_batch(df: DataFrame, keys: Sequence[str] = ("trade_id",), prefer: Seq
     """One row per key: the smallest by ``prefer``, then by the remaining columns, so the choice never varies.
 
     An aggregate and not a ranked window: copies collapse in the map tasks before the shuffle, so an id that makes up
-    a third of the input reaches its reducer as one row per map task.
+    a third of the input reaches its reducer as one row per map task. Rows with a NULL key are refused a place: they
+    are no copies of one another, and belong into the quarantine.
     """
+    df = df.dropna(subset=list(keys))
     rest = [c for c in df.columns if c not in keys and c not in prefer]
     first = F.min(F.struct(*prefer, *rest)).alias("_first")
     picked = df.groupBy(*keys).agg(first)
@@ -38,7 +40,8 @@ def dedupe_stream(
 
     A replay carries the event time of the original, so once the state of a key has expired its copies are late.
     ``spread_by`` adds a first pass on (key, hash of that column): copies of a hot key are then reduced on ``spread``
-    partitions before they meet in one.
+    partitions before they meet in one. Which of them stays is then left to the order of their arrival there, so use
+    it only where copies are equal in all columns that are kept.
     """
     marked = df.withWatermark(event_time, watermark)
     if spread_by is None:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.functions.scalar import millis_from_rfc3339, once, prefixed_trade_id, snapshot_hour, to_double, to_long
-from tickloom.operators.lookup import lookup_join
 from tickloom.schemas import (
     GLOBAL_METRICS,
     GLOBAL_PAYLOAD,
@@ -70,12 +69,13 @@ def venue_b_updates(messages: DataFrame, payload: str = "payload") -> DataFrame:
 def map_pairs(updates: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     """Give each update its canonical symbol; a pair outside the table is not followed and its rows go.
 
-    ``dim`` replaces the built-in pairs with a table ``venue_pair, symbol`` of any size.
+    ``dim`` replaces the built-in pairs with a table ``venue_pair, symbol`` of any size: a plain join, which adaptive
+    execution broadcasts or splits by what it measures.
     """
     if dim is None:
         mapped = updates.withColumn("symbol", symbol_of_pair(F.col("venue_pair")))
         return mapped.where(F.col("symbol").isNotNull())
-    return lookup_join(updates, dim.select("venue_pair", "symbol"), "venue_pair", F.col("trade_id"))
+    return updates.join(dim.select("venue_pair", "symbol"), "venue_pair")
 
 
 def normalize_venue_b(messages: DataFrame, payload: str = "payload", dim: DataFrame | None = None) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.operators.dedupe import dedupe_batch
+from tickloom.functions.scalar import snapshot_hour
+from tickloom.operators.dedupe import dedupe_batch, latest_by
 from tickloom.operators.candles import ohlcv
 from tickloom.operators.normalize import base_of_symbol
 from tickloom.operators.indicators import candle_index
@@ -224,43 +225,15 @@ def first_samples(checked: DataFrame) -> DataFrame:
     )
 
 
-def late_audit(bronze: DataFrame, watermark: str, batch: str = "30 seconds") -> DataFrame:
-    """Rows a stream would drop as late if it took the table in arrival batches of length ``batch``.
+def late_summary(fed: DataFrame, kept: DataFrame) -> DataFrame:
+    """Per symbol the trades fed to a stream and those that it dropped as late: fed without copies, but not kept.
 
-    A batch is judged by the newest event time of the batches before it, less the allowed delay. This bounds what is
-    dropped from above: while batches follow one another without a pause, Spark applies each mark one batch later.
-    Rows are first reduced to one per batch, then ordered within their day and shifted by the maximum of the days
-    before, so nothing but one row per day is ever brought into a single order. ``bronze`` is read twice: pass a
-    stored table.
+    Both sides arrive as one row per symbol, so the join has no hot key.
     """
-    arrived = bronze.withColumn("batch_start", F.window("kafka_timestamp", batch)["start"])
-    per_batch = arrived.groupBy("batch_start").agg(F.max("event_time").alias("newest"))
-    per_batch = per_batch.withColumn("day", F.date_trunc("day", "batch_start"))
-    before_day = W.orderBy("day").rowsBetween(W.unboundedPreceding, -1)
-    days = per_batch.groupBy("day").agg(F.max("newest").alias("newest")).select(
-        "day", F.max("newest").over(before_day).alias("newest_earlier_day")
-    )
-    before_batch = W.partitionBy("day").orderBy("batch_start").rowsBetween(W.unboundedPreceding, -1)
-    in_day = per_batch.withColumn("newest_same_day", F.max("newest").over(before_batch))
-    marks = in_day.join(days, "day", "left").select(
-        "batch_start",
-        (F.greatest("newest_same_day", "newest_earlier_day") - F.expr(f"INTERVAL {watermark}")).alias("watermark"),
-    )
-    late_by = F.unix_micros("watermark") - F.unix_micros("event_time")
-    return (
-        arrived.join(marks, "batch_start", "left")
-        .withColumn("late_seconds", F.when(late_by > 0, late_by / 1e6))
-        .select("trade_id", "symbol", "event_time", "kafka_timestamp", "watermark", "late_seconds",
-                F.col("late_seconds").isNotNull().alias("is_late"))
-    )
-
-
-def late_summary(audit: DataFrame) -> DataFrame:
-    return audit.groupBy("symbol").agg(
-        F.count("*").alias("trades"),
-        F.count_if("is_late").alias("late_trades"),
-        F.max("late_seconds").alias("max_late_seconds"),
-    )
+    before = fed.groupBy("symbol").agg(F.count("*").alias("trades"))
+    after = kept.groupBy("symbol").agg(F.count("*").alias("kept"))
+    late = F.col("trades") - F.coalesce("kept", F.lit(0))
+    return before.join(after, "symbol", "left").select("symbol", "trades", late.alias("late_trades"))
 
 
 def arrival_lag(bronze: DataFrame) -> DataFrame:
@@ -277,13 +250,14 @@ def arrival_lag(bronze: DataFrame) -> DataFrame:
 def reference_check(candles: DataFrame, snapshots: DataFrame, price: str = "close") -> DataFrame:
     """Candle price against the hourly reference price of its base symbol, in basis points; NULL without a reference.
 
-    ``snapshots`` is unique on (symbol, snapshot_hour), so the join neither multiplies rows nor meets a hot key.
+    Of several fetches in an hour the last counts, so the join neither multiplies rows nor meets a hot key.
     """
-    reference = snapshots.select(
+    newest = latest_by(snapshots, ["symbol", "snapshot_hour"], "ingested_at")
+    reference = newest.select(
         F.col("symbol").alias("base_symbol"), F.col("snapshot_hour"), F.col("current_price").alias("reference_price")
     )
     keyed = candles.withColumns(
-        {"base_symbol": base_of_symbol(F.col("symbol")), "snapshot_hour": F.date_trunc("hour", "window_start")}
+        {"base_symbol": base_of_symbol(F.col("symbol")), "snapshot_hour": snapshot_hour(F.col("window_start"))}
     )
     joined = keyed.join(reference, ["base_symbol", "snapshot_hour"], "left")
     deviation = F.try_divide(F.col(price) - F.col("reference_price"), F.col("reference_price")) * 10_000

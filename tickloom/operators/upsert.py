@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
+from tickloom.functions.scalar import utc_date
 from tickloom.operators.dedupe import latest_by
-from tickloom.session import materialize
 from tickloom.sources.tables import read_table, table_exists
 
 PARTITION = "snapshot_date"
@@ -26,19 +27,23 @@ def upsert(
 
     The source is first reduced to its newest row per key, since a merge needs unique keys. The table is partitioned
     by the date of ``time_column``, which must be a key, and only dates the source touches are read and rewritten.
-    Rows with a NULL key never match, as in a merge, and are added.
+    Rows with a NULL key never match, as in a merge, and are added. An empty source changes nothing.
     """
     if time_column not in keys:
         raise ValueError("the time column must be one of the keys")
-    spark = source.sparkSession
-    dated = latest_by(source, keys, newest_by).withColumn(PARTITION, F.to_date(time_column))
-    fresh = materialize(dated, "upsert")
-    if not table_exists(spark, path, fmt):
-        _write_dates(fresh, path, fmt, "errorifexists")
-    elif fmt == "delta":
-        _merge_delta(fresh, path, keys)
-    else:
-        _write_dates(_merged_dates(fresh, path, keys, fmt), path, fmt, "overwrite")
+    dated = latest_by(source, keys, newest_by).withColumn(PARTITION, utc_date(F.col(time_column)))
+    fresh = dated.persist(StorageLevel.DISK_ONLY)  # read several times; what an executor loses is computed again
+    try:
+        if fresh.isEmpty():
+            return
+        if not table_exists(source.sparkSession, path, fmt):
+            _write_dates(fresh, path, fmt, "append" if fmt == "delta" else "overwrite")
+        elif fmt == "delta":
+            _merge_delta(fresh, path, keys)
+        else:
+            _write_dates(_merged_dates(fresh, path, keys, fmt), path, fmt, "overwrite")
+    finally:
+        fresh.unpersist()
 
 
 def _merged_dates(fresh: DataFrame, path: str, keys: Sequence[str], fmt: str) -> DataFrame:
@@ -79,8 +84,25 @@ def upsert_global_metrics(source: DataFrame, path: str, fmt: str = "parquet") ->
     upsert(source, path, ["snapshot_hour"], fmt=fmt)
 
 
-def backfill(history: DataFrame, path: str, label: str, fmt: str = "parquet") -> None:
-    """Load a batch of history into its own partition ``load=<label>`` of the raw table; a second run replaces it."""
-    labelled = history.withColumn("load", F.lit(label))
-    writer = labelled.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("load").save(path)
+def backfill(history: DataFrame, path: str, label: str, fmt: str = "parquet", time_column: str = "event_time") -> None:
+    """Load a batch of history under ``load=<label>``, by date like the streamed raw table; a second run replaces it.
+
+    ``path`` is a table of its own beside the streamed one: a stream keeps a list of the files that it committed, and
+    readers of its folder see no others. ``read_raw_table`` reads both.
+    """
+    dated = history.withColumn("trade_date", utc_date(F.col(time_column)))
+    # the folder of the label is replaced whole: dates that a second run no longer has must not stay behind
+    writer = dated.hint("rebalance", "trade_date").write.format(fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "static").partitionBy("trade_date").save(f"{path.rstrip('/')}/load={label}")
+
+
+def read_raw_table(
+    spark: SparkSession, live_path: str, history_path: str, schema: StructType, fmt: str = "parquet"
+) -> DataFrame:
+    """Streamed and backfilled raw trades together, with ``trade_date`` and ``load`` (NULL for streamed rows)."""
+    dated = StructType(schema.fields + [StructField("trade_date", DateType())])
+    live = read_table(spark, live_path, dated, fmt).withColumn("load", F.lit(None).cast("string"))
+    if not table_exists(spark, history_path, fmt):
+        return live
+    loaded = StructType(dated.fields + [StructField("load", StringType())])
+    return live.unionByName(read_table(spark, history_path, loaded, fmt).select(*live.columns))

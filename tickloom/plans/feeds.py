@@ -101,6 +101,30 @@ def envelope_of(rows: DataFrame) -> DataFrame:
     )
 
 
+LANDING_FILES = 4  # of each arrival, so that a trigger of as many files takes just one
+
+
+def week_of(time: Column) -> Column:
+    """Arrival of a trade: the week of the month, from 0."""
+    return F.floor((F.dayofmonth(time.cast("timestamp_ntz")) - 1) / 7).cast("int")
+
+
+def is_late() -> Column:
+    """Trades that a feed may deliver long after their time."""
+    return (F.col("user_id") == LATE_USER) & (week_of(F.col("event_time")) == 0)
+
+
+def land(rows: DataFrame, arrival: Column, path: str) -> None:
+    """Write a feed as it arrives, one append per arrival in order: a stream of the folder takes them one by one.
+
+    Every arrival has the same number of files, whatever its size, and the files of one are older than those of the next.
+    """
+    arrived = rows.withColumn("_arrival", arrival)
+    for (number,) in sorted(arrived.select("_arrival").distinct().collect()):  # a handful
+        part = arrived.where(F.col("_arrival") == number).drop("_arrival")
+        part.repartition(LANDING_FILES).write.mode("append").parquet(path)
+
+
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope_of(with_trade_columns(table(spark, sf_dir, "events")))
 

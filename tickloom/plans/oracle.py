@@ -143,6 +143,9 @@ metrics AS (
 # candles that a drained stream has emitted: their window closed before the newest event less the allowed delay
 CLOSED = "window_end <= (SELECT max(event_time) FROM trades) - INTERVAL 2 MINUTE"
 
+# trades of the first week that a feed delivers in the fourth
+LATE = "user_id = 4 AND day(event_time) <= 7"
+
 NEWEST = HOURLY + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS recency FROM candles)"""
 
@@ -279,7 +282,7 @@ pairs AS (SELECT symbol, CASE WHEN symbol = 'BTCUSDT' AND user_id % 3 = 0 THEN '
           FROM trades WHERE source = 'kraken' AND user_id NOT IN (1, 13))
 SELECT venue_pair, symbol, count(*) AS trades FROM pairs GROUP BY venue_pair, symbol""",
         "allowed_symbols": f"""WITH {TRADES} SELECT symbol, count(*) AS n_rows FROM trades
-            WHERE symbol IN ('BTCUSDT', 'ETHUSDT', 'XRPUSDT', 'ADAUSDT', 'SOLUSDT') GROUP BY symbol""",
+            WHERE symbol IN ('BTCUSDT', 'ETHUSDT', 'XRPUSDT') GROUP BY symbol""",
         "kafka_publish_rows": f"WITH {TRADES} SELECT 'crypto-trades-' || lower(symbol) AS topic, symbol AS key, "
         f"{MESSAGE_COLUMNS} FROM trades",
         "raw_replay": f"""WITH {ENVELOPE} SELECT symbol, round(price + 1e-9, 6) + 0.0 AS price,
@@ -298,8 +301,8 @@ SELECT venue_pair, symbol, count(*) AS trades FROM pairs GROUP BY venue_pair, sy
                  ELSE ingested_at END AS ingested_at) FROM metrics""",
         "roundtrip_overwrite": candle_rows,
         "backfill_merge": f"""WITH {ENVELOPE}
-SELECT CASE WHEN event_time >= TIMESTAMP '2024-01-15' THEN 'live' ELSE 'history' END AS load, symbol,
-       count(*) AS n_rows FROM bronze GROUP BY 1, 2""",
+SELECT CASE WHEN event_time >= TIMESTAMP '2024-01-15' THEN 'live' ELSE 'history' END AS load, {BRONZE_COLUMNS}
+FROM bronze""",
         "stream_bronze": bronze_rows,
         "stream_quarantine": QUARANTINE,
         "stream_ohlcv": f"WITH {HOURLY} SELECT {CANDLE_COLUMNS} FROM candles WHERE {CLOSED}",
@@ -314,17 +317,13 @@ HAVING time_bucket(INTERVAL 1 DAY, kafka_timestamp, TIMESTAMP '1970-01-01') + IN
         "stream_gold_refresh": f"WITH {HOURLY}, closed AS (SELECT * FROM candles WHERE {CLOSED}), {_gold('closed')} "
         f"SELECT {GOLD_COLUMNS} FROM gold",
         "gold_extend": f"WITH {GOLD} SELECT {GOLD_COLUMNS} FROM gold",
-        "stream_progress": "SELECT 'silver_progress' AS query, count(*) AS input_rows, "
-        "CAST(0 AS BIGINT) AS late_rows FROM events",
-        "late_data_audit": f"""WITH {ENVELOPE},
-b AS (SELECT *, time_bucket(INTERVAL 30 SECOND, kafka_timestamp, TIMESTAMP '1970-01-01') AS batch_start FROM bronze),
-w AS (SELECT batch_start, max(max(event_time)) OVER (ORDER BY batch_start
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 MINUTE AS mark
-      FROM b GROUP BY batch_start),
-l AS (SELECT symbol, CASE WHEN event_time < mark THEN (epoch_us(mark) - epoch_us(event_time)) / 1e6 END AS late
-      FROM b JOIN w USING (batch_start))
-SELECT symbol, count(*) AS trades, count(late) AS late_trades, round(max(late) + 1e-9, 6) + 0.0 AS max_late_seconds
-FROM l GROUP BY symbol""",
+        "stream_late_candles": f"""WITH {TRADES}, in_time AS (SELECT * FROM trades WHERE NOT ({LATE})),
+{_candles('in_time', '1 HOUR', 'candles')} SELECT {CANDLE_COLUMNS} FROM candles WHERE {CLOSED}""",
+        "stream_progress": f"""WITH {TRADES} SELECT 'silver_progress' AS query, count(*) AS input_rows,
+            count(*) FILTER (WHERE {LATE}) AS late_rows, count(DISTINCT (day(event_time) - 1) // 7) AS data_batches
+            FROM trades""",
+        "late_data_audit": f"""WITH {TRADES} SELECT symbol, count(*) AS trades,
+            count(*) FILTER (WHERE {LATE}) AS late_trades FROM trades GROUP BY symbol""",
         "latest_per_symbol": f"WITH {NEWEST} SELECT {CANDLE_COLUMNS} FROM ranked WHERE recency = 1",
         "last_non_null": f"""WITH {HOURLY} SELECT symbol, round(max_by(close, window_start) + 1e-9, 6) + 0.0 AS close,
             round(max_by(vwap, window_start) FILTER (WHERE vwap IS NOT NULL) + 1e-9, 6) + 0.0 AS vwap,
@@ -341,7 +340,10 @@ SELECT symbol, window_start, {_r('price', 'prev_price', 'change', 'pct')},
         "signal_summary": f"""WITH {GOLD}, last AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS recency FROM gold)
 SELECT symbol, round(avg_price + 1e-9, 6) + 0.0 AS last_price, round(close + 1e-9, 6) + 0.0 AS last_close,
-       round(rsi + 1e-9, 6) + 0.0 AS rsi, {CLASSES}, '$' || format('{{:,.4f}}', avg_price) AS price_label
+       round(rsi + 1e-9, 6) + 0.0 AS rsi, {CLASSES}, '$' || format('{{:,.4f}}', avg_price) AS price_label,
+       coalesce(format('{{:.1f}}', rsi), '—') AS rsi_label,
+       coalesce(format('{{:+.0f}}', CASE WHEN vwap <> 0 THEN (close - vwap) / vwap * 10000 END) || 'bps', '—')
+         AS vwap_label
 FROM last WHERE recency = 1""",
         "signal_history": f"WITH {GOLD} SELECT symbol, window_start, {CLASSES} FROM gold",
         "warmup_status": f"""WITH {HOURLY}, n AS (SELECT symbol, count(*) AS have FROM candles GROUP BY symbol)
@@ -359,8 +361,9 @@ FROM n, (VALUES ('rsi', 14), ('bollinger', 20), ('macd', 35)) AS v(indicator, ne
             window_end + INTERVAL 1 HOUR AS window_end, round(close + 1e-9, 6) + 0.0 AS close,
             strftime(window_start + INTERVAL 1 HOUR, '%H:%M') AS clock FROM candles""",
         "bronze_silver_recon": _recon(),
-        "layer_count_parity": f"""WITH {HOURLY} SELECT symbol, count(*) AS silver_rows, count(*) AS gold_rows,
-            true AS is_equal FROM candles GROUP BY symbol""",
+        "layer_count_parity": f"""WITH {HOURLY}, c AS (SELECT symbol, count(*) AS silver_rows, count(*) FILTER
+              (WHERE NOT (symbol = 'BTCUSDT' AND window_start >= TIMESTAMP '2024-01-20')) AS gold_rows
+            FROM candles GROUP BY symbol) SELECT *, silver_rows = gold_rows AS is_equal FROM c""",
         "null_pattern": NULL_PATTERN,
         "table_profile": f"""WITH {HOURLY}
 SELECT symbol, count(*) AS n_rows, min(window_start) AS first_time, max(window_start) AS last_time,
@@ -378,7 +381,8 @@ FROM l GROUP BY topic""",
         "first_sample": f"""WITH {ENVELOPE},
 r AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY kafka_partition, kafka_offset) AS n
       FROM envelope WHERE reasons = '')
-SELECT topic, kafka_partition, kafka_offset FROM r WHERE n = 1""",
+SELECT topic, kafka_partition, kafka_offset, symbol, round(price + 1e-9, 6) + 0.0 AS price,
+       round(quantity + 1e-9, 6) + 0.0 AS quantity, event_time_ms AS event_time, trade_id, source FROM r WHERE n = 1""",
         "window_range_check": f"""WITH {TRADES} SELECT count(*) AS trade_count,
             round(sum(quantity) + 1e-9, 6) + 0.0 AS volume, min(price) AS low, max(price) AS high
             FROM trades WHERE symbol = 'BTCUSDT'

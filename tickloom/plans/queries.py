@@ -20,6 +20,7 @@ from tickloom.schemas import (
     SYMBOLS,
     TRADE_FIELDS,
     TRADE_MESSAGE,
+    VENUE_B,
     WATERMARK,
 )
 from tickloom.session import materialize, require_utc, scratch_path
@@ -180,7 +181,7 @@ def symbol_map(spark, sf_dir):
 
 
 def allowed_symbols(spark, sf_dir):
-    kept = feeds.trades(spark, sf_dir).where(F.col("symbol").isin(*SYMBOLS))
+    kept = feeds.trades(spark, sf_dir).where(F.col("symbol").isin(*SYMBOLS[:3]))
     return quality.counts_by(kept, "symbol")
 
 
@@ -245,20 +246,36 @@ def roundtrip_overwrite(spark, sf_dir):
 
 
 def backfill_merge(spark, sf_dir):
-    path = scratch_path(spark, "bronze")
-    rows = stored_bronze(spark, sf_dir)
+    """History loaded twice beside a raw table that a stream has written, read together."""
+    sink, history_path = _sink(spark, "bronze"), scratch_path(spark, "history")
     live = F.col("event_time") >= UPDATES_FROM
-    upsert.backfill(rows.where(live), path, "live")
+    envelope = feeds.envelope_of(_trade_stream(spark, sf_dir).where(live))
+    runner.drain(jobs.start_bronze(envelope, **sink))
+    history = feeds.envelope_of(feeds.with_trade_columns(feeds.table(spark, sf_dir, "events")).where(~live))
+    rows = bronze.bronze_rows(bronze.parse_envelope(history))
     for _ in range(2):
-        upsert.backfill(rows.where(~live), path, "history")
-    schema = T.StructType(BRONZE.fields + [T.StructField("load", T.StringType())])
-    return quality.counts_by(tables.read_table(spark, path, schema), "load", "symbol")
+        upsert.backfill(rows, history_path, "history")
+    both = upsert.read_raw_table(spark, sink["path"], history_path, BRONZE)
+    return both.withColumn("load", F.coalesce("load", F.lit("live"))).drop("ingested_at", "raw_payload", "trade_date")
 
 
 # ---- streams ----------------------------------------------------------------------------------------------------
-def _event_stream(spark, sf_dir):
-    schema = feeds.table(spark, sf_dir, "events").schema
-    return tables.stream_table(spark, sf_dir, schema, name_glob="events.parquet", max_files_per_trigger=1)
+def _trade_stream(spark, sf_dir, copies=False, late=False):
+    """The trades as a stream of one micro-batch per week.
+
+    With ``copies`` the reconnecting users' trades come again a week later, with ``late`` the first week's trades of
+    one user come in the fourth only.
+    """
+    rows = feeds.with_trade_columns(feeds.table(spark, sf_dir, "events"))
+    arrival = feeds.week_of(F.col("event_time"))
+    if copies:
+        rows = feeds.replayed(rows)
+        arrival = arrival + F.col("copy")
+    if late:
+        arrival = F.when(feeds.is_late(), F.lit(3)).otherwise(arrival)
+    path = scratch_path(spark, "arrivals")
+    feeds.land(rows, arrival, path)
+    return tables.stream_table(spark, path, rows.schema, max_files_per_trigger=feeds.LANDING_FILES)
 
 
 def _sink(spark, name):
@@ -272,7 +289,7 @@ def _sink(spark, name):
 
 def stream_bronze(spark, sf_dir):
     sink = _sink(spark, "bronze")
-    envelope = feeds.envelope_of(feeds.with_trade_columns(_event_stream(spark, sf_dir)))
+    envelope = feeds.envelope_of(_trade_stream(spark, sf_dir))
     runner.drain(jobs.start_bronze(envelope, **sink))
     schema = T.StructType(BRONZE.fields + [T.StructField("trade_date", T.DateType())])
     stored = tables.read_table(spark, sink["path"], schema)
@@ -281,29 +298,30 @@ def stream_bronze(spark, sf_dir):
 
 def stream_quarantine(spark, sf_dir):
     sink = _sink(spark, "quarantine")
-    envelope = feeds.envelope_of(feeds.with_trade_columns(_event_stream(spark, sf_dir)))
+    envelope = feeds.envelope_of(_trade_stream(spark, sf_dir))
     runner.drain(jobs.start_quarantine(envelope, **sink))
     return tables.read_table(spark, sink["path"]).drop("raw_payload")
 
 
 def stream_ohlcv(spark, sf_dir):
     sink = _sink(spark, "silver")
-    replays = feeds.replayed(feeds.with_trade_columns(_event_stream(spark, sf_dir)))
+    replays = _trade_stream(spark, sf_dir, copies=True)
     runner.drain(jobs.start_silver(replays, window=WINDOW, **sink))
     return tables.read_table(spark, sink["path"], SILVER)
 
 
 def stream_dedupe(spark, sf_dir):
     sink = _sink(spark, "dedupe")
-    replays = feeds.replayed(feeds.with_trade_columns(_event_stream(spark, sf_dir)))
-    unique = dedupe.dedupe_stream(replays.select(*TRADE_FIELDS, "copy"), WATERMARK, spread_by=F.col("copy"))
-    runner.drain(runner.start_table_sink(unique.drop("copy"), **sink))
+    replays = _trade_stream(spark, sf_dir, copies=True)
+    # a copy comes a week after its trade, so the state must remember a week and what a batch may be late by
+    unique = dedupe.dedupe_stream(replays.select(*TRADE_FIELDS), "16 days")
+    runner.drain(runner.start_table_sink(unique, **sink))
     return tables.read_table(spark, sink["path"])
 
 
 def stream_feed_health(spark, sf_dir):
     sink = _sink(spark, "health")
-    envelope = feeds.envelope_of(feeds.with_trade_columns(_event_stream(spark, sf_dir)))
+    envelope = feeds.envelope_of(_trade_stream(spark, sf_dir))
     checked = bronze.message_completeness(bronze.parse_envelope(envelope)).withWatermark("kafka_timestamp", WATERMARK)
     runner.drain(runner.start_table_sink(quality.feed_health(checked, "1 day"), **sink))
     return tables.read_table(spark, sink["path"])
@@ -312,8 +330,7 @@ def stream_feed_health(spark, sf_dir):
 def stream_gold_refresh(spark, sf_dir):
     sink = _sink(spark, "silver")
     gold_path = scratch_path(spark, "gold")
-    trades = feeds.with_trade_columns(_event_stream(spark, sf_dir))
-    runner.drain(jobs.start_silver(trades, window=WINDOW, **sink))
+    runner.drain(jobs.start_silver(_trade_stream(spark, sf_dir), window=WINDOW, **sink))
     jobs.refresh_gold(spark, sink["path"], gold_path)
     return tables.read_table(spark, gold_path, GOLD)
 
@@ -330,16 +347,36 @@ def gold_extend(spark, sf_dir):
     return tables.read_table(spark, gold_path, GOLD)
 
 
+def _late_silver(spark, sf_dir, name):
+    """Candles of the feed with late trades, and the table of the progress that Spark reports of it."""
+    sink, log_path = _sink(spark, "silver"), scratch_path(spark, "progress")
+    with runner.recording(spark, log_path) as log:
+        trades = _trade_stream(spark, sf_dir, late=True)
+        log.wait_for(runner.drain(jobs.start_silver(trades, window=WINDOW, name=name, **sink)))
+    return tables.read_table(spark, sink["path"], SILVER), runner.read_progress(spark, log_path)
+
+
+def stream_late_candles(spark, sf_dir):
+    """Candles without the trades that come too late."""
+    return _late_silver(spark, sf_dir, "silver_late")[0]
+
+
 def stream_progress(spark, sf_dir):
-    sink = _sink(spark, "progress")
-    trades = feeds.with_trade_columns(_event_stream(spark, sf_dir))
-    query = runner.drain(jobs.start_silver(trades, window=WINDOW, name="silver_progress", **sink))
-    progress = runner.progress_rows(spark, query)
-    return progress.groupBy("query").agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+    """Rows fed to a stream, rows it dropped as late by its own count, and whether each arrival was a batch."""
+    _, progress = _late_silver(spark, sf_dir, "silver_progress")
+    return progress.groupBy("query").agg(
+        F.sum("input_rows").alias("input_rows"),
+        F.sum("late_rows").alias("late_rows"),
+        F.count_if(F.col("input_rows") > 0).alias("data_batches"),
+    )
 
 
 def late_data_audit(spark, sf_dir):
-    return quality.late_summary(quality.late_audit(stored_bronze(spark, sf_dir), WATERMARK, "30 seconds"))
+    """Per symbol the trades that the stream of unique trades dropped as late."""
+    sink = _sink(spark, "audit")
+    unique = dedupe.dedupe_stream(_trade_stream(spark, sf_dir, late=True).select(*TRADE_FIELDS), WATERMARK)
+    runner.drain(runner.start_table_sink(unique, **sink))
+    return quality.late_summary(feeds.trades(spark, sf_dir), tables.read_table(spark, sink["path"]))
 
 
 # ---- serving ----------------------------------------------------------------------------------------------------
@@ -357,7 +394,7 @@ def price_board(spark, sf_dir):
 
 def signal_summary(spark, sf_dir):
     silver = stored_silver(spark, sf_dir)
-    return signals.signal_summary(silver, indicators.gold_indicators(silver)).drop("rsi_label", "vwap_label")
+    return signals.signal_summary(silver, indicators.gold_indicators(silver))
 
 
 def signal_history(spark, sf_dir):
@@ -400,14 +437,17 @@ def display_time(spark, sf_dir):
 def bronze_silver_recon(spark, sf_dir):
     """Candles rebuilt from replayed trades against Silver kept without one venue's last day, which must show up."""
     recorded = feeds.trades(spark, sf_dir).where(
-        ~((F.col("source") == "kraken") & (F.col("event_time") >= "2024-01-30"))
+        ~((F.col("source") == VENUE_B) & (F.col("event_time") >= "2024-01-30"))
     )
     return quality.reconcile_candles(feeds.trades_with_replays(spark, sf_dir), silver_of(recorded), WINDOW)
 
 
 def layer_count_parity(spark, sf_dir):
+    """Gold that lost one symbol's last days, which must show up."""
     silver = stored_silver(spark, sf_dir)
-    return quality.count_parity(silver, indicators.gold_indicators(silver))
+    gold = indicators.gold_indicators(silver)
+    lost = (F.col("symbol") == SYMBOLS[0]) & (F.col("window_start") >= BASE_UNTIL)
+    return quality.count_parity(silver, gold.where(~lost))
 
 
 def null_pattern(spark, sf_dir):
@@ -435,7 +475,10 @@ def arrival_lag(spark, sf_dir):
 
 def first_sample(spark, sf_dir):
     checked = bronze.message_completeness(bronze.parse_envelope(feeds.envelope(spark, sf_dir)))
-    return quality.first_samples(checked).drop("raw_payload")
+    samples = quality.first_samples(checked)
+    return samples.select("*", F.from_json("raw_payload", TRADE_MESSAGE).alias("t")).select(
+        "topic", "kafka_partition", "kafka_offset", "t.*"
+    )
 
 
 def window_range_check(spark, sf_dir):
@@ -450,8 +493,8 @@ def latest_trades_topk(spark, sf_dir):
 
 def schema_contract(spark, sf_dir):
     """Contracts of Silver, of Gold, and of a Gold that lost two columns."""
-    silver = silver_of(feeds.trades(spark, sf_dir))
-    gold = indicators.gold_indicators(silver)
+    silver = stored_silver(spark, sf_dir)
+    gold = materialize(indicators.gold_indicators(silver), "gold")
     return quality.contract_report(
         {
             "silver": (silver, SILVER_REQUIRED),
@@ -476,7 +519,7 @@ QUERIES: Sequence[Query] = (
     global_metrics_rows,
     dedupe_trades, snapshot_upsert, global_metrics_upsert, roundtrip_overwrite, backfill_merge,
     stream_bronze, stream_quarantine, stream_ohlcv, stream_dedupe, stream_feed_health, stream_gold_refresh,
-    gold_extend, stream_progress, late_data_audit,
+    gold_extend, stream_late_candles, stream_progress, late_data_audit,
     latest_per_symbol, last_non_null, price_board, signal_summary, signal_history, warmup_status, candle_direction,
     indicator_points, distinct_symbols, display_time,
     bronze_silver_recon, layer_count_parity, null_pattern, table_profile, counts_by_source, topic_health, arrival_lag,

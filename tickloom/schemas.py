@@ -29,7 +29,7 @@ DEAD_LETTER_TOPIC = "crypto-trades-dead-letter"
 RSI_PERIOD = 14
 MACD_FAST, MACD_SLOW, MACD_SIGNAL = 12, 26, 9
 BOLLINGER_PERIOD, BOLLINGER_WIDTH = 20, 2.0
-WARMUP = {"rsi": 14, "bollinger": 20, "macd": 35}
+WARMUP = {"rsi": RSI_PERIOD, "bollinger": BOLLINGER_PERIOD, "macd": MACD_SLOW + MACD_SIGNAL}
 
 RSI_OVERBOUGHT, RSI_OVERSOLD = 70, 30
 VWAP_BAND_BPS = 5
@@ -37,7 +37,15 @@ VWAP_BAND_BPS = 5
 CANDLE_WINDOW = "1 minute"
 WATERMARK = "2 minutes"
 BRONZE_TRIGGER, SILVER_TRIGGER, CONSOLE_TRIGGER = "30 seconds", "50 seconds", "5 seconds"
-MAX_OFFSETS_PER_TRIGGER = 5000
+
+# columns a reader of each table relies on
+SILVER_REQUIRED = (
+    "window_start", "symbol", "open", "high", "low", "close", "volume", "avg_price", "trade_count",
+)
+GOLD_REQUIRED = (
+    "window_start", "symbol", "close", "rsi", "macd_approx", "signal_approx", "macd_histogram",
+    "bb_upper", "bb_middle", "bb_lower", "vwap",
+)
 # -----------------------------------------------------------------------------------------------------------------
 
 TRADE_TOPICS = tuple(TOPIC_PREFIX + s.lower() for s in SYMBOLS)
@@ -172,12 +180,3 @@ GLOBAL_PAYLOAD = _struct(
         active_cryptocurrencies=T.LongType(), markets=T.LongType(),
     )
 )
-
-# Columns a reader of each table relies on.
-SILVER_REQUIRED = (
-    "window_start", "symbol", "open", "high", "low", "close", "volume", "avg_price", "trade_count",
-)
-GOLD_REQUIRED = (
-    "window_start", "symbol", "close", "rsi", "macd_approx", "signal_approx", "macd_histogram",
-    "bb_upper", "bb_middle", "bb_lower", "vwap",
-)

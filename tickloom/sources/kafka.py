@@ -11,20 +11,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickloom.functions.scalar import topic_of
-from tickloom.schemas import DEAD_LETTER_TOPIC, KAFKA_ENVELOPE, MAX_OFFSETS_PER_TRIGGER, TRADE_FIELDS
+from tickloom.schemas import DEAD_LETTER_TOPIC, KAFKA_ENVELOPE, TRADE_FIELDS
 
 
 def source_options(
     servers: str,
     topics: Sequence[str] | None = None,
     pattern: str | None = None,
-    starting_offsets: str = "latest",
-    fail_on_data_loss: bool = False,
-    max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER,
+    starting_offsets: str = "earliest",
+    fail_on_data_loss: bool = True,
+    max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Options of the topic scan: an explicit list or a pattern, start position, loss policy and admission control.
 
+    By default nothing is left out: a stream starts at the earliest offset, fails when messages are gone before it has
+    read them, and takes all that is there. A cap per trigger must exceed the rate of the feed, or the stream falls
+    behind until the broker deletes what it has not read.
+
     ``min_partitions`` splits busy topic partitions over more tasks. A topic keyed by symbol keeps one symbol on one
     topic partition, so without it a hot symbol is read by a single task.
     """
@@ -52,7 +56,6 @@ def read_topic_stream(spark: SparkSession, servers: str, **options) -> DataFrame
 
 def read_topic_batch(spark: SparkSession, servers: str, **options) -> DataFrame:
     """Bounded read of the same topics, for backfills; reads from the earliest offset unless told otherwise."""
-    options = {"starting_offsets": "earliest", "max_offsets_per_trigger": None, **options}
     return spark.read.format("kafka").options(**source_options(servers, **options)).load()
 
 

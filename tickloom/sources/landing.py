@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def save_raw(messages: DataFrame, payload: Column | str, path: str) -> None:
-    """Land one payload per line. JSON text holds no raw line breaks, so a line is a message."""
+    """Land one payload per line. A raw line break in JSON can only stand between its parts, so it becomes a blank."""
     column = F.col(payload) if isinstance(payload, str) else payload
-    messages.select(column.alias("value")).where(F.col("value").isNotNull()).write.mode("overwrite").text(path)
+    messages.select(F.regexp_replace(column, "[\\r\\n]", " ").alias("value")).where(F.col("value").isNotNull()).write.mode("overwrite").text(path)
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

@@ -24,7 +24,6 @@ def stream_table(
     schema: StructType,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
-    name_glob: str | None = None,
 ) -> DataFrame:
     """Tail a table. Admission control belongs to the source: it has no effect when set on the writer."""
     reader = spark.readStream.format(fmt)
@@ -32,8 +31,6 @@ def stream_table(
         reader = reader.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
     return reader.load(path)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickloom.functions.scalar import utc_date
 from tickloom.operators.bronze import bronze_rows, parse_envelope, quarantine_rows
 from tickloom.operators.candles import ohlcv
 from tickloom.operators.dedupe import dedupe_stream
@@ -18,7 +19,7 @@ from tickloom.streaming.runner import start_table_sink
 
 def start_bronze(envelope: DataFrame, path: str, checkpoint: str, **sink) -> StreamingQuery:
     """Raw trades, partitioned by trade date so that time-range readers skip files."""
-    rows = bronze_rows(parse_envelope(envelope)).withColumn("trade_date", F.to_date("event_time"))
+    rows = bronze_rows(parse_envelope(envelope)).withColumn("trade_date", utc_date(F.col("event_time")))
     return start_table_sink(rows, path, checkpoint, partition_by=["trade_date"], **sink)
 
 

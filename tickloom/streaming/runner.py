@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import signal
+import threading
 from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 # State lives off the heap and on local disk with its changes in the checkpoint, so it may outgrow executor memory
 # and is rebuilt on another executor when one is lost.
@@ -105,26 +106,60 @@ PROGRESS_SCHEMA = (
 )
 
 
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent progress of a query, one row per micro-batch: throughput, watermark, state size and late rows.
+def _finite(value) -> float | None:
+    return None if value is None else float(value)
+
 
-    Spark keeps a fixed number of progress reports per query, so this is a small frame whatever the stream carried.
+class ProgressLog(StreamingQueryListener):
+    """Writes one row per micro-batch of every query of a session to a table: throughput, watermark, state, late rows.
+
+    The table outlives queries and sessions and holds all batches, where a query itself keeps its last reports only.
+    Use ``recording``; a row is one small file, so compact the table now and then as any log.
     """
-    rows = []
-    for p in query.recentProgress:
-        states = p.get("stateOperators", [])
-        rows.append(
-            (
-                p.get("name"), p.get("batchId"), p.get("timestamp"), p.get("numInputRows"),
-                _finite(p.get("inputRowsPerSecond")), _finite(p.get("processedRowsPerSecond")),
-                p.get("durationMs", {}).get("triggerExecution"),
-                p.get("eventTime", {}).get("watermark"),
-                sum(s["numRowsTotal"] for s in states),
-                sum(s["numRowsDroppedByWatermark"] for s in states),
-            )
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        super().__init__()
+        self._spark, self._path = spark, path
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = (
+            p.name, p.batchId, p.timestamp, p.numInputRows, _finite(p.inputRowsPerSecond),
+            _finite(p.processedRowsPerSecond), p.durationMs.get("triggerExecution"), p.eventTime.get("watermark"),
+            sum(s.numRowsTotal for s in p.stateOperators), sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
         )
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA)
+        self._spark.createDataFrame([row], PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self._path)
 
+    def onQueryTerminated(self, event) -> None:
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
 
-def _finite(value) -> float | None:
-    return None if value is None else float(value)
+    def wait_for(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Reports arrive a little after the query: wait until the last one of an ended query is written."""
+        with self._change:
+            if not self._change.wait_for(lambda: str(query.runId) in self._ended, seconds):
+                raise TimeoutError(f"no end of {query.name or query.runId} was reported")
+
+
+@contextmanager
+def recording(spark: SparkSession, path: str):
+    """Write the progress of all queries of the session that run in the block to the table at ``path``."""
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PROGRESS_SCHEMA).parquet(path)

@@ -154,20 +154,28 @@ def test_index_counts_closes(candles):
 
 def test_ema_against_whole_series(spark):
     start = dt.datetime(2024, 3, 1)
-    values = [None if i in (0, 1, 700, 701, 2500) else 100 + 10 * math.sin(i / 9) + (i % 13) for i in range(9000)]
+    values = [None if i in (0, 1, 700, 701, 2500) or i % 11 == 4 else 100 + 10 * math.sin(i / 9) + (i % 13) for i in range(3000)]
     rows = [(s, start + dt.timedelta(minutes=i), v if s == "a" else 2.0 * i)
-            for s, n in (("a", 9000), ("b", 30)) for i, v in enumerate(values[:n])]
+            for s, n in (("a", 3000), ("b", 30)) for i, v in enumerate(values[:n])]
     frame = spark.createDataFrame(rows, "symbol string, window_start timestamp, close double")
-    got = indicators.ema_macd(frame, chunk_rows=2500).toPandas().sort_values(["symbol", "window_start"])
-    assert len(got) == 9030
-    for symbol, part in got.groupby("symbol"):
-        close = pd.Series([r[2] for r in rows if r[0] == symbol], dtype="float64")
-        macd = close.ewm(span=12, adjust=False).mean() - close.ewm(span=26, adjust=False).mean()
-        signal = macd.ewm(span=9, adjust=False).mean()
-        for column, expected in (("ema_macd", macd), ("ema_signal", signal), ("ema_histogram", macd - signal)):
-            difference = (part[column].reset_index(drop=True) - expected).abs()
-            assert difference.max() < 1e-12
-            assert (part[column].reset_index(drop=True).isna() == expected.isna()).all()
+    for chunk_rows in (7, 64):
+        got = {(r.symbol, r.window_start): r for r in indicators.ema_macd(frame, chunk_rows=chunk_rows).collect()}
+        assert len(got) == len(rows)
+        state = {}
+        for symbol, time, close in sorted(rows):
+            if close is not None:
+                f, s, g = state.get(symbol, (close, close, 0.0))
+                f, s = f + 2 / 13 * (close - f), s + 2 / 27 * (close - s)
+                state[symbol] = (f, s, g + 0.2 * (f - s - g))
+            row = got[symbol, time]
+            assert row.close == close
+            if symbol not in state:
+                assert row.ema_fast is None and row.ema_signal is None
+                continue
+            f, s, g = state[symbol]
+            expected = (f, s, f - s, g, f - s - g)
+            shown = (row.ema_fast, row.ema_slow, row.ema_macd, row.ema_signal, row.ema_histogram)
+            assert shown == pytest.approx(expected, abs=1e-9)
 
 
 def test_no_task_gets_a_whole_series(spark, candles):

@@ -5,16 +5,13 @@ Frames count candles, not minutes: a window without trades has no candle and is
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, WindowSpec, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
 from tickloom.operators.series import (
     CHUNK_ROWS,
     _SERIES,
-    chunk_series,
     index_series,
     latest_per_key,
     over_series,
@@ -206,9 +203,48 @@ def volume_zscore(
     return over_series(candles, add, halo=rows, keys=keys, value="volume", chunk_rows=chunk_rows)
 
 
-def ema_halo(span: int, tolerance: float) -> int:
-    """Rows after which the weight of everything earlier has fallen below ``tolerance``."""
-    return math.ceil(math.log(tolerance) / math.log(1 - 2 / (span + 1)))
+# The averages and the signal line as one state (f, s, g): every close takes it to another by an affine map
+#   f' = df f + of,  s' = ds s + os,  g' = gg g + gf f + gs s + go
+# and maps of rows in a row compose to one map of the same form.
+_MAP = ("df", "of", "ds", "os", "gg", "gf", "gs", "go")
+EMA_CHUNK = 256
+
+
+def _struct_of(values: dict[str, Column]) -> Column:
+    return F.struct(*[value.cast("double").alias(name) for name, value in values.items()])
+
+
+def _applied(m: Column, v: Column) -> dict[str, Column]:
+    return {
+        "f": m["df"] * v["f"] + m["of"],
+        "s": m["ds"] * v["s"] + m["os"],
+        "g": m["gg"] * v["g"] + m["gf"] * v["f"] + m["gs"] * v["s"] + m["go"],
+    }
+
+
+def _composed(a: Column, b: Column) -> Column:
+    """The map of ``a`` and then ``b``."""
+    return _struct_of({
+        "df": b["df"] * a["df"], "of": b["df"] * a["of"] + b["of"],
+        "ds": b["ds"] * a["ds"], "os": b["ds"] * a["os"] + b["os"],
+        "gg": b["gg"] * a["gg"], "gf": b["gg"] * a["gf"] + b["gf"] * a["df"],
+        "gs": b["gg"] * a["gs"] + b["gs"] * a["ds"],
+        "go": b["gg"] * a["go"] + b["gf"] * a["of"] + b["gs"] * a["os"] + b["go"],
+    })
+
+
+def _starts(maps: DataFrame, keys: Sequence[str], before: DataFrame) -> DataFrame:
+    """The state before each map: ``maps`` (keys, number, m) in order of ``number``, from the state ``v`` of ``before``."""
+    gathered = maps.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("number", "m"))).alias("maps"))
+    begun = F.struct(F.col("v").alias("v"), F.expr(
+        "cast(array() as array<struct<number: bigint, v: struct<f: double, s: double, g: double>>>)").alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        out = F.concat(acc["out"], F.array(F.struct(x["number"].alias("number"), acc["v"].alias("v"))))
+        return F.struct(_struct_of(_applied(x["m"], acc["v"])).alias("v"), out.alias("out"))
+
+    states = F.explode(F.aggregate("maps", begun, step, lambda acc: acc["out"])).alias("x")
+    return gathered.join(before, list(keys)).select(*keys, states).select(*keys, "x.number", "x.v")
 
 
 def ema_macd(
@@ -217,32 +253,80 @@ def ema_macd(
     slow: int = MACD_SLOW,
     signal: int = MACD_SIGNAL,
     keys: Sequence[str] = ("symbol",),
-    chunk_rows: int = 5 * CHUNK_ROWS,
-    tolerance: float = 1e-40,
+    chunk_rows: int = EMA_CHUNK,
 ) -> DataFrame:
-    """Exponential-average MACD (recursive form, first value as the seed, previous average kept on a missing close).
+    """Exponential-average MACD in the recursive form, exact, with the first close as the seed.
 
-    A recursion has no exact look-back, but its memory fades: each chunk starts early enough that what came before
-    would weigh less than ``tolerance``, far below the last bit of a double. A series' first chunk starts at its
-    first candle and needs none of that. Chunks count closes, as a missing close does not fade anything. Each task
-    call sees one chunk with its lead-in, never a whole series.
+    A missing close changes nothing: the averages before it are kept and nothing fades. They are NULL before the first
+    close. Rows are cut into chunks by position, closes or not; each chunk is reduced to one affine map, runs of
+    ``chunk_rows`` chunks to one again, and the states before the runs, before the chunks and after each row follow
+    from the top down. So no array holds more than ``chunk_rows`` rows, but for one map per run of a series, and all
+    stays in the JVM. ``candles`` is read twice: pass a stored table.
     """
-    halo = 2 * ema_halo(max(slow, fast, signal), tolerance)
-    chunks = chunk_series(index_series(candles, keys), halo, max(chunk_rows, halo), position="candle_idx")
-    added = ["ema_fast", "ema_slow", "ema_macd", "ema_signal", "ema_histogram"]
-    fields = [candles.schema[k] for k in dict.fromkeys([*keys, "window_start", "close"])]
-    schema = T.StructType(fields + [T.StructField(c, T.DoubleType(), True) for c in added])
-    names = [f.name for f in fields]
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_idx")
-        close = pdf["close"].astype("float64")
-        pdf["ema_fast"] = close.ewm(span=fast, adjust=False).mean()
-        pdf["ema_slow"] = close.ewm(span=slow, adjust=False).mean()
-        pdf["ema_macd"] = pdf["ema_fast"] - pdf["ema_slow"]
-        pdf["ema_signal"] = pdf["ema_macd"].ewm(span=signal, adjust=False).mean()
-        pdf["ema_histogram"] = pdf["ema_macd"] - pdf["ema_signal"]
-        return pdf.loc[pdf["_home"] == pdf["_chunk"], names + added]
-
-    lean = chunks.select(*names, _SERIES, "row_idx", "_home", "_chunk")
-    return lean.groupBy(_SERIES, "_chunk").applyInPandas(smooth, schema)
+    a, b, c = (2.0 / (span + 1) for span in (fast, slow, signal))
+    row = F.struct("row_idx", "window_start", "close")
+    number = F.floor((F.col("row_idx") - 1) / chunk_rows).alias("number")
+    chunks = (
+        index_series(candles.select(*dict.fromkeys([*keys, "window_start", "close"])), keys)
+        .groupBy(_SERIES, number)
+        .agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    )
+    identity = _struct_of({n: F.lit(1.0 if n in ("df", "ds", "gg") else 0.0) for n in _MAP})
+
+    def add(m: Column, x: Column) -> Column:
+        close = x["close"].cast("double")
+        f, of, s, os = (1 - a) * m["df"], (1 - a) * m["of"] + a * close, (1 - b) * m["ds"], (1 - b) * m["os"] + b * close
+        added = _struct_of({
+            "df": f, "of": of, "ds": s, "os": os, "gg": (1 - c) * m["gg"], "gf": (1 - c) * m["gf"] + c * f,
+            "gs": (1 - c) * m["gs"] - c * s, "go": (1 - c) * m["go"] + c * (of - os),
+        })
+        return F.when(x["close"].isNull(), m).otherwise(added)
+
+    mapped = chunks.withColumn("m", F.aggregate("rows", identity, add))
+    firsts = F.filter("rows", lambda x: x["close"].isNotNull())
+    seeds = mapped.groupBy(_SERIES).agg(F.min_by(F.get(firsts, 0)["close"], F.when(F.size(firsts) > 0, F.col("number"))).alias("x"))
+    seeds = seeds.select(_SERIES, _struct_of({"f": F.col("x"), "s": F.col("x"), "g": F.lit(0.0)}).alias("v"))
+    run = F.floor(F.col("number") / chunk_rows)
+    lean = mapped.select(_SERIES, "number", "m").withColumn("run", run)
+    runs = lean.groupBy(_SERIES, "run").agg(
+        F.aggregate(F.array_sort(F.collect_list(F.struct("number", "m"))), identity, lambda m, x: _composed(m, x["m"]))
+        .alias("m")
+    )
+    before_runs = _starts(runs.withColumnRenamed("run", "number"), [_SERIES], seeds).withColumnRenamed("number", "run")
+    before_chunks = _starts(lean, [_SERIES, "run"], before_runs)
+
+    # within a chunk, one state after each row; before the first close of a series there is none
+    states = "array<struct<row_idx: bigint, v: struct<f: double, s: double, g: double>>>"
+    begun = F.struct(F.col("v").alias("v"), F.expr(f"cast(array() as {states})").alias("out"))
+
+    def follow(acc: Column, x: Column) -> Column:
+        v, close = acc["v"], x["close"].cast("double")
+        f, s = (1 - a) * v["f"] + a * close, (1 - b) * v["s"] + b * close
+        moved = _struct_of({"f": f, "s": s, "g": (1 - c) * v["g"] + c * (f - s)})
+        after = F.when(x["close"].isNull(), v).otherwise(moved)
+        out = F.concat(acc["out"], F.array(F.struct(x["row_idx"].cast("long").alias("row_idx"), after.alias("v"))))
+        return F.struct(after.alias("v"), out.alias("out"))
+
+    closes_before = F.sum(F.size(firsts)).over(
+        W.partitionBy(_SERIES).orderBy("number").rowsBetween(W.unboundedPreceding, -1)
+    )
+    counted = chunks.select(_SERIES, "number", "rows", F.coalesce(closes_before, F.lit(0)).alias("earlier"))
+    walked = counted.join(before_chunks.drop("run"), [_SERIES, "number"]).select(
+        _SERIES, "earlier",
+        F.explode(F.arrays_zip("rows", F.aggregate("rows", begun, follow, lambda acc: acc["out"]).alias("after"))).alias("z"),
+        F.transform(firsts, lambda x: x["row_idx"])[0].alias("first_close"),
+    )
+    begins = (F.col("earlier") > 0) | (F.col("z.rows.row_idx") >= F.col("first_close"))
+
+    def shown(value: Column) -> Column:
+        return F.when(F.coalesce(begins, F.lit(False)), value)
+
+    v = F.col("z")["after"]["v"]
+    macd = v["f"] - v["s"]
+    return walked.select(
+        *[F.col(f"{_SERIES}.{k}").alias(k) for k in keys],
+        F.col("z.rows.window_start").alias("window_start"),
+        F.col("z.rows.close").alias("close"),
+        shown(v["f"]).alias("ema_fast"), shown(v["s"]).alias("ema_slow"), shown(macd).alias("ema_macd"),
+        shown(v["g"]).alias("ema_signal"), shown(macd - v["g"]).alias("ema_histogram"),
+    )

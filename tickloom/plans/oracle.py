@@ -150,22 +150,29 @@ NEWEST = HOURLY + """,
 ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS recency FROM candles)"""
 
 
-EMA = f"""WITH RECURSIVE {HOURLY},
+def _ema(close: str = "close") -> str:
+    """The recursion written out; a missing close keeps what there is, and the first close seeds both averages."""
+    return f"""WITH RECURSIVE {HOURLY},
+shown AS (SELECT symbol, window_start, {close} AS close FROM candles),
 numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start) AS rn FROM candles),
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start) AS rn FROM shown),
 walk AS (
-  SELECT symbol, rn, window_start, close, close AS f, close AS s, 0.0::DOUBLE AS sig FROM numbered WHERE rn = 1
+  SELECT symbol, rn, window_start, close, close AS f, close AS s,
+         CASE WHEN close IS NOT NULL THEN 0.0::DOUBLE END AS sig FROM numbered WHERE rn = 1
   UNION ALL
-  SELECT n.symbol, n.rn, n.window_start, n.close,
-         2.0 / 13 * n.close + 11.0 / 13 * w.f, 2.0 / 27 * n.close + 25.0 / 27 * w.s,
-         0.2 * ((2.0 / 13 * n.close + 11.0 / 13 * w.f) - (2.0 / 27 * n.close + 25.0 / 27 * w.s)) + 0.8 * w.sig
-  FROM walk w JOIN numbered n ON n.symbol = w.symbol AND n.rn = w.rn + 1)
+  SELECT symbol, rn, window_start, close, f, s,
+         CASE WHEN close IS NULL THEN sig WHEN sig IS NULL THEN 0.0 ELSE 0.2 * (f - s) + 0.8 * sig END AS sig
+  FROM (SELECT n.symbol, n.rn, n.window_start, n.close, w.sig,
+               CASE WHEN n.close IS NULL THEN w.f ELSE coalesce(2.0 / 13 * n.close + 11.0 / 13 * w.f, n.close) END AS f,
+               CASE WHEN n.close IS NULL THEN w.s ELSE coalesce(2.0 / 27 * n.close + 25.0 / 27 * w.s, n.close) END AS s
+        FROM walk w JOIN numbered n ON n.symbol = w.symbol AND n.rn = w.rn + 1))
 SELECT symbol, window_start, round(close + 1e-9, 6) + 0.0 AS close, round(f + 1e-9, 6) + 0.0 AS ema_fast,
        round(s + 1e-9, 6) + 0.0 AS ema_slow, round((f - s) + 1e-9, 6) + 0.0 AS ema_macd,
        round(sig + 1e-9, 6) + 0.0 AS ema_signal,
        round((f - s - sig) + 1e-9, 6) + 0.0 AS ema_histogram
 FROM walk"""
 
+
 BRANDS = """
 brand_trades AS (
   SELECT p_brand AS symbol, l_extendedprice AS price, l_quantity AS quantity, l_shipdate AS event_time
@@ -255,7 +262,8 @@ def statements() -> dict[str, str]:
         "bollinger20": f"WITH {GOLD} SELECT symbol, window_start, "
         f"{_r('bb_middle', 'bb_std', 'bb_upper', 'bb_lower')} FROM gold",
         "gold_indicators": f"WITH {GOLD} SELECT {GOLD_COLUMNS} FROM gold",
-        "ema_macd": EMA,
+        "ema_macd": _ema(),
+        "ema_macd_gaps": _ema("CASE WHEN epoch_us(window_start) // 3600000000 % 5 <> 0 THEN close END"),
         "volume_zscore": f"""WITH {HOURLY},
 z AS (SELECT symbol, window_start, volume, row_number() OVER (PARTITION BY symbol ORDER BY window_start) AS rn,
         avg(volume) OVER w AS volume_mean, stddev_pop(volume) OVER w AS volume_std

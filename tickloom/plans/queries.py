@@ -137,6 +137,13 @@ def ema_macd(spark, sf_dir):
     return indicators.ema_macd(stored_silver(spark, sf_dir))
 
 
+def ema_macd_gaps(spark, sf_dir):
+    """Every fifth hour has no close."""
+    silver = stored_silver(spark, sf_dir)
+    hour = F.floor(F.unix_micros("window_start") / 3_600_000_000)
+    return indicators.ema_macd(silver.withColumn("close", F.when(hour % 5 != 0, F.col("close"))), chunk_rows=64)
+
+
 def volume_zscore(spark, sf_dir):
     scored = indicators.volume_zscore(stored_silver(spark, sf_dir))
     return scored.select("symbol", "window_start", "volume", "volume_mean", "volume_std", "volume_zscore", "is_spike")
@@ -513,7 +520,7 @@ def reference_price_check(spark, sf_dir):
 QUERIES: Sequence[Query] = (
     ohlcv_candles, ohlcv_by_source, brand_weekly_candles, brand_daily_indicators,
     candle_index, price_change_lag, previous_price, rolling_mean_std, rsi14, macd_sma, bollinger20, gold_indicators,
-    ema_macd, volume_zscore,
+    ema_macd, ema_macd_gaps, volume_zscore,
     bronze_parse, bronze_quarantine, message_completeness, normalize_venue_a, normalize_venue_b, venue_b_rejects,
     venue_union, symbol_map, allowed_symbols, kafka_publish_rows, raw_replay, market_snapshot_rows,
     global_metrics_rows,

@@ -96,15 +96,6 @@ def test_gold_against_written_out_definitions(candles, chunk_rows):
     assert_same(collected(gold, INDICATORS), {s: golden(v) for s, v in closes().items()})
 
 
-@pytest.mark.parametrize("minutes", [0, 7 * 9, 7 * 25, 7 * 36])
-def test_continued_series_equal_a_full_pass(candles, minutes):
-    newest = F.lit(dt.datetime(2024, 3, 1, 22) + dt.timedelta(minutes=minutes))
-    full = indicators.gold_indicators(candles, chunk_rows=None).where(F.col("window_start") > newest)
-    added = indicators.gold_after(candles, newest, chunk_rows=34)
-    assert full.count() > 0
-    assert_same(collected(added, INDICATORS), collected(full, INDICATORS))
-
-
 def test_newest_rows_are_limited_in_the_map_tasks(candles):
     plan = series.latest_per_key(candles)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange hashpartitioning") < plan.index("row_number(), 1, Partial")

@@ -5,9 +5,9 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import bronze, candles, dedupe, quality
+from tickloom.operators import bronze, candles, dedupe, indicators, quality
 from tickloom.plans.queries import registry
-from tickloom.schemas import KAFKA_ENVELOPE, SILVER
+from tickloom.schemas import GOLD, KAFKA_ENVELOPE, SILVER
 from tickloom.sources import kafka, tables
 from tickloom.streaming import jobs, runner
 
@@ -216,3 +216,70 @@ def test_completeness_works_on_streams(spark, tmp_path, at):
     runner.drain(runner.start_table_sink(health, str(tmp_path / "out"), str(tmp_path / "checkpoint")))
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert {(r.messages, r.invalid) for r in got} == {(10, 10)} and len(got) == 2
+
+
+# ---- Gold by dates ----------------------------------------------------------------------------------------------
+@pytest.fixture
+def layers(spark, tmp_path, at):
+    """Forty days of candles, eight a day, one symbol silent for ten days and one that starts late."""
+    rows = []
+    for i in range(320):
+        for symbol in ("A", "B", "C"):
+            if symbol == "B" and 100 <= i < 180 or symbol == "C" and i < 250:
+                continue
+            close = None if i % 13 == 5 else 100.0 + i % 17
+            rows.append((at(i * 10800), at(i * 10800 + 60), symbol, 1.0, 1.0, 1.0, close, 1.0, 1, 1.0, 1.0))
+    silver = jobs.dated(spark.createDataFrame(rows, SILVER))
+
+    class Layers:
+        path, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+        all = silver
+
+        def add(self, condition):
+            tables.append_table(silver.where(condition), self.path, [jobs.CANDLE_DATE])
+
+        def shown(self):
+            return sorted_rows(jobs.read_layer(spark, self.gold, GOLD).drop(jobs.CANDLE_DATE))
+
+        def expected(self, condition):
+            return sorted_rows(indicators.gold_indicators(silver.where(condition).drop(jobs.CANDLE_DATE), chunk_rows=None))
+
+    return Layers()
+
+
+def test_extended_gold_equals_a_full_pass(spark, layers):
+    steps = ["2024-03-05 09:00:00", "2024-03-20 00:00:00", "2024-03-24 21:30:00", "2025-01-01 00:00:00"]
+    low = "2000-01-01 00:00:00"
+    for high in steps:
+        layers.add((F.col("window_start") >= low) & (F.col("window_start") < high))
+        for _ in range(2):
+            jobs.extend_gold(spark, layers.path, layers.gold)
+            assert layers.shown() == layers.expected(F.col("window_start") < high)
+        low = high
+
+
+def test_extension_does_not_read_old_dates(spark, layers):
+    layers.add(F.col("window_start") < "2024-04-05")
+    jobs.extend_gold(spark, layers.path, layers.gold)
+    # a history that can no longer be read is not missed
+    for folder in os.listdir(layers.path):
+        if "candle_date=2024-03-02" <= folder <= "candle_date=2024-03-28":
+            for name in os.listdir(os.path.join(layers.path, folder)):
+                if name.endswith(".parquet"):
+                    with open(os.path.join(layers.path, folder, name), "wb") as file:
+                        file.write(b"unreadable")
+    layers.add(F.col("window_start") >= "2024-04-05")
+    jobs.extend_gold(spark, layers.path, layers.gold)
+    assert layers.shown() == layers.expected(F.lit(True))
+
+
+def test_half_written_extension_heals(spark, layers):
+    layers.add(F.col("window_start") < "2024-03-20")
+    jobs.extend_gold(spark, layers.path, layers.gold)
+    layers.add(F.col("window_start") >= "2024-03-20")
+    # what a stopped run may leave: some new dates in Gold, wrong or partial, and no counts for them
+    wrong = jobs.dated(layers.all.where((F.col("window_start") >= "2024-03-25")).limit(5))
+    partial = indicators.gold_indicators(wrong.drop(jobs.CANDLE_DATE), chunk_rows=None)
+    tables.append_table(jobs.dated(partial), layers.gold, [jobs.CANDLE_DATE])
+    jobs.extend_gold(spark, layers.path, layers.gold)
+    assert layers.shown() == layers.expected(F.lit(True))

@@ -9,13 +9,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
-from tickloom.operators.series import (
-    CHUNK_ROWS,
-    _SERIES,
-    index_series,
-    latest_per_key,
-    over_series,
-)
+from tickloom.functions.scalar import utc_date
+from tickloom.operators.series import CHUNK_ROWS, _SERIES, index_series, over_series
 from tickloom.schemas import BOLLINGER_PERIOD, BOLLINGER_WIDTH, GOLD, MACD_FAST, MACD_SIGNAL, MACD_SLOW, RSI_PERIOD
 
 
@@ -161,27 +156,16 @@ def gold_indicators(
     return scored.select(*GOLD.fieldNames(), *extra)
 
 
-def gold_after(candles: DataFrame, newest, keys: Sequence[str] = ("symbol",), chunk_rows: int = CHUNK_ROWS):
-    """Indicators of the candles after ``newest`` only, equal to those of a full pass.
+def gold_from(recent: DataFrame, start: DataFrame, first_date, keys: Sequence[str] = ("symbol",),
+              chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Indicators of the candles from ``first_date`` on, equal to those of a full pass.
 
-    The candles up to there contribute their counts and the last few rows per series, which map tasks pick out, so
-    the history is scanned but neither shuffled nor computed again. ``candles`` is read several times: pass a stored
-    table.
+    ``recent`` (with ``candle_date``) holds these candles and, per series, the dates before that have the last
+    ``GOLD_HALO`` candles; ``start`` (keys, ``rows_before``, ``values_before``) counts what is left out. ``recent`` is read
+    twice: pass a stored table.
     """
-    past = candles.where(F.col("window_start") <= newest)
-    lead = latest_per_key(past, keys, n=GOLD_HALO).drop("recency")
-    counts = past.groupBy(*keys).agg(F.count("*").alias("rows"), F.count("close").alias("closes"))
-    in_lead = lead.groupBy(F.struct(*keys).alias(_SERIES)).agg(
-        F.count("*").alias("lead_rows"), F.count("close").alias("lead_closes")
-    )
-    start = counts.withColumn(_SERIES, F.struct(*keys)).join(in_lead, _SERIES).select(
-        *keys,
-        (F.col("rows") - F.col("lead_rows")).alias("rows_before"),
-        (F.col("closes") - F.col("lead_closes")).alias("values_before"),
-    )
-    recent = lead.unionByName(candles.where(F.col("window_start") > newest))
     scored = gold_indicators(recent, keys, chunk_rows, start)
-    return scored.where(F.col("window_start") > newest)
+    return scored.where(utc_date(F.col("window_start")) >= first_date)
 
 
 def volume_zscore(

@@ -31,6 +31,7 @@ WINDOW = "1 hour"
 ZONE = "Europe/Paris"
 UPDATES_FROM = "2024-01-15"
 BASE_UNTIL = "2024-01-20"
+EXTENDED_FROM = "2024-01-15 07:00:00"
 RANGE = ("2024-01-10", "2024-01-11")
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -314,7 +315,7 @@ def stream_ohlcv(spark, sf_dir):
     sink = _sink(spark, "silver")
     replays = _trade_stream(spark, sf_dir, copies=True)
     runner.drain(jobs.start_silver(replays, window=WINDOW, **sink))
-    return tables.read_table(spark, sink["path"], SILVER)
+    return jobs.read_layer(spark, sink["path"], SILVER).drop(jobs.CANDLE_DATE)
 
 
 def stream_dedupe(spark, sf_dir):
@@ -339,19 +340,20 @@ def stream_gold_refresh(spark, sf_dir):
     gold_path = scratch_path(spark, "gold")
     runner.drain(jobs.start_silver(_trade_stream(spark, sf_dir), window=WINDOW, **sink))
     jobs.refresh_gold(spark, sink["path"], gold_path)
-    return tables.read_table(spark, gold_path, GOLD)
+    return jobs.read_layer(spark, gold_path, GOLD).drop(jobs.CANDLE_DATE)
 
 
 def gold_extend(spark, sf_dir):
-    """Gold built up to one date, then extended by the candles after it, twice."""
+    """Gold built up to the middle of a day, then extended by the candles after it, twice."""
     silver_path, gold_path = scratch_path(spark, "silver"), scratch_path(spark, "gold")
-    silver = stored_silver(spark, sf_dir)
-    tables.append_table(silver.where(F.col("window_start") < UPDATES_FROM), silver_path)
+    silver = jobs.dated(stored_silver(spark, sf_dir))
+    early = F.col("window_start") < EXTENDED_FROM
+    tables.append_table(silver.where(early), silver_path, [jobs.CANDLE_DATE])
     jobs.extend_gold(spark, silver_path, gold_path)
-    tables.append_table(silver.where(F.col("window_start") >= UPDATES_FROM), silver_path)
+    tables.append_table(silver.where(~early), silver_path, [jobs.CANDLE_DATE])
     for _ in range(2):
         jobs.extend_gold(spark, silver_path, gold_path)
-    return tables.read_table(spark, gold_path, GOLD)
+    return jobs.read_layer(spark, gold_path, GOLD).drop(jobs.CANDLE_DATE)
 
 
 def _late_silver(spark, sf_dir, name):
@@ -360,7 +362,7 @@ def _late_silver(spark, sf_dir, name):
     with runner.recording(spark, log_path) as log:
         trades = _trade_stream(spark, sf_dir, late=True)
         log.wait_for(runner.drain(jobs.start_silver(trades, window=WINDOW, name=name, **sink)))
-    return tables.read_table(spark, sink["path"], SILVER), runner.read_progress(spark, log_path)
+    return jobs.read_layer(spark, sink["path"], SILVER).drop(jobs.CANDLE_DATE), runner.read_progress(spark, log_path)
 
 
 def stream_late_candles(spark, sf_dir):

@@ -4,18 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from tickloom.functions.scalar import utc_date
 from tickloom.operators.bronze import bronze_rows, parse_envelope, quarantine_rows
 from tickloom.operators.candles import ohlcv
 from tickloom.operators.dedupe import dedupe_stream
-from tickloom.operators.indicators import CHUNK_ROWS, gold_after, gold_indicators
+from tickloom.operators.indicators import CHUNK_ROWS, GOLD_HALO, gold_from, gold_indicators
 from tickloom.schemas import CANDLE_WINDOW, GOLD, SILVER, WATERMARK
-from tickloom.sources.tables import append_table, overwrite_table, read_table, table_exists
+from tickloom.sources.tables import overwrite_table, read_table, table_exists
 from tickloom.streaming.runner import start_table_sink
 
+CANDLE_DATE = "candle_date"
+COUNTS = StructType([
+    StructField("symbol", StringType()), StructField("rows", LongType()), StructField("closes", LongType()),
+    StructField(CANDLE_DATE, DateType()),
+])
+
 
 def start_bronze(envelope: DataFrame, path: str, checkpoint: str, **sink) -> StreamingQuery:
     """Raw trades, partitioned by trade date so that time-range readers skip files."""
@@ -44,31 +52,81 @@ def candle_stream(
 def start_silver(trades: DataFrame, path: str, checkpoint: str, window: str = CANDLE_WINDOW,
                  watermark: str = WATERMARK, keys: Sequence[str] = ("symbol",), spread_by: Column | None = None,
                  **sink) -> StreamingQuery:
-    return start_table_sink(candle_stream(trades, window, watermark, keys, spread_by), path, checkpoint, **sink)
+    """Candles, partitioned by date so that readers of a time range, and Gold's extension, skip the rest."""
+    rows = dated(candle_stream(trades, window, watermark, keys, spread_by))
+    return start_table_sink(rows, path, checkpoint, partition_by=[CANDLE_DATE], **sink)
+
+
+def dated(candles: DataFrame) -> DataFrame:
+    return candles.withColumn(CANDLE_DATE, utc_date(F.col("window_start")))
+
+
+def read_layer(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """Silver or Gold with the columns of ``schema`` and their partition, ``candle_date``."""
+    return read_table(spark, path, StructType(schema.fields + [StructField(CANDLE_DATE, DateType())]), fmt)
+
+
+def _replace_dates(rows: DataFrame, path: str, fmt: str) -> None:
+    # the dates that ``rows`` has are replaced whole, others stay; rebalancing splits a date that is too large
+    writer = rows.hint("rebalance", CANDLE_DATE).write.format(fmt).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(CANDLE_DATE).save(path)
+
+
+def _counts_path(gold_path: str) -> str:
+    return gold_path.rstrip("/") + "-counts"
+
+
+def _counts(silver: DataFrame) -> DataFrame:
+    return silver.groupBy("symbol", CANDLE_DATE).agg(F.count("*").alias("rows"), F.count("close").alias("closes"))
 
 
 def refresh_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet",
                  chunk_rows: int | None = CHUNK_ROWS) -> None:
-    """Recompute the indicators of all candles and replace the table. Run it whenever Silver has moved on."""
-    silver = read_table(spark, silver_path, SILVER, fmt)
-    overwrite_table(gold_indicators(silver, chunk_rows=chunk_rows), gold_path, fmt=fmt)
+    """Recompute the indicators of all candles and replace the table and its counts."""
+    silver = read_layer(spark, silver_path, SILVER, fmt)
+    gold = dated(gold_indicators(silver.drop(CANDLE_DATE), chunk_rows=chunk_rows))
+    overwrite_table(gold, gold_path, [CANDLE_DATE], fmt)
+    overwrite_table(_counts(silver), _counts_path(gold_path), [CANDLE_DATE], fmt)
 
 
 def extend_gold(spark: SparkSession, silver_path: str, gold_path: str, fmt: str = "parquet",
                 chunk_rows: int = CHUNK_ROWS) -> None:
-    """Add the indicators of the candles that are newer than any in Gold; what is there stays as it is.
+    """Bring Gold up to Silver by the newest dates only.
 
-    For a Silver table written by the candle stream, which emits windows in the order in which they close: no candle
-    can come later for a time Gold has passed. Running it again adds nothing. After corrections to older candles use
+    A small table beside Gold counts the candles of each symbol and date. Its newest date is the first to be computed
+    again, since it may have been incomplete; Silver is read from the date on that gives each symbol the candles that
+    its indicators look back on, and older dates are neither listed nor read. Dates are replaced whole and the counts
+    are written last: an extension that stopped halfway is done again by the next one. For a Silver table written by the
+    candle stream, which emits windows in the order in which they close. After corrections to older candles use
     ``refresh_gold``.
     """
-    newest = None
-    if table_exists(spark, gold_path, fmt):
-        # as microseconds: a local date and time would be ambiguous when the host's clock is set back
-        latest = F.unix_micros(F.max("window_start"))
-        newest = read_table(spark, gold_path, GOLD, fmt).agg(latest).first()[0]
-    if newest is None:
+    counts_path = _counts_path(gold_path)
+    if not table_exists(spark, counts_path, fmt):
+        refresh_gold(spark, silver_path, gold_path, fmt, chunk_rows)
+        return
+    counts = read_table(spark, counts_path, COUNTS, fmt)
+    first_date = counts.agg(F.max(CANDLE_DATE)).first()[0]
+    if first_date is None:
         refresh_gold(spark, silver_path, gold_path, fmt, chunk_rows)
         return
-    silver = read_table(spark, silver_path, SILVER, fmt)
-    append_table(gold_after(silver, F.timestamp_micros(F.lit(newest)), chunk_rows=chunk_rows), gold_path, fmt=fmt)
+    # per symbol, the newest dates before that hold enough candles: one row per symbol and date
+    newer = W.partitionBy("symbol").orderBy(F.desc(CANDLE_DATE)).rowsBetween(W.unboundedPreceding, -1)
+    past = counts.where(F.col(CANDLE_DATE) < F.lit(first_date)).withColumn(
+        "lent", F.coalesce(F.sum("rows").over(newer), F.lit(0)) < GOLD_HALO
+    )
+    past = past.persist(StorageLevel.DISK_ONLY)
+    try:
+        needed = past.where("lent").select("symbol", CANDLE_DATE)
+        dates = [row[0] for row in needed.select(CANDLE_DATE).distinct().collect()]  # few, and no rows of candles
+        start = past.where("NOT lent").groupBy("symbol").agg(
+            F.sum("rows").alias("rows_before"), F.sum("closes").alias("values_before")
+        )
+        silver = read_layer(spark, silver_path, SILVER, fmt)
+        since = silver.where(F.col(CANDLE_DATE) >= F.lit(first_date))
+        same = silver["symbol"].eqNullSafe(needed["symbol"]) & (silver[CANDLE_DATE] == needed[CANDLE_DATE])
+        lead = silver.where(F.col(CANDLE_DATE).isin(dates)).join(needed, same, "left_semi")
+        recent = lead.unionByName(since).drop(CANDLE_DATE)
+        _replace_dates(dated(gold_from(recent, start, F.lit(first_date), chunk_rows=chunk_rows)), gold_path, fmt)
+        _replace_dates(_counts(since), counts_path, fmt)
+    finally:
+        past.unpersist()

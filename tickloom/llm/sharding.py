@@ -45,32 +45,19 @@ def shares(counts: DataFrame, shards: int, cells: int = CELLS, nodes: int = NODE
     ``counts`` (cell, rows, first) has a row per cell that is not empty. Home rows are taken first, in ring order; the
     rest of every over-full home then walks clockwise, cell by cell. At most one row per cell and shard.
     """
-    spark = counts.sparkSession
-    rows = counts.join(ring(spark, shards, cells, nodes), "cell")
-    total = F.sum("rows").over(W.partitionBy())
-    room = F.floor(total / shards) + F.when(F.col("home") < F.pmod(total, F.lit(shards)), 1).otherwise(0)
+    n = counts.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    room = [n // shards + (shard < n % shards) for shard in range(shards)]
+    rows = counts.join(ring(counts.sparkSession, shards, cells, nodes), "cell")
     in_order = W.partitionBy("home").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
     at_home = (
         rows.withColumn("home", F.col("prefs")[0])
-        .withColumn("room", room.cast("long"))
+        .withColumn("room", F.get(F.array(*[F.lit(r).cast("long") for r in room]), "home"))
         .withColumn("before", F.coalesce(F.sum("rows").over(in_order), F.lit(0)))
         .withColumn("taken", F.greatest(F.lit(0), F.least("rows", F.col("room") - F.col("before"))).cast("long"))
     )
     at_home = materialize(at_home.select("cell", "first", "rows", "prefs", "home", "taken"), "homes")
-    taken = at_home.groupBy("home").agg(F.sum("taken").alias("taken"))
-    n = at_home.agg(F.sum("rows").alias("n"))
-    free = (
-        spark.range(shards)
-        .select(F.col("id").cast("int").alias("home"))
-        .join(taken, "home", "left")
-        .join(F.broadcast(n))  # one row
-        .select(
-            "home",
-            (F.floor(F.col("n") / shards) + F.when(F.col("home") < F.pmod("n", F.lit(shards)), 1).otherwise(0)
-             - F.coalesce("taken", F.lit(0))).cast("long").alias("free"),
-        )
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("home", "free"))), lambda x: x["free"]).alias("free"))
-    )
+    taken = dict(at_home.groupBy("home").agg(F.sum("taken")).collect())  # a number per shard
+    free = F.array(*[F.lit(r - taken.get(shard, 0)).cast("long") for shard, r in enumerate(room)])
     rest = at_home.where("rows > taken").agg(
         F.array_sort(F.collect_list(F.struct("cell", "first", "rows", "taken", "prefs"))).alias("rest")
     )
@@ -88,7 +75,7 @@ def shares(counts: DataFrame, shards: int, cells: int = CELLS, nodes: int = NODE
                 a -> named_struct('free', a.free, 'out', a.out)),
             acc -> acc.out)
     """
-    moved = rest.join(F.broadcast(free)).select(F.explode(F.expr(walk)).alias("s")).select("s.*")
+    moved = rest.withColumn("free", free).select(F.explode(F.expr(walk)).alias("s")).select("s.*")
     homes = at_home.where("taken > 0").select(
         "cell", "first", F.lit(0).cast("long").alias("low"), F.col("taken").alias("high"), F.col("home").alias("shard")
     )

@@ -6,9 +6,14 @@ signatures: after each batch it is dropped if the posterior probability that its
 below the chosen miss probability. What survives is confirmed on the full sets.
 
 A bucket is never paired with itself. In each round some members of a bucket lead: the others are compared with them,
-unless they are known to be of one component by then. Leaders grow eightfold by round and leave the bucket after it, so
-that all pairs of a bucket are decided or lie within one component at the end, while near copies of one text, however many, are
-joined in the first rounds.
+unless they are known to be of one component by then. The member that meets most others leads first, since near copies
+have it from their original. Leaders grow eightfold by round and leave the bucket after it, so that all pairs of a bucket
+are decided or lie within one component at the end, while near copies of one text, however many, are joined in the first
+rounds.
+
+Two exact bounds keep apart what only looks alike: the shingles that no other document has cannot be in an intersection,
+which rules out most texts with a common passage; and after two rounds the undecided pairs meet by their rarest shingles
+instead (prefix filter), which rules out most texts that were edited from one original, each too much.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tickloom.llm.common import id_and_text, keep_ids
 from tickloom.llm.components import components
@@ -29,6 +34,7 @@ WORDS = 5
 PERCENT = 75  # similarity that links, as 100 * intersection >= PERCENT * union
 BANDS, ROWS = 40, 5  # a pair at the threshold shares no band with probability (1 - 0.75^5)^40 = 2e-5
 FIRST_BANDS = 4  # bands of the first round, which joins most near copies
+LABELLED_ROUNDS = 2  # that update what is known of components; later rounds add few links, older labels only test more
 BATCH = 40  # signatures compared at a time
 MISS = 1e-6  # posterior probability below which a pair is dropped
 
@@ -38,7 +44,7 @@ _MASK = (1 << 64) - 1
 class _WordHashes(dict):
     """64-bit hashes of words, remembered up to a bound."""
 
-    WORDS = 1_000_000
+    WORDS = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > self.WORDS:
@@ -216,6 +222,86 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     return pairs.join(mine, "a").join(other, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
+def _feasible(common: Column, n: Column, other_n: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be similar enough if they share no more than ``common`` shingles."""
+    return (100 + percent) * common >= percent * (n + other_n)
+
+
+def _in_common(docs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Per node: n, the size of its set, and common, how many of its shingles any other of these documents has too.
+
+    What a shingle that only one document has cannot do is link it; so ``common`` bounds the intersection with any
+    other, exactly. Of a node with several texts the bounds hold for each of them.
+    """
+    shingled = _shingle_rows(docs)
+    once = shingled.groupBy("shingle").agg(F.count("*").alias("times"), F.min("node").alias("node")).where("times = 1")
+    alone = once.groupBy("node").agg(F.count("*").alias("alone"))
+    per_node = sizes.groupBy("node").agg(
+        F.min("n_shingles").alias("n"), F.max("n_shingles").alias("most"), F.count("*").alias("texts")
+    )
+    common = F.when(F.col("texts") > 1, F.col("most")).otherwise(F.col("n") - F.coalesce("alone", F.lit(0)))
+    return per_node.join(alone, "node", "left").select("node", "n", common.alias("common"), "texts")
+
+
+def _shingle_rows(docs: DataFrame) -> DataFrame:
+    """A row per document and distinct shingle. Narrow."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                sets = [shingle_set(text.as_py()) for text in part.column("text")]
+                ids = np.repeat(part.column("doc_id").to_numpy(), [len(s) for s in sets])
+                flat = np.concatenate(sets).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(ids)], ["shingle", "node"])
+
+    return id_and_text(docs).mapInArrow(run, "shingle long, node long")
+
+
+def _by_rare_shingles(members: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The same undecided pairs in smaller buckets: documents meet by shingles that few of them have.
+
+    Two sets of which at least ``o`` elements are common share one of the first ``size - o + 1`` elements of either, in
+    any order of all elements; rare shingles come first here. ``o`` follows from the sizes of a node and of the smallest
+    one that it shares a bucket with. Texts that were edited from one original, but each too much to be linked, share
+    nearly all bands, yet few of their rarest shingles.
+    """
+    size, other = F.first("n"), F.min("least")
+    overlap = F.ceil(percent * (size + other) / (100 + percent))
+    nodes = members.groupBy("node").agg(
+        F.first("weight").alias("weight"), size.alias("n"), F.first("common").alias("common"), other.alias("least"),
+        F.when(F.first("texts") == 1, size - overlap + 1).alias("first"),  # of several texts: all
+    )
+    nodes = materialize(nodes, "undecided")
+    rows = _shingle_rows(keep_ids(docs, materialize(nodes.select(F.col("node").alias("doc_id")), "undecided-ids")))
+    rows = materialize(rows.distinct(), "undecided-shingles")
+    times = rows.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    alone = rows.groupBy("shingle").agg(F.count("*").alias("times"), F.min("node").alias("node")).where("times = 1")
+    before = alone.groupBy("node").agg(F.count("*").alias("before"))  # the rarest, which no other has
+    rank = F.row_number().over(W.partitionBy("node").orderBy("times", "shingle")) + F.coalesce("before", F.lit(0))
+    ranked = rows.join(times, "shingle").join(before, "node", "left").withColumn("rank", rank)
+    kept = ranked.join(nodes, "node").where(F.col("first").isNull() | (F.col("rank") <= F.col("first")))
+    return kept.select(
+        F.col("shingle").alias("bucket"), F.lit(FIRST_BANDS).alias("band"), "node", "weight", "n", "common",
+        F.lit(1).cast("long").alias("texts"), "least",
+    )
+
+
+def _centres(links: DataFrame) -> DataFrame:
+    """Per linked node the one with most links among itself and its neighbours: node, component.
+
+    Nodes with the same centre are of one component. Those of one component may have several, which costs tests but no
+    links; near copies mostly share their original as centre.
+    """
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    degrees = both.groupBy("a").agg(F.count("*").alias("degree"))
+    near = both.join(degrees.select(F.col("a").alias("b"), "degree"), "b").select(
+        "a", F.struct("degree", F.col("b").alias("node")).alias("centre")
+    )
+    own = degrees.select("a", F.struct("degree", F.col("a").alias("node")).alias("centre"))
+    return near.unionByName(own).groupBy(F.col("a").alias("node")).agg(F.max("centre")["node"].alias("component"))
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, miss: float = MISS
 ) -> DataFrame:
@@ -232,31 +318,48 @@ def near_duplicates(
     same = shingled.select("set_a", "set_b", "doc_id").join(leaders.where("copies > 1"), ["set_a", "set_b"])
     equal = materialize(same.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")), "equal")
     copies = equal.select(F.col("a").alias("node")).distinct()
-    apart = shingled.select(F.col("doc_id").alias("node"), "bands", "bytes").join(copies, "node", "left_anti")
+    apart = shingled.select(F.col("doc_id").alias("node"), "n_shingles", "bands", "bytes").join(copies, "node", "left_anti")
 
     # buckets that more than one document shares
     members = apart.select("node", F.posexplode("bands").alias("band", "bucket"))
-    shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    open_members = materialize(members.join(shared.select("bucket"), "bucket"), "buckets")
-    signatures = materialize(
-        apart.select("node", "bytes").join(open_members.select("node").distinct(), "node", "left_semi"), "signatures"
+    shared = members.groupBy("bucket").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("met")
     )
+    met = materialize(members.join(shared.where("low < high").drop("low", "high"), "bucket"), "buckets")
+    nodes = materialize(met.select(F.col("node").alias("doc_id")).distinct(), "nodes")
+    inside = apart.join(nodes.withColumnRenamed("doc_id", "node"), "node", "left_semi")
+    signatures = materialize(inside.select("node", "bytes", "n_shingles"), "signatures")
     bounds = least_matches(bands * rows, BATCH, percent, miss)
 
-    links, tested, leaders_per_bucket = None, None, 1
-    members = open_members.withColumn("component", F.col("node"))
+    # the text that most others were made from meets most of them: it leads first
+    weights = met.groupBy("node").agg(F.sum("met").alias("weight"))
+    sized = met.select("bucket", "band", "node").join(weights, "node").join(
+        _in_common(keep_ids(docs, nodes), signatures), "node"
+    )
+    sized = materialize(sized, "sized")
+    least = sized.groupBy("bucket").agg(F.min("n").alias("least"))
+    fit = sized.join(least, "bucket").where(_feasible(F.col("common"), F.col("n"), F.col("least"), percent))
+    two = fit.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    members = materialize(fit.join(two.select("bucket"), "bucket", "left_semi"), "members")
+    links, tested, known, leaders_per_bucket, turn_number = None, None, None, 1, 0
     while not members.isEmpty():
-        first = links is None
-        turn = members.where(F.col("band") < FIRST_BANDS) if first else members
+        first = turn_number == 0
+        if known is None:
+            labelled = members.withColumn("component", F.col("node"))
+        else:
+            labelled = members.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        turn = labelled.where(F.col("band") < FIRST_BANDS) if first else labelled
         slot = F.pmod(F.xxhash64("node", F.lit(leaders_per_bucket)), F.lit(leaders_per_bucket))
-        lead = turn.groupBy("bucket", slot.alias("slot")).agg(
-            F.min("node").alias("leader"), F.min_by("component", "node").alias("leader_component")
+        best = turn.groupBy("bucket", slot.alias("slot")).agg(
+            F.max(F.struct("weight", "node", "component", "n", "common")).alias("best")
         )
-        lead = materialize(lead.drop("slot"), "leaders")
+        lead = best.select("bucket", *[F.col(f"best.{c}").alias(f"leader_{c}") for c in ("node", "component", "n", "common")])
+        lead = materialize(lead, "leaders")
         pairs = (
             turn.join(lead, "bucket")
             .where("component <> leader_component")
-            .select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+            .where(_feasible(F.least("common", "leader_common"), F.col("n"), F.col("leader_n"), percent))
+            .select(F.least("node", "leader_node").alias("a"), F.greatest("node", "leader_node").alias("b"))
             .distinct()
         )
         if tested is not None:
@@ -266,17 +369,23 @@ def near_duplicates(
         confirmed = materialize(_confirmed(likely, docs, percent).distinct(), "links")
         links = confirmed if first else links.unionByName(confirmed)
         tested = pairs if first else tested.unionByName(pairs)
-        # those who led are done; a bucket whose others are of one component by now is, too
-        led = lead.select("bucket", F.col("leader").alias("node"))
-        rest = members.drop("component").join(led, ["bucket", "node"], "left_anti")
-        rest = rest.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        if turn_number < LABELLED_ROUNDS:
+            known = materialize(_centres(links), "centres")
+        # those who led are done; a bucket whose others are known to be of one component is, too
+        led = lead.select("bucket", F.col("leader_node").alias("node"))
+        rest = members.join(led, ["bucket", "node"], "left_anti").join(known, "node", "left")
+        component = F.coalesce("component", "node")
         undecided = (
             rest.groupBy("bucket")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            .agg(F.min(component).alias("low"), F.max(component).alias("high"))
             .where("low < high")
         )
-        members = materialize(rest.join(undecided.select("bucket"), "bucket", "left_semi"), "members")
+        open_again = rest.drop("component").join(undecided.select("bucket"), "bucket", "left_semi")
+        members = materialize(open_again, "members")
         leaders_per_bucket *= 8
+        turn_number += 1
+        if turn_number == LABELLED_ROUNDS:
+            members = materialize(_by_rare_shingles(members, docs, percent), "members")
 
     if links is not None:
         equal = equal.unionByName(links)

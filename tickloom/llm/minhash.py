@@ -136,17 +136,22 @@ def survives(a: bytes, b: bytes, bounds: tuple[int, ...], batch: int = BATCH) ->
     return True
 
 
+def low_bytes(least: np.ndarray) -> bytes:
+    """What of a signature is compared."""
+    return (least & np.uint32(255)).astype(np.uint8).tobytes()
+
+
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """Per row: doc_id, n_shingles, two hashes of the set, the bands, and a byte of each signature. Narrow."""
+    """Per row: doc_id, n_shingles, two hashes of the set, and the bands. Narrow."""
     count = bands * rows
-    schema = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, bytes binary"
+    schema = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = np.array([pow(0x9E3779B97F4A7C15, i, 1 << 64) for i in range(rows)], np.uint64)
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                sizes, set_a, set_b, cut, low = [], [], [], [], []
+                sizes, set_a, set_b, cut = [], [], [], []
                 for text in part.column("text"):
                     hashes = shingle_set(text.as_py())
                     digest = xxhash.xxh3_128_intdigest(hashes.tobytes())
@@ -156,48 +161,33 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame
                     least = signature(hashes, count)
                     keys = (least.astype(np.uint64).reshape(bands, rows) * powers).sum(axis=1, dtype=np.uint64)
                     cut.append(mixed(keys + np.arange(bands, dtype=np.uint64)))
-                    low.append((least & np.uint32(255)).astype(np.uint8).tobytes())
                 signed = [pa.array(np.array(v, np.uint64).view(np.int64)) for v in (set_a, set_b)]
                 flat = pa.array(np.concatenate(cut).view(np.int64))
                 offsets = pa.array(np.arange(len(cut) + 1, dtype=np.int32) * bands)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), pa.array(sizes, pa.int64()), *signed,
-                        pa.ListArray.from_arrays(offsets, flat), pa.array(low, pa.binary()),
+                        pa.ListArray.from_arrays(offsets, flat),
                     ],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "bands", "bytes"],
+                    ["doc_id", "n_shingles", "set_a", "set_b", "bands"],
                 )
 
     return id_and_text(docs).mapInArrow(run, schema)
 
 
-def _likely(pairs: DataFrame, signatures: DataFrame, bounds: tuple[int, ...], batch: int = BATCH) -> DataFrame:
-    """Pairs (a, b) that no batch of signatures rules out."""
-    mine = signatures.select(F.col("node").alias("a"), F.col("bytes").alias("bytes_a"))
-    other = signatures.select(F.col("node").alias("b"), F.col("bytes").alias("bytes_b"))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches:
-            left, right = part.column("bytes_a").to_pylist(), part.column("bytes_b").to_pylist()
-            kept = [survives(x, y, bounds, batch) for x, y in zip(left, right)]
-            yield part.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
-
-    return pairs.join(mine, "a").join(other, "b").select("a", "b", "bytes_a", "bytes_b").mapInArrow(
-        run, "a long, b long"
-    )
-
-
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """doc_id and its sorted shingle hashes as bytes."""
+def signed_sets(docs: DataFrame, count: int) -> DataFrame:
+    """Per row: its doc_id as node, its sorted shingle hashes and a byte of each signature. Narrow."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                sets = [shingle_set(text.as_py()).tobytes() for text in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(sets, pa.binary())], ["node", "set"])
+                sets = [shingle_set(text.as_py()) for text in part.column("text")]
+                low = [low_bytes(signature(s, count)) for s in sets]
+                columns = [part.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(low, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "set", "bytes"])
 
-    return id_and_text(docs).mapInArrow(run, "node long, set binary")
+    return id_and_text(docs).mapInArrow(run, "node long, set binary, bytes binary")
 
 
 def linked(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
@@ -206,20 +196,27 @@ def linked(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
     return common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose full sets are similar enough. Sets are made anew from the texts of the documents in question."""
+def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, count: int, miss: float) -> DataFrame:
+    """Pairs (a, b) that no batch of signatures rules out and whose full sets are similar enough.
+
+    Sets and signatures are made anew from the texts of the documents in question.
+    """
     nodes = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = shingle_sets(keep_ids(docs, materialize(nodes, "survivors")))
-    mine = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"))
-    other = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
+    sets = signed_sets(keep_ids(docs, materialize(nodes, "paired")), count)
+    mine = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a"), F.col("bytes").alias("bytes_a"))
+    other = sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"), F.col("bytes").alias("bytes_b"))
+    bounds = least_matches(count, BATCH, percent, miss)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            rows = zip(part.column("set_a"), part.column("set_b"))
-            kept = [linked(x.as_py(), y.as_py(), percent) for x, y in rows]
+            rows = zip(*(part.column(name) for name in ("set_a", "set_b", "bytes_a", "bytes_b")))
+            kept = [
+                survives(p.as_py(), q.as_py(), bounds) and linked(x.as_py(), y.as_py(), percent) for x, y, p, q in rows
+            ]
             yield part.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    return pairs.join(mine, "a").join(other, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    both = pairs.join(mine, "a").join(other, "b").select("a", "b", "set_a", "set_b", "bytes_a", "bytes_b")
+    return both.mapInArrow(run, "a long, b long")
 
 
 def _feasible(common: Column, n: Column, other_n: Column, percent: int) -> Column:
@@ -318,7 +315,7 @@ def near_duplicates(
     same = shingled.select("set_a", "set_b", "doc_id").join(leaders.where("copies > 1"), ["set_a", "set_b"])
     equal = materialize(same.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")), "equal")
     copies = equal.select(F.col("a").alias("node")).distinct()
-    apart = shingled.select(F.col("doc_id").alias("node"), "n_shingles", "bands", "bytes").join(copies, "node", "left_anti")
+    apart = shingled.select(F.col("doc_id").alias("node"), "n_shingles", "bands").join(copies, "node", "left_anti")
 
     # buckets that more than one document shares
     members = apart.select("node", F.posexplode("bands").alias("band", "bucket"))
@@ -327,14 +324,12 @@ def near_duplicates(
     )
     met = materialize(members.join(shared.where("low < high").drop("low", "high"), "bucket"), "buckets")
     nodes = materialize(met.select(F.col("node").alias("doc_id")).distinct(), "nodes")
-    inside = apart.join(nodes.withColumnRenamed("doc_id", "node"), "node", "left_semi")
-    signatures = materialize(inside.select("node", "bytes", "n_shingles"), "signatures")
-    bounds = least_matches(bands * rows, BATCH, percent, miss)
+    sizes = apart.select("node", "n_shingles").join(nodes.withColumnRenamed("doc_id", "node"), "node", "left_semi")
 
     # the text that most others were made from meets most of them: it leads first
     weights = met.groupBy("node").agg(F.sum("met").alias("weight"))
     sized = met.select("bucket", "band", "node").join(weights, "node").join(
-        _in_common(keep_ids(docs, nodes), signatures), "node"
+        _in_common(keep_ids(docs, nodes), sizes), "node"
     )
     sized = materialize(sized, "sized")
     least = sized.groupBy("bucket").agg(F.min("n").alias("least"))
@@ -365,8 +360,7 @@ def near_duplicates(
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        likely = materialize(_likely(pairs, signatures, bounds).distinct(), "likely")
-        confirmed = materialize(_confirmed(likely, docs, percent).distinct(), "links")
+        confirmed = materialize(_confirmed(pairs, docs, percent, bands * rows, miss).distinct(), "links")
         links = confirmed if first else links.unionByName(confirmed)
         tested = pairs if first else tested.unionByName(pairs)
         if turn_number < LABELLED_ROUNDS:

@@ -30,9 +30,12 @@ class PieceEncoder:
     """Texts to ids as little-endian unsigned 32-bit bytes, equal to ``whole`` of each text."""
 
     PIECES = 1_000_000  # the memory of pieces is emptied beyond this many
+    WORDS = 500_000  # the same where case and punctuation are taken off, which leaves fewer pieces
 
     def __init__(self, by_words: bool) -> None:
         self._by_words = by_words
+        if by_words:
+            self.PIECES = self.WORDS
         self._known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:

@@ -26,7 +26,7 @@ from tickloom.llm.common import documents_of, id_and_text
 from tickloom.llm.tokens import PieceEncoder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-_BITS = 64
+_BITS = 256  # of a word of the bitmap: two levels hold all ranks
 
 
 class RankQueue:
@@ -63,16 +63,16 @@ class RankQueue:
             word = words[rank]
             rank = rank * _BITS + (word & -word).bit_length() - 1
         bucket = self._buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self._buckets[rank]
-            place = rank
-            for words in self._levels:
-                place, bit = divmod(place, _BITS)
-                words[place] ^= 1 << bit
-                if words[place]:
-                    break
-        return rank, position
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        del self._buckets[rank]
+        place = rank
+        for words in self._levels:
+            place, bit = divmod(place, _BITS)
+            words[place] = left = words[place] ^ 1 << bit
+            if left:
+                break
+        return rank, bucket[0]
 
 
 class BytePairEncoder(PieceEncoder):
@@ -93,29 +93,31 @@ class BytePairEncoder(PieceEncoder):
         known = ranks.get(data)
         if known is not None or not data:
             return [known] if data else []
-        queue, size = self._queue, len(data)
-        following = list(range(1, size + 1))  # start of the next part; the end of this one
+        queue, size, rank_of = self._queue, len(data), ranks.get
+        push, pop = queue.push, queue.pop
+        following = list(range(1, size + 1))  # start of the next part, the end of this one
         before = list(range(-1, size))
-        pair: list[int | None] = [None] * (size + 1)
-        for left in range(size - 1):
-            rank = pair[left] = ranks.get(data[left : left + 2])
+        pair = [rank_of(data[left : left + 2]) for left in range(size)]  # rank of a part with the next one
+        pair[size - 1] = None
+        for left, rank in enumerate(pair):
             if rank is not None:
-                queue.push(rank, left)
+                push(rank, left)
         while queue:
-            rank, left = queue.pop()
+            rank, left = pop()
             if pair[left] != rank:
                 continue  # stale
             right = following[left]
             end = following[left] = following[right]
             before[end] = left
             pair[right] = None
-            for at in (left, before[left]):
-                if at < 0:
-                    continue
-                middle = following[at]
-                rank = pair[at] = ranks.get(data[at : following[middle]]) if middle < size else None
+            rank = pair[left] = rank_of(data[left : following[end]]) if end < size else None
+            if rank is not None:
+                push(rank, left)
+            earlier = before[left]
+            if earlier >= 0:
+                rank = pair[earlier] = rank_of(data[earlier:end])
                 if rank is not None:
-                    queue.push(rank, at)
+                    push(rank, earlier)
         ids, at = [], 0
         while at < size:
             ids.append(ranks[data[at : following[at]]])
@@ -128,6 +130,20 @@ class BytePairEncoder(PieceEncoder):
             ids.extend(self.merge(match.encode()))
         return ids.tobytes()
 
+    def pieces(self, texts: list[str]) -> list[bytes]:
+        """One search of the pattern for all: a new line between pieces is a match by itself, see ``PieceEncoder``."""
+        found = []
+        matches = iter(self._matches("\n".join([text.removeprefix("\n") for text in texts]) + "\n"))
+        line = array("I", self.merge(b"\n"))
+        for text in texts:
+            ids = line[:] if text.startswith("\n") else array("I")
+            for match in matches:
+                if match == "\n":
+                    break
+                ids.extend(self.merge(match.encode()))
+            found.append(ids.tobytes())
+        return found
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self._tokens.__getitem__, memoryview(ids).cast("I")))
 

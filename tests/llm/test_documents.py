@@ -270,6 +270,19 @@ def test_passages_planted_in_other_texts(docs_of):
             assert not any(found[i])
 
 
+def test_first_documents_that_hold_only_parts(docs_of):
+    """Sixty words that two documents share, word for word or nearly, after ones that hold only parts of them."""
+    rows = []
+    for i in range(30):
+        passage = WORDS[100 * i : 100 * i + 60]
+        near = passage[:12] + ["changed"] + passage[13:]
+        parts = [passage[:40], passage[20:], passage[:45], passage, passage if i % 2 else near]
+        rows += [(1000 * k + i, f"a{k}x{i} " * 3 + " ".join(part) + f" b{k}x{i}" * 3) for k, part in enumerate(parts)]
+    found = marked(passages.repeated_passages(docs_of(rows)).collect(), rows)
+    assert all(not any(found[k * 1000 + i]) for k in range(3) for i in range(30))
+    assert all(all(found[4000 + i][3:63]) for i in range(30))
+
+
 def test_repeats_are_cut_out(docs_of):
     passage = words(0, 70)
     rows = [(1, f"one {passage} two"), (2, f"Three {passage.upper()}\nfour five"), (3, passage), (4, None), (5, "clean")]

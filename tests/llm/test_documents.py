@@ -283,6 +283,21 @@ def test_first_documents_that_hold_only_parts(docs_of):
     assert all(all(found[4000 + i][3:63]) for i in range(30))
 
 
+@pytest.mark.parametrize("quoted", [6, 20, 40, 45])
+@pytest.mark.parametrize("near", [False, True])
+def test_a_source_that_quotes_the_opening_first(quoted, near):
+    passage = WORDS[0:70]
+    again = passage[:20] + ["changed"] + passage[21:] if near else passage
+    source = passage[:quoted] + WORDS[100:200] + passage + WORDS[200:220]
+    for text, base in ((WORDS[300:310] + again + WORDS[310:320], 10), (source + WORDS[300:310] + again, len(source) + 10)):
+        hashes = minhash.word_hashes(" ".join(text))
+        of = None if base > 10 else minhash.word_hashes(" ".join(source))
+        covered = set()
+        for start, end, *_ in passages.shared_passages(hashes, of):
+            covered |= set(range(start, end))
+        assert covered >= set(range(base, base + 70)) and min(covered) >= base
+
+
 def test_repeats_are_cut_out(docs_of):
     passage = words(0, 70)
     rows = [(1, f"one {passage} two"), (2, f"Three {passage.upper()}\nfour five"), (3, passage), (4, None), (5, "clean")]

@@ -298,6 +298,22 @@ def test_a_source_that_quotes_the_opening_first(quoted, near):
         assert covered >= set(range(base, base + 70)) and min(covered) >= base
 
 
+def test_near_passages_in_short_documents_are_candidates():
+    """Similarity 0.75 to 0.85, without other words around or with few."""
+    generator, missed = random.Random(8), 0
+    for i in range(600):
+        length, edits, around = ((55, 1, 0), (52, 1, 0), (60, 2, 0), (52, 1, 5), (55, 1, 20), (60, 1, 5))[i % 6]
+        fresh = iter(f"v{i}y{generator.randrange(10**9)}" for _ in range(1000))
+        passage = [next(fresh) for _ in range(length)]
+        near = list(passage)
+        for k in generator.sample(range(length), edits):
+            near[k] = next(fresh)
+        found = [passages.bucket_keys(" ".join([next(fresh) for _ in range(around)] + t))[0] for t in (passage, near)]
+        a, b = (set(keys[keys & np.uint64(1) == 0].tolist()) for keys in found)
+        missed += len(a & b) < passages.ENOUGH
+    assert missed <= 6  # 1%
+
+
 def test_repeats_are_cut_out(docs_of):
     passage = words(0, 70)
     rows = [(1, f"one {passage} two"), (2, f"Three {passage.upper()}\nfour five"), (3, passage), (4, None), (5, "clean")]

@@ -140,6 +140,14 @@ def test_near_duplicates_of_odd_rows(odd, odd_rows, no_rows):
     assert minhash.near_duplicates(no_rows).count() == 0
 
 
+def test_a_repeated_id_whose_second_text_has_a_near_copy(docs_of):
+    """One text of document 5 is folded into document 3; the other one keeps its links, also if texts differ in size."""
+    other = WORDS[500:600]
+    rows = [(5, words(0, 400)), (5, " ".join(other)), (3, words(0, 400)), (2, " ".join(other[:90] + ["changed"] + other[91:]))]
+    found = minhash.near_duplicates(docs_of(rows)).collect()
+    assert len(found) == 4 and {row.doc_id: row.component_id for row in found} == groups(rows) == {5: 2, 3: 2, 2: 2}
+
+
 def test_bounds_keep_pairs_at_the_threshold():
     bounds = minhash.least_matches(200)
     assert list(bounds) == sorted(bounds) and bounds[-1] < 150

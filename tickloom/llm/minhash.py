@@ -314,8 +314,10 @@ def near_duplicates(
     leaders = shingled.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"))
     same = shingled.select("set_a", "set_b", "doc_id").join(leaders.where("copies > 1"), ["set_a", "set_b"])
     equal = materialize(same.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b")), "equal")
-    copies = equal.select(F.col("a").alias("node")).distinct()
-    apart = shingled.select(F.col("doc_id").alias("node"), "n_shingles", "bands").join(copies, "node", "left_anti")
+    # a doc_id may have several texts: only rows whose very set another one stands for leave
+    distinct = shingled.select("set_a", "set_b", F.col("doc_id").alias("node"), "n_shingles", "bands")
+    copies = same.where("doc_id <> node").select("set_a", "set_b", F.col("doc_id").alias("node")).distinct()
+    apart = distinct.join(copies, ["set_a", "set_b", "node"], "left_anti").select("node", "n_shingles", "bands")
 
     # buckets that more than one document shares
     members = apart.select("node", F.posexplode("bands").alias("band", "bucket"))
@@ -324,7 +326,8 @@ def near_duplicates(
     )
     met = materialize(members.join(shared.where("low < high").drop("low", "high"), "bucket"), "buckets")
     nodes = materialize(met.select(F.col("node").alias("doc_id")).distinct(), "nodes")
-    sizes = apart.select("node", "n_shingles").join(nodes.withColumnRenamed("doc_id", "node"), "node", "left_semi")
+    # of all texts of a node, also folded ones: the bounds count their shingles, too
+    sizes = shingled.select(F.col("doc_id").alias("node"), "n_shingles").join(nodes.withColumnRenamed("doc_id", "node"), "node", "left_semi")
 
     # the text that most others were made from meets most of them: it leads first
     weights = met.groupBy("node").agg(F.sum("met").alias("weight"))

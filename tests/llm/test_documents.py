@@ -322,6 +322,13 @@ def test_near_passages_in_short_documents_are_candidates():
     assert missed <= 6  # 1%
 
 
+def test_texts_of_one_id_that_share_a_passage(docs_of):
+    passage = words(0, 70)
+    rows = [(5, f"one {passage} two"), (5, f"three {passage} four"), (6, "clean")]
+    kept = [row.text for row in passages.remove_repeats(docs_of(rows)).collect()]
+    assert sorted(text.count(passage) for text in kept) == [0, 0, 1] and len(kept) == 3
+
+
 def test_repeats_are_cut_out(docs_of):
     passage = words(0, 70)
     rows = [(1, f"one {passage} two"), (2, f"Three {passage.upper()}\nfour five"), (3, passage), (4, None), (5, "clean")]

@@ -283,3 +283,17 @@ def test_half_written_extension_heals(spark, layers):
     tables.append_table(jobs.dated(partial), layers.gold, [jobs.CANDLE_DATE])
     jobs.extend_gold(spark, layers.path, layers.gold)
     assert layers.shown() == layers.expected(F.lit(True))
+
+
+def test_files_of_an_arrival_grow_with_its_rows(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tickloom.plans import feeds
+
+    rows = spark.range(100)
+    arrival = F.when(F.col("id") < 90, 0).otherwise(1)
+    assert feeds.land(rows, arrival, str(tmp_path / "few")) == 4
+    monkeypatch.setattr(feeds, "FILE_ROWS", 10)
+    assert feeds.land(rows, arrival, str(tmp_path / "many")) == 9
+    assert len(list((tmp_path / "many").glob("*.parquet"))) == 18
+    assert spark.read.parquet(str(tmp_path / "many")).count() == 100

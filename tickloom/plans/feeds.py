@@ -101,7 +101,8 @@ def envelope_of(rows: DataFrame) -> DataFrame:
     )
 
 
-LANDING_FILES = 4  # of each arrival, so that a trigger of as many files takes just one
+LANDING_FILES = 4  # of each arrival at least, so that a trigger of as many files takes just one
+FILE_ROWS = 1_000_000  # of the largest arrival in a file; all arrivals have as many files
 
 
 def week_of(time: Column) -> Column:
@@ -114,15 +115,19 @@ def is_late() -> Column:
     return (F.col("user_id") == LATE_USER) & (week_of(F.col("event_time")) == 0)
 
 
-def land(rows: DataFrame, arrival: Column, path: str) -> None:
+def land(rows: DataFrame, arrival: Column, path: str) -> int:
     """Write a feed as it arrives, one append per arrival in order: a stream of the folder takes them one by one.
 
-    Every arrival has the same number of files, whatever its size, and the files of one are older than those of the next.
+    Every arrival has the same number of files, which is returned and grows with the largest one, and the files of one
+    are older than those of the next.
     """
     arrived = rows.withColumn("_arrival", arrival)
-    for (number,) in sorted(arrived.select("_arrival").distinct().collect()):  # a handful
+    sizes = sorted(tuple(row) for row in arrived.groupBy("_arrival").count().collect())  # a handful
+    files = max([LANDING_FILES, *(-(-size // FILE_ROWS) for _, size in sizes)])
+    for number, _ in sizes:
         part = arrived.where(F.col("_arrival") == number).drop("_arrival")
-        part.repartition(LANDING_FILES).write.mode("append").parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)
+    return files
 
 
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:

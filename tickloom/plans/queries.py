@@ -282,8 +282,8 @@ def _trade_stream(spark, sf_dir, copies=False, late=False):
     if late:
         arrival = F.when(feeds.is_late(), F.lit(3)).otherwise(arrival)
     path = scratch_path(spark, "arrivals")
-    feeds.land(rows, arrival, path)
-    return tables.stream_table(spark, path, rows.schema, max_files_per_trigger=feeds.LANDING_FILES)
+    files = feeds.land(rows, arrival, path)
+    return tables.stream_table(spark, path, rows.schema, max_files_per_trigger=files)
 
 
 def _sink(spark, name):

@@ -12,10 +12,10 @@ into one deterministic transducer whose states are made when first met:
 * Between pieces, a small machine over classes of characters (letters, digits, white space, apostrophe, others) says
   where a piece ends; white space and contractions are decided one or two characters late.
 
-A text is cut into chunks. Each chunk has a map from the state before it to the state after it and the tokens in
-between; maps compose associatively, and a prefix scan over them gives each chunk its state and count. A chunk that
-follows a character that is no white space, and itself begins with white space, starts afresh whatever was before: its
-map is constant, and is remembered.
+A text is cut into chunks, which are run in sequence: each has a map from the state before it to the state after it and
+the tokens in between, and only the state that the chunk before left is looked up. A chunk that follows a character that
+is no white space, and itself begins with white space, starts afresh whatever was before: its map is constant, and is
+remembered.
 """
 
 from __future__ import annotations

@@ -1,0 +1,357 @@
+"""Runs of words, SimHash and spelling variants against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tickloom.llm import runs, simhash, spelling
+from tickloom.llm.queries import registry, with_repeats
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words_of(text):
+    return WORD.findall(text or "")
+
+
+def ascii_lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+class Sets:
+    def __init__(self):
+        self.up = {}
+
+    def find(self, x):
+        self.up.setdefault(x, x)
+        while self.up[x] != x:
+            x = self.up[x]
+        return x
+
+    def union(self, a, b):
+        a, b = sorted((self.find(a), self.find(b)))
+        self.up[b] = a
+
+
+# ---- runs -------------------------------------------------------------------------------------------------------
+def brute_runs(words, shortest=12):
+    found = []
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            length = i - start + q
+            if i > start and length >= max(shortest, 2 * q):
+                part = words[start : start + length]
+                if not any(part[r:] == part[:-r] for r in range(1, q)):
+                    found.append((start, length, q))
+            i = max(i, start) + (i == start or i + q < len(words))
+    return sorted(found, key=lambda run: (run[0], run[2]))
+
+
+def planted(doc_id, words):
+    code = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or code % 10 or not words:
+        return words
+    g, n = code // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def digests(doc_id, text):
+    words = planted(doc_id, words_of(text))
+    found = brute_runs(words)
+    kept = [True] * len(words)
+    for start, length, q in found:
+        kept[start + q : start + length] = [False] * (length - q)
+    best = min(found, key=lambda run: (-run[1], run[0], run[2]), default=(None, None, None))
+    lines = "".join(f"{a},{b},{c}\n" for a, b, c in found)
+    left = " ".join(w for w, k in zip(words, kept) if k)
+    milli = None if best[0] is None else 1000 * best[1] // best[2]
+    return (doc_id, len(found), *best, milli, *(hashlib.sha256(x.encode()).hexdigest() for x in (lines, left)))
+
+
+def test_op11_runs(spark, sf_dir, given):
+    short = [(i, t) for i, t in given if len(t or "") < 12_000]
+    rows = {row.doc_id: tuple(row) for row in registry()["op11_runs"](spark, sf_dir).collect()}
+    assert len(rows) == len(given)
+    assert [rows[i] for i, _ in short] == [digests(i, t) for i, t in short]
+    assert sum(row[1] > 0 for row in rows.values()) > 10
+
+
+def test_op11_types(spark, sf_dir):
+    types = dict(registry()["op11_runs"](spark, sf_dir).dtypes)
+    assert {types[c] for c in ("doc_id", "n_runs", "start", "length", "period", "exponent_milli")} == {"bigint"}
+
+
+@pytest.mark.parametrize("letters", [1, 2, 3, 5])
+def test_runs_of_random_words(letters):
+    rng = random.Random(letters)
+    for _ in range(300):
+        words = [rng.randrange(letters) for _ in range(rng.randint(0, 60))]
+        if words and rng.random() < 0.5:
+            a = rng.randrange(len(words))
+            p = 1 + rng.randrange(max(1, (len(words) - a) // 2))
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        for shortest in (2, 5, 12):
+            assert runs.runs_of(words, shortest) == brute_runs(words, shortest)
+
+
+def test_stretches_hold_all_runs():
+    rng = random.Random(7)
+    for _ in range(200):
+        words = np.array([rng.randrange(3) for _ in range(80)])
+        parts = runs.stretches(words)
+        for start, length, _ in brute_runs(words.tolist()):
+            assert any(a <= start and start + length <= b for a, b in parts)
+
+
+def test_link_cut_access_tells_last_ends():
+    rng = random.Random(3)
+    parents = [0, 0] + [rng.randrange(1, i) for i in range(2, 200)]
+    paths, last = runs.Paths(parents), {}
+    for end in range(500):
+        node = at = rng.randrange(1, 200)
+        expected = []
+        while at:
+            if at in last and (not expected or expected[-1][0] != last[at]):
+                expected.append((last[at], at))
+            last[at] = end
+            at = parents[at]
+        assert paths.access(node, end) == expected
+
+
+def test_a_long_text_of_one_word(docs_of):
+    (row,) = runs.periodic_runs(docs_of([(1, "ha " * 50_000)])).collect()
+    assert [tuple(r) for r in row.runs] == [(0, 50_000, 1)] and row.collapsed == "ha"
+
+
+def test_runs_of_odd_rows(odd, odd_rows, no_rows):
+    rows = runs.periodic_runs(odd).collect()
+    assert Counter((r.doc_id, r.collapsed) for r in rows) == Counter((i, " ".join(words_of(t))) for i, t in odd_rows)
+    assert runs.periodic_runs(no_rows).count() == 0
+    assert Counter(tuple(r) for r in with_repeats(odd).collect()).keys() >= {(None, None), (None, "no id")}
+    assert with_repeats(no_rows).count() == 0
+
+
+# ---- SimHash ----------------------------------------------------------------------------------------------------
+def brute_print(text):
+    words = words_of(ascii_lower(text))
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def brute_groups(rows, radius=2):
+    prints = [(i, brute_print(t)) for i, t in rows if i is not None]
+    sets = Sets()
+    for at, (i, p) in enumerate(prints):
+        sets.find(i)
+        for j, q in prints[:at]:
+            if (p ^ q).bit_count() <= radius:
+                sets.union(i, j)
+    return sets
+
+
+def test_op12_simhash(spark, sf_dir, given):
+    rows = registry()["op12_simhash"](spark, sf_dir).collect()
+    sets = brute_groups(given)
+    assert sorted(map(tuple, rows)) == sorted((i, f"{brute_print(t):016x}", sets.find(i)) for i, t in given)
+    assert len({row.component_id for row in rows}) < len(rows)
+
+
+def test_print_equals_that_of_the_engine(spark):
+    text = "Été à la plage, İ 12 x\x85y \x1c z"
+    words = words_of(ascii_lower(text))
+    made = spark.createDataFrame([(" ".join(words[i : i + 3]),) for i in range(len(words) - 2)], "s string")
+    hashes = [row[0] % 2**64 for row in made.select(F.xxhash64("s")).collect()]
+    want = sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+    assert simhash.fingerprint(text) == want == brute_print(text)
+
+
+def test_blocks_of_a_long_text(monkeypatch):
+    text = " ".join(f"w{i % 700}" for i in range(3000))
+    whole = simhash.fingerprint(text)
+    monkeypatch.setattr(simhash, "_BLOCK", 64)
+    assert simhash.fingerprint(text) == whole
+
+
+def near_prints(rng, n, flips=4):
+    """Fingerprints around a few centres, all different."""
+    centres = [rng.getrandbits(64) for _ in range(3)] + [0, 2**64 - 1]
+    made = set()
+    while len(made) < n:
+        value = rng.choice(centres)
+        for _ in range(rng.randint(0, flips)):
+            value ^= 1 << rng.randrange(64)
+        made.add(value)
+    return sorted(made, key=lambda _: rng.random())
+
+
+def test_tree_search_equals_all_pairs():
+    rng = random.Random(11)
+    for _ in range(30):
+        prints = np.array(near_prints(rng, 150), np.uint64)
+        buckets = np.sort(np.array([rng.randrange(3) for _ in prints]))
+        buckets = np.unique(buckets, return_inverse=True)[1]
+        a, b = simhash.Forest(prints, buckets).search(np.arange(len(prints)))
+        found = sorted(zip(a.tolist(), b.tolist()))
+        assert found == [
+            (i, j) for i in range(150) for j in range(150)
+            if i != j and buckets[i] == buckets[j] and int(prints[i] ^ prints[j]).bit_count() <= 2
+        ]
+
+
+@pytest.mark.parametrize("split", [2, 4096])
+def test_links_join_what_all_pairs_join(spark, split):
+    prints = near_prints(random.Random(split), 400)
+    rows = [(p - (1 << 64) if p >> 63 else p, i) for i, p in enumerate(prints)]
+    frame = spark.createDataFrame(rows, "print long, node long")
+    links = [(r.a, r.b) for r in simhash.near_links(frame, split=split).collect()]
+    got, want = Sets(), Sets()
+    for a, b in links:
+        got.union(a, b)
+    for i, p in enumerate(prints):
+        for j, q in enumerate(prints[:i]):
+            if (p ^ q).bit_count() <= 2:
+                want.union(i, j)
+    assert [got.find(i) for i in range(400)] == [want.find(i) for i in range(400)]
+
+
+def test_buckets_lose_no_pair():
+    for mask_bits in combinations_of_two():
+        assert any(not mask & mask_bits for mask in simhash._masks(list(range(64)), 16, 2))
+
+
+def combinations_of_two():
+    return [1 << i | 1 << j for i in range(64) for j in range(i)]
+
+
+def test_simhash_of_odd_rows(odd, odd_rows, no_rows):
+    rows = simhash.near_duplicates(odd).collect()
+    assert Counter((r.doc_id, r.fingerprint) for r in rows) == Counter((i, f"{brute_print(t):016x}") for i, t in odd_rows)
+    sets = brute_groups(odd_rows)  # rows of one doc_id are one node there, too
+    assert all(r.component_id == (None if r.doc_id is None else sets.find(r.doc_id)) for r in rows)
+    assert simhash.near_duplicates(no_rows).collect() == []
+
+
+def test_texts_of_one_id_join_their_groups(docs_of):
+    a, b, c = ("alpha " * 9, " ".join(f"b{i}" for i in range(40)), " ".join(f"c{i}" for i in range(40)))
+    rows = simhash.near_duplicates(docs_of([(1, a), (2, a), (2, b), (3, b), (4, c), (5, c)])).collect()
+    assert {r.doc_id: r.component_id for r in rows} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+
+
+# ---- spelling ---------------------------------------------------------------------------------------------------
+def is_near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def brute_counts(rows, divisor):
+    counts = Counter()
+    for doc_id, text in rows:
+        for word in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            word = ascii_lower(word)
+            code = zlib.crc32(f"{doc_id}:{word}".encode())
+            if divisor and doc_id is not None and code % divisor == 0:
+                at = code % len(word)
+                word = word[:at] + word[at + 1 :]
+            counts[word] += 1
+    counts.pop("", None)
+    return counts
+
+
+def brute_spelling(counts, letters=6, times=5, factor=5):
+    words = {w: n for w, n in counts.items() if len(w) >= letters and n >= times}
+    by_deletion = defaultdict(set)
+    for w in words:
+        for key in {w} | {w[:i] + w[i + 1 :] for i in range(len(w))}:
+            by_deletion[key].add(w)
+    near = defaultdict(set)
+    for group in by_deletion.values():
+        for a in group:
+            near[a] |= {b for b in group if is_near(a, b)}
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best and words[best] >= factor * n else None
+    out = []
+    for w, n in words.items():
+        root = w
+        while form[root]:
+            root = form[root]
+        out.append((w, form[w], root, n, len(near[w]), words[form[w]] if form[w] else None))
+    return sorted(out)
+
+
+def as_tuples(frame):
+    return sorted(map(tuple, frame.select("word", "form", "root", "n", "n_near", "form_n").collect()))
+
+
+def test_op13_spelling(spark, sf_dir, given):
+    expected = brute_spelling(brute_counts(given, 199))
+    assert as_tuples(registry()["op13_spelling"](spark, sf_dir)) == expected
+    assert expected
+
+
+def random_vocabulary(rng, n):
+    words = {"".join(rng.choice("abé") for _ in range(rng.randint(1, 9))) for _ in range(n)}
+    return {w: rng.choice([1, 5, 5, 6, 30, 150, 700, 4000]) for w in words}
+
+
+@pytest.mark.parametrize("split", [3, 2048])
+def test_groups_of_a_dense_vocabulary(spark, split):
+    counts = random_vocabulary(random.Random(split), 500)
+    frame = spark.createDataFrame(list(counts.items()), "word string, n long")
+    for letters in (1, 6):
+        got = as_tuples(spelling.spelling_groups(frame, least_letters=letters, least_times=1, split=split))
+        assert got == brute_spelling(counts, letters, 1)
+        assert any(row[2] not in (row[0], row[1]) for row in got) or letters == 6  # a chain of forms
+
+
+def test_composition_gives_each_pair_once():
+    rng = random.Random(4)
+    for _ in range(300):
+        words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(1, 6))) for _ in range(25)})
+        pairs = list(spelling.Composition(spelling.Acceptor(words)).pairs())
+        assert len({(a, b) for _, a, b in pairs}) == len(pairs)
+        assert {frozenset(p[1:]) for p in pairs} == {frozenset((a, b)) for a in words for b in words if a < b and is_near(a, b)}
+
+
+def test_acceptor_is_minimal():
+    acceptor = spelling.Acceptor(["aac", "abc", "bac", "bbc"])
+    assert len(acceptor.edges) == 4  # one state a letter, and the last one
+    assert spelling.Composition(acceptor).common(acceptor.initial, acceptor.initial) != []
+
+
+def test_word_of_many_letters(spark, docs_of):
+    long = "q" * 20_000
+    docs = docs_of([(i, f"{long} {long}z") for i in range(6)] + [(9, f"{long} " * 30)])
+    counts = spelling.word_counts(docs)
+    assert [(len(r[0]), len(r[1] or ""), *r[3:]) for r in as_tuples(spelling.spelling_groups(counts))] == [
+        (20_000, 0, 36, 1, None), (20_001, 20_000, 6, 1, 36),
+    ]
+
+
+def test_words_of_odd_rows(spark, odd, odd_rows, no_rows):
+    counts = {r.word: r.n for r in spelling.word_counts(odd, divisor=3).collect()}
+    assert counts == dict(brute_counts(odd_rows, 3))
+    assert spelling.word_counts(no_rows).count() == 0
+    assert spelling.spelling_groups(spelling.word_counts(no_rows)).collect() == []
+    rows = [("abcdef", 5), ("abcdef", 20), (None, 9), ("", 9), ("abcdeg", 5), ("abcdeg", None)]
+    frame = spark.createDataFrame([(w, n, 0, 0) for w, n in rows], "word string, n long, state int, first int")
+    assert as_tuples(spelling.spelling_groups(frame)) == [
+        ("abcdef", None, "abcdef", 25, 1, None), ("abcdeg", "abcdef", "abcdef", 5, 1, 25),
+    ]

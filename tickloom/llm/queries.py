@@ -12,7 +12,10 @@ from tickloom.llm import (
     minhash,
     packing,
     passages,
+    runs,
     sharding,
+    simhash,
+    spelling,
     token_counts,
     topk,
     toxicity,
@@ -69,9 +72,57 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the words of one document in ten repeat with a period from some word on.
+
+    That word and the period follow from crc32 of the doc_id; rows without doc_id stay as they are.
+    """
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    chosen = docs.select(
+        "doc_id", "text", F.floor(code / 10).alias("rule"), F.when(code % 10 == 0, words).alias("words")
+    )
+    n = F.size("words")
+    placed = chosen.withColumn("first", F.when(n > 0, F.pmod(F.col("rule"), F.greatest(n, F.lit(1)))).cast("int"))
+    left = n - F.col("first")
+    ruled = placed.withColumn("period", (1 + F.floor(left / (3 + F.col("rule") % 8))).cast("int"))
+    unit = F.slice("words", F.col("first") + 1, F.col("period"))
+    tail = F.slice(F.flatten(F.array_repeat(unit, F.ceil(left / F.col("period")).cast("int"))), F.lit(1), left)
+    repeated = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("first")), tail), " ")
+    return ruled.select("doc_id", F.coalesce(repeated, "text").alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the runs of every document; the longest run, of equal ones the first, then that of least period."""
+    found = runs.periodic_runs(with_repeats(read_table(spark, sf_dir, "documents")))
+    lines = F.transform(
+        "runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))
+    )
+    ranks = F.transform("runs", lambda run: F.struct((-run["length"]).alias("less"), run["start"], run["period"]))
+    ranked = F.array_min(ranks)
+    longest = found.select("doc_id", "runs", "collapsed", ranked.alias("longest"))
+    length = -F.col("longest.less")
+    return longest.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"), length.alias("length"),
+        F.col("longest.period").alias("period"), F.floor(1000 * length / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+DIVISOR = 199  # of the checksums that plant misspellings
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.word_counts(read_table(spark, sf_dir, "documents"), divisor=DIVISOR))
+
+
 QUERIES = (
     op1_packing, op2_sharding, op3_minhash, op4_fingerprints, op5_byte_bpe, op6_passages, op7_toxicity,
-    op8_top_k, op9_wavelet_tokens, op10_token_counts,
+    op8_top_k, op9_wavelet_tokens, op10_token_counts, op11_runs, op12_simhash, op13_spelling,
 )
 
 

@@ -1,5 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
+import sys
+
 import pytest
 
 import __spark_entry__ as spark_entry
@@ -35,3 +37,17 @@ def test_entry(spark):
 def test_entry_registers_all():
     assert set(QUERIES) <= set(spark_entry.queries())
     assert SQL.items() <= spark_entry.oracle_sql().items()
+
+
+def test_entry_without_the_training_data(monkeypatch):
+    for name in [m for m in sys.modules if m.startswith("tickloom.llm") or m == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+
+    class Hidden:
+        def find_spec(self, name, path=None, target=None):
+            if name.startswith("tickloom.llm"):
+                raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+
+    monkeypatch.setattr(sys, "meta_path", [Hidden(), *sys.meta_path])
+    assert set(spark_entry.queries()) == set(QUERIES)
+    assert spark_entry.oracle_sql() == SQL

@@ -452,6 +452,22 @@ def test_vectors_that_take_no_part(spark):
     assert topk.top_k(frame.limit(0), frame).count() == 0 and topk.top_k(frame, frame.limit(0)).count() == 0
 
 
+def test_repeated_vectors_count_once(spark):
+    vectors = [(i, [float(i), 1.0]) for i in range(30)]
+    frame = spark.createDataFrame(vectors * 3 + [(5, [5.0, 9.0])], "vec_id long, embedding array<float>")
+    found = topk.top_k(frame.where("vec_id in (0, 5)"), frame).orderBy("query_id", "rank").collect()
+    whole = [(i, [1024 * int(x) for x in v]) for i, v in vectors]
+    for query in (0, 5):
+        assert [(r.vec_id, r.score) for r in found if r.query_id == query] == best(whole, whole[query], 10)
+        assert [r.rank for r in found if r.query_id == query] == list(range(1, 11))
+
+
+def test_scores_beyond_64_bits_are_refused():
+    large = np.array([[1 << 40, 1]] * 3)
+    with pytest.raises(OverflowError):
+        list(topk.best_of_block(large, np.arange(3), large, np.arange(3), 2))
+
+
 # ---- pipeline ---------------------------------------------------------------------------------------------------
 def test_pipeline_stages(spark, sf_dir, given):
     docs = read_table(spark, sf_dir, "documents")

@@ -19,7 +19,7 @@ ODD = [
     "", " ", "  ", "a  b", " a", "a ", "\na\n b\t c \n\n d", "x\x1cy z", "É́ İstanbul ΣΑΣ", "<|endoftext|>a <|startoftext|> b",
     "don't 'll 're '' 'x we'll 'l 'lx 'v 're's '''s", "tab\t\tq w e", "日本語 テキスト 😀😀", "123 4567 12a",
     "a, b. c.\nD", "a), b", "a,, b", "a_, b", "a.\n\nb", "a. \n b", "\tfoo bar", "foo\t bar", "\n", "a\n", "\na", "a. ",
-    ", ", ". a", "x\xa0 y", "a.\r\nb", "  'll x", "a'", "'rex", "a" * 900, "=" * 300 + "'s", " " * 200 + "x",
+    "DENİZLİ, Türkiye", "İ, ", "İ.\n", "\u0958, a", "\u0958. b", "e\u0301, f", "ﬁ, ﬂ. ", ", ", ". a", "x\xa0 y", "a.\r\nb", "  'll x", "a'", "'rex", "a" * 900, "=" * 300 + "'s", " " * 200 + "x",
 ]
 
 
@@ -46,6 +46,23 @@ def test_pieces_give_the_ids_of_whole_texts(texts, name):
         assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text[:80]
 
 
+@pytest.mark.parametrize("name", [tokens.BYTE_BPE, tokens.WORD_BPE])
+def test_pieces_of_all_letters_marks_and_controls(name):
+    generator = random.Random(3)
+    low, high = [chr(c) for c in range(0x600)], [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    marks = [", ", ". ", ".\n", " ", "a", "B", "1"]
+    texts = []
+    for _ in range(20_000):
+        letters = generator.choices(low, k=3) + generator.choices(high, k=3) + generator.choices(marks, k=6)
+        texts.append("".join(generator.sample(letters, generator.randint(2, 12))))
+    for char in ("İ", "\u0958", "\u0345", "\u0e33", "ß", "\x1f", "\x85", "\u2028"):
+        texts += [f"{char}{mark}x" for mark in marks]
+    found = tokens.encoder(name).encode(texts)
+    plain = library(name).encode_batch(texts, add_special_tokens=False)
+    wrong = [t for t, ids, e in zip(texts, found, plain) if np.frombuffer(ids, "<u4").tolist() != e.ids]
+    assert not wrong
+
+
 def test_memory_of_pieces_is_bounded(monkeypatch):
     encoder = tokens.LibraryEncoder(public_tokenizers.path(tokens.BYTE_BPE), by_words=False)
     monkeypatch.setattr(encoder, "PIECES", 50, raising=False)

@@ -132,9 +132,10 @@ def registry() -> dict[str, Query]:
 
 OP8_SQL = """
     WITH vectors AS (
-        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS parts FROM embeddings
+        SELECT vec_id, min(list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE)))) AS parts FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
           AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        GROUP BY vec_id
     ), scored AS (
         SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.parts, v.parts) AS BIGINT) AS score
         FROM vectors q JOIN vectors v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0

@@ -11,6 +11,7 @@ from __future__ import annotations
 import functools
 import os
 import re
+import unicodedata
 
 import numpy as np
 import public_tokenizers
@@ -26,6 +27,19 @@ _BARE = "<|"  # marks a piece that no space goes before; texts that hold this st
 _MARKS = (", ", ". ", ".\n")
 
 
+class _Ends(dict):
+    """Whether a text may be cut after a character and before a mark: if it still ends in a letter or digit, as the
+    tokenizers see it. A dotted capital I, and letters that only exist decomposed, end in a mark of their own then."""
+
+    def __missing__(self, char: str) -> bool:
+        spelt = unicodedata.normalize("NFC", char).lower()
+        value = self[char] = spelt != "" and unicodedata.category(spelt[-1])[0] in "LN"
+        return value
+
+
+_ENDS = _Ends()
+
+
 class PieceEncoder:
     """Texts to ids as little-endian unsigned 32-bit bytes, equal to ``whole`` of each text."""
 
@@ -51,7 +65,7 @@ class PieceEncoder:
         before = " " if self._by_words else " " + _BARE
         for mark in _MARKS:
             parts = text.split(mark)
-            if not all(part[-1:].isalnum() for part in parts[:-1]):
+            if not all([_ENDS[part[-1:]] for part in parts[:-1]]):
                 return None
             text = (before + mark).join(parts)
         if self._by_words:

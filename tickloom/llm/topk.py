@@ -21,12 +21,12 @@ _SLACK = 1e-9  # relative error allowed to the floating-point bounds
 
 
 def scaled(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
-    """vec_id and integer components floor(scale * x). Rows without id or with null or non-finite parts are left out."""
+    """vec_id and integer components floor(scale * x). Rows without id or with null or non-finite parts are left out;
+    rows that share a vec_id count as one vector, the least of theirs by its components."""
     fit = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     whole = F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double")).cast("long"))
-    return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(fit, F.lit(False))).select(
-        "vec_id", whole.alias("parts")
-    )
+    known = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(fit, F.lit(False))
+    return vectors.where(known).select("vec_id", whole.alias("parts")).groupBy("vec_id").agg(F.min("parts").alias("parts"))
 
 
 def statistics(matrix: np.ndarray, segments: int) -> np.ndarray:
@@ -39,11 +39,16 @@ def statistics(matrix: np.ndarray, segments: int) -> np.ndarray:
 
 
 def best_of_block(queries: np.ndarray, query_ids: np.ndarray, matrix: np.ndarray, ids: np.ndarray, k: int):
-    """Yields (query id, candidate ids, exact scores) with all of the k best, in no order; ties at the k-th are kept."""
+    """Yields (query id, candidate ids, exact scores) with all of the k best, in no order; ties at the k-th are kept.
+
+    Raises where the lengths of two vectors allow a score beyond 64 bits, which would wrap.
+    """
     levels = [s for s in LEVELS if s <= matrix.shape[1]] or [1]
     floats, query_floats = matrix.astype(np.float64), queries.astype(np.float64)
     stats = [(statistics(query_floats, s), statistics(floats, s)) for s in levels]
     norms = np.sqrt((floats**2).sum(axis=1))
+    if norms.max(initial=0) * np.sqrt((query_floats**2).sum(axis=1)).max(initial=0) >= 2.0**63:
+        raise OverflowError("a score may exceed 64 bits: use a smaller scale")
     for at, query_id in enumerate(query_ids):
         slack = _SLACK * np.sqrt((query_floats[at] ** 2).sum()) * norms + 1e-6
         bounds = stats[0][1] @ stats[0][0][at] + slack
@@ -80,6 +85,7 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = K, scale: int = SC
 
     Blocks of queries meet blocks of candidates, so that a task holds ``QUERY_BLOCK`` by ``CANDIDATE_BLOCK`` vectors at
     most; each sends on k rows per query. A candidate with the query's own id takes no part, nor one of another length.
+    Repeated rows count once, see ``scaled``. No rows on either side give no rows.
     """
     asked, stored = scaled(queries, scale), scaled(candidates, scale)
     query_blocks = max(1, -(-asked.count() // QUERY_BLOCK))

@@ -1,5 +1,8 @@
+import contextlib
 import datetime as dt
+import io
 import math
+import re
 
 import pandas as pd
 import pytest
@@ -174,3 +177,30 @@ def test_no_task_gets_a_whole_series(spark, candles):
     chunked = series.chunk_series(series.index_series(candles), halo=3, chunk_rows=10)
     largest = chunked.groupBy("_series", "_chunk").count().agg(F.max("count")).first()[0]
     assert largest == 13
+
+
+def test_no_shuffle_by_series_carries_candles(spark, candles):
+    """Exponential averages: what meets by the series alone is one small row per chunk or bucket."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with contextlib.redirect_stdout(io.StringIO()) as shown:
+            indicators.ema_macd(candles, chunk_rows=8).explain("formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hashpartitioning\(_series#\d+, \d+\)", shown.getvalue())
+    assert exchanges
+    assert not [columns for columns in exchanges if re.search(r"\b(rows|window_start|maps)#", columns)]
+
+
+@pytest.mark.parametrize("operator", [
+    lambda c, b: indicators.gold_indicators(c, chunk_rows=40, bucket=b),
+    lambda c, b: indicators.rsi(c, chunk_rows=40, bucket=b),
+    lambda c, b: indicators.ema_macd(c, chunk_rows=8, bucket=b),
+    lambda c, b: indicators.volume_zscore(c, rows=6, chunk_rows=40, bucket=b),
+    lambda c, b: indicators.rolling_stats(c, "volume", 6, chunk_rows=40, bucket=b),
+    lambda c, b: series.previous_value(c, "avg_price", chunk_rows=40, bucket=b),
+    lambda c, b: indicators.candle_index(c, bucket=b),
+])
+def test_the_bucket_changes_no_result(candles, operator):
+    shown = [sorted(map(str, operator(candles, bucket).collect())) for bucket in ("hour", "day", "year")]
+    assert shown[0] == shown[1] == shown[2]

@@ -78,11 +78,12 @@ def add_bollinger(
     )
 
 
-def candle_index(candles: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    return index_series(candles, keys).drop(_SERIES)
+def candle_index(candles: DataFrame, keys: Sequence[str] = ("symbol",), bucket: str = "day") -> DataFrame:
+    return index_series(candles, keys, bucket=bucket).drop(_SERIES)
 
 
-def price_change(candles: DataFrame, keys: Sequence[str] = ("symbol",), chunk_rows: int | None = CHUNK_ROWS):
+def price_change(candles: DataFrame, keys: Sequence[str] = ("symbol",), chunk_rows: int | None = CHUNK_ROWS,
+                 bucket: str = "day") -> DataFrame:
     """Previous close, change, gain and loss per candle."""
     def add(frame: DataFrame, window: WindowSpec) -> DataFrame:
         moved = frame.withColumn("prev_close", F.lag("close").over(window))
@@ -95,11 +96,12 @@ def price_change(candles: DataFrame, keys: Sequence[str] = ("symbol",), chunk_ro
             }
         )
 
-    return over_series(candles, add, halo=1, keys=keys, chunk_rows=chunk_rows)
+    return over_series(candles, add, halo=1, keys=keys, chunk_rows=chunk_rows, bucket=bucket)
 
 
 def rolling_stats(
-    candles: DataFrame, column: str, rows: int, keys: Sequence[str] = ("symbol",), chunk_rows: int | None = CHUNK_ROWS
+    candles: DataFrame, column: str, rows: int, keys: Sequence[str] = ("symbol",), chunk_rows: int | None = CHUNK_ROWS,
+    bucket: str = "day",
 ) -> DataFrame:
     """Mean and population standard deviation over the last ``rows`` candles."""
     def add(frame: DataFrame, window: WindowSpec) -> DataFrame:
@@ -110,31 +112,31 @@ def rolling_stats(
             }
         )
 
-    return over_series(candles, add, halo=rows - 1, keys=keys, chunk_rows=chunk_rows)
+    return over_series(candles, add, halo=rows - 1, keys=keys, chunk_rows=chunk_rows, bucket=bucket)
 
 
 def rsi(candles: DataFrame, period: int = RSI_PERIOD, keys: Sequence[str] = ("symbol",),
-        chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
+        chunk_rows: int | None = CHUNK_ROWS, bucket: str = "day") -> DataFrame:
     def add(frame: DataFrame, window: WindowSpec) -> DataFrame:
         return add_rsi(frame, window, period).drop("change", "gain", "loss")
 
-    return over_series(candles, add, halo=period, keys=keys, chunk_rows=chunk_rows)
+    return over_series(candles, add, halo=period, keys=keys, chunk_rows=chunk_rows, bucket=bucket)
 
 
 def macd(candles: DataFrame, fast: int = MACD_FAST, slow: int = MACD_SLOW, signal: int = MACD_SIGNAL,
-         keys: Sequence[str] = ("symbol",), chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
+         keys: Sequence[str] = ("symbol",), chunk_rows: int | None = CHUNK_ROWS, bucket: str = "day") -> DataFrame:
     def add(frame: DataFrame, window: WindowSpec) -> DataFrame:
         return add_macd(frame, window, fast, slow, signal)
 
-    return over_series(candles, add, halo=max(fast, slow) + signal - 2, keys=keys, chunk_rows=chunk_rows)
+    return over_series(candles, add, halo=max(fast, slow) + signal - 2, keys=keys, chunk_rows=chunk_rows, bucket=bucket)
 
 
 def bollinger(candles: DataFrame, period: int = BOLLINGER_PERIOD, width: float = BOLLINGER_WIDTH,
-              keys: Sequence[str] = ("symbol",), chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
+              keys: Sequence[str] = ("symbol",), chunk_rows: int | None = CHUNK_ROWS, bucket: str = "day") -> DataFrame:
     def add(frame: DataFrame, window: WindowSpec) -> DataFrame:
         return add_bollinger(frame, window, period, width).drop("bb_mean")
 
-    return over_series(candles, add, halo=period - 1, keys=keys, chunk_rows=chunk_rows)
+    return over_series(candles, add, halo=period - 1, keys=keys, chunk_rows=chunk_rows, bucket=bucket)
 
 
 # rows before a candle that its indicators look back on
@@ -146,13 +148,21 @@ def gold_indicators(
     keys: Sequence[str] = ("symbol",),
     chunk_rows: int | None = CHUNK_ROWS,
     start: DataFrame | None = None,
+    offsets: DataFrame | None = None,
+    bucket: str = "day",
 ) -> DataFrame:
-    """All indicators in one pass: the three groups share one partitioning and one sort order."""
+    """All indicators in one pass: the three groups share one partitioning and one sort order.
+
+    ``bucket`` is the span in which candles are counted first, see ``series.index_series``: one that holds many candles
+    of a series, but not too many for a task (a day of minutes, a year of days).
+    """
     def add(frame: DataFrame, window: WindowSpec) -> DataFrame:
         return add_bollinger(add_macd(add_rsi(frame, window), window), window)
 
     extra = [k for k in keys if k != "symbol"]
-    scored = over_series(candles, add, GOLD_HALO, keys, chunk_rows=chunk_rows, start=start)
+    scored = over_series(
+        candles, add, GOLD_HALO, keys, chunk_rows=chunk_rows, start=start, offsets=offsets, bucket=bucket
+    )
     return scored.select(*GOLD.fieldNames(), *extra)
 
 
@@ -170,7 +180,7 @@ def gold_from(recent: DataFrame, start: DataFrame, first_date, keys: Sequence[st
 
 def volume_zscore(
     candles: DataFrame, rows: int = 20, threshold: float = 3.0, keys: Sequence[str] = ("symbol",),
-    chunk_rows: int | None = CHUNK_ROWS,
+    chunk_rows: int | None = CHUNK_ROWS, bucket: str = "day",
 ) -> DataFrame:
     """Score of each volume against the ``rows`` candles before it; NULL while warming up or when those do not vary."""
     def add(frame: DataFrame, window: WindowSpec) -> DataFrame:
@@ -184,7 +194,7 @@ def volume_zscore(
         )
         return scored.withColumn("is_spike", F.coalesce(F.col("volume_zscore") > threshold, F.lit(False)))
 
-    return over_series(candles, add, halo=rows, keys=keys, value="volume", chunk_rows=chunk_rows)
+    return over_series(candles, add, halo=rows, keys=keys, value="volume", chunk_rows=chunk_rows, bucket=bucket)
 
 
 # The averages and the signal line as one state (f, s, g): every close takes it to another by an affine map
@@ -238,6 +248,7 @@ def ema_macd(
     signal: int = MACD_SIGNAL,
     keys: Sequence[str] = ("symbol",),
     chunk_rows: int = EMA_CHUNK,
+    bucket: str = "day",
 ) -> DataFrame:
     """Exponential-average MACD in the recursive form, exact, with the first close as the seed.
 
@@ -251,7 +262,7 @@ def ema_macd(
     row = F.struct("row_idx", "window_start", "close")
     number = F.floor((F.col("row_idx") - 1) / chunk_rows).alias("number")
     chunks = (
-        index_series(candles.select(*dict.fromkeys([*keys, "window_start", "close"])), keys)
+        index_series(candles.select(*dict.fromkeys([*keys, "window_start", "close"])), keys, bucket=bucket)
         .groupBy(_SERIES, number)
         .agg(F.array_sort(F.collect_list(row)).alias("rows"))
     )
@@ -291,16 +302,19 @@ def ema_macd(
         out = F.concat(acc["out"], F.array(F.struct(x["row_idx"].cast("long").alias("row_idx"), after.alias("v"))))
         return F.struct(after.alias("v"), out.alias("out"))
 
-    closes_before = F.sum(F.size(firsts)).over(
-        W.partitionBy(_SERIES).orderBy("number").rowsBetween(W.unboundedPreceding, -1)
+    # whether an earlier chunk of the series has a close: of each chunk only its number takes part
+    flags = chunks.select(_SERIES, "number", F.when(F.size(firsts) > 0, F.col("number")).alias("with_close"))
+    begun_at = flags.groupBy(_SERIES).agg(F.min("with_close").alias("first_number"))
+    earlier = F.coalesce(F.col("number") > F.col("first_number"), F.lit(False)).alias("earlier")
+    states_before = before_chunks.drop("run").join(
+        flags.join(begun_at, _SERIES).select(_SERIES, "number", earlier), [_SERIES, "number"]
     )
-    counted = chunks.select(_SERIES, "number", "rows", F.coalesce(closes_before, F.lit(0)).alias("earlier"))
-    walked = counted.join(before_chunks.drop("run"), [_SERIES, "number"]).select(
+    walked = chunks.join(states_before, [_SERIES, "number"]).select(
         _SERIES, "earlier",
         F.explode(F.arrays_zip("rows", F.aggregate("rows", begun, follow, lambda acc: acc["out"]).alias("after"))).alias("z"),
         F.transform(firsts, lambda x: x["row_idx"])[0].alias("first_close"),
     )
-    begins = (F.col("earlier") > 0) | (F.col("z.rows.row_idx") >= F.col("first_close"))
+    begins = F.col("earlier") | (F.col("z.rows.row_idx") >= F.col("first_close"))
 
     def shown(value: Column) -> Column:
         return F.when(F.coalesce(begins, F.lit(False)), value)

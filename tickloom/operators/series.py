@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as F
 
+from tickloom.functions.scalar import utc_date
+
 CHUNK_ROWS = 4096
 
 _SERIES, _BUCKET = "_series", "_bucket"
@@ -23,6 +25,7 @@ def index_series(
     value: str = "close",
     bucket: str = "day",
     start: DataFrame | None = None,
+    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``row_idx`` (position in the series, from 1) and ``candle_idx`` (running count of non-null ``value``).
 
@@ -31,7 +34,26 @@ def index_series(
     series key is a struct so that a NULL key matches itself in the join. ``df`` is read twice: pass a stored table.
 
     ``start`` (keys, ``rows_before``, ``values_before``) continues series whose earlier rows are not in ``df``.
+    ``offsets`` (keys, ``date``, ``rows_before``, ``values_before``) gives the counts before each date in UTC, for a ``df``
+    that holds whole dates of a series with gaps between them; nothing is counted then.
     """
+    within = W.partitionBy(_SERIES, _BUCKET).orderBy(order)
+    numbers = {
+        "_row": F.row_number().over(within),
+        "_value": F.count(value).over(within.rowsBetween(W.unboundedPreceding, 0)),
+    }
+    places = {
+        "row_idx": F.col("_rows_before") + F.col("_row"),
+        "candle_idx": F.col("_values_before") + F.col("_value"),
+    }
+    if offsets is not None:
+        known = offsets.select(
+            F.struct(*keys).alias(_SERIES), F.col("date").alias(_BUCKET), F.col("rows_before").alias("_rows_before"),
+            F.col("values_before").alias("_values_before"),
+        )
+        dated = df.withColumn(_SERIES, F.struct(*keys)).withColumn(_BUCKET, utc_date(F.col(order)))
+        indexed = dated.withColumns(numbers).join(known, [_SERIES, _BUCKET]).withColumns(places)
+        return indexed.select(*df.columns, _SERIES, "row_idx", "candle_idx")
     keyed = df.withColumn(_SERIES, F.struct(*keys)).withColumn(_BUCKET, F.date_trunc(bucket, order))
     counts = keyed.groupBy(_SERIES, _BUCKET).agg(F.count("*").alias("_rows"), F.count(value).alias("_values"))
     earlier = W.partitionBy(_SERIES).orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
@@ -49,19 +71,7 @@ def index_series(
             (F.col("_rows_before") + F.coalesce("rows_before", F.lit(0))).alias("_rows_before"),
             (F.col("_values_before") + F.coalesce("values_before", F.lit(0))).alias("_values_before"),
         )
-    within = W.partitionBy(_SERIES, _BUCKET).orderBy(order)
-    numbered = keyed.withColumns(
-        {
-            "_row": F.row_number().over(within),
-            "_value": F.count(value).over(within.rowsBetween(W.unboundedPreceding, 0)),
-        }
-    )
-    indexed = numbered.join(offsets, [_SERIES, _BUCKET]).withColumns(
-        {
-            "row_idx": F.col("_rows_before") + F.col("_row"),
-            "candle_idx": F.col("_values_before") + F.col("_value"),
-        }
-    )
+    indexed = keyed.withColumns(numbers).join(offsets, [_SERIES, _BUCKET]).withColumns(places)
     return indexed.select(*df.columns, _SERIES, "row_idx", "candle_idx")
 
 
@@ -87,14 +97,15 @@ def over_series(
     chunk_rows: int | None = CHUNK_ROWS,
     bucket: str = "day",
     start: DataFrame | None = None,
+    offsets: DataFrame | None = None,
 ) -> DataFrame:
     """Apply ``columns(frame, window)`` with ``window`` ordered along each series; frames may look back ``halo`` rows.
 
     ``columns`` may also use ``row_idx`` and ``candle_idx``; both are dropped from the result unless it renames them.
-    ``chunk_rows=None`` uses one window per series, for series known to be short. ``start`` continues series, see
-    ``index_series``.
+    ``chunk_rows=None`` uses one window per series, for series known to be short. ``start`` continues series and
+    ``offsets`` places parts of them, see ``index_series``.
     """
-    if chunk_rows is None and start is not None:
+    if chunk_rows is None and (start is not None or offsets is not None):
         raise ValueError("continuing a series needs chunk_rows")
     if chunk_rows is None:
         window = W.partitionBy(*keys).orderBy(order)
@@ -103,7 +114,7 @@ def over_series(
             {"row_idx": F.row_number().over(window), "candle_idx": F.count(value).over(running)}
         )
         return columns(plain, window).drop("row_idx", "candle_idx")
-    chunked = chunk_series(index_series(df, keys, order, value, bucket, start), halo, chunk_rows)
+    chunked = chunk_series(index_series(df, keys, order, value, bucket, start, offsets), halo, chunk_rows)
     window = W.partitionBy(_SERIES, "_chunk").orderBy("row_idx")
     result = columns(chunked, window).where(F.col("_chunk") == F.col("_home"))
     return result.drop(_SERIES, "_home", "_chunk", "row_idx", "candle_idx")
@@ -131,10 +142,10 @@ def last_non_null(
 
 
 def previous_value(df: DataFrame, column: str, keys: Sequence[str] = ("symbol",), order: str = "window_start",
-                   chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
+                   chunk_rows: int | None = CHUNK_ROWS, bucket: str = "day") -> DataFrame:
     """Add ``prev_<column>``: the previous row's value, or the row's own on the first row of its series."""
     def add(frame: DataFrame, window: WindowSpec) -> DataFrame:
         own_when_first = F.when(F.col("row_idx") == 1, F.col(column)).otherwise(F.lag(column).over(window))
         return frame.withColumn(f"prev_{column}", own_when_first)
 
-    return over_series(df, add, halo=1, keys=keys, order=order, value=column, chunk_rows=chunk_rows)
+    return over_series(df, add, halo=1, keys=keys, order=order, value=column, chunk_rows=chunk_rows, bucket=bucket)

@@ -85,11 +85,8 @@ def brand_weekly_candles(spark, sf_dir):
 def brand_daily_indicators(spark, sf_dir):
     daily = materialize(candles.ohlcv(feeds.brand_trades(spark, sf_dir), "1 day"), "brand-daily")
     columns = ("symbol", "window_start", "close", "rsi", "macd_approx", "signal_approx", "bb_middle", "bb_upper")
-    # a day holds one candle here, so candles are numbered by year
-    def add(frame, window):
-        return indicators.add_bollinger(indicators.add_macd(indicators.add_rsi(frame, window), window), window)
-
-    return series.over_series(daily, add, halo=33, chunk_rows=512, bucket="year").select(*columns)
+    # a day holds one candle here, so candles are counted by year
+    return indicators.gold_indicators(daily, chunk_rows=512, bucket="year").select(*columns)
 
 
 def candle_index(spark, sf_dir):

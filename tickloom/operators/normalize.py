@@ -35,20 +35,44 @@ def base_of_symbol(symbol: Column) -> Column:
     return F.try_element_at(F.create_map(*[F.lit(x) for entry in bases.items() for x in entry]), symbol)
 
 
-def normalize_venue_a(messages: DataFrame, payload: str = "payload") -> DataFrame:
-    """One trade per message. Prices, sizes and times arrive as text; text that is no number becomes NULL."""
+def venue_a_updates(messages: DataFrame, payload: str = "payload") -> DataFrame:
+    """Trade messages with their fields as text, what the text says, and ``reasons``: the fields that it does not say.
+
+    A field that is not there at all is NULL and no reason of its own; text that is no number, or no time, is one.
+    """
     def field(key: str) -> Column:
         return F.try_element_at("d", F.lit(key))
 
     parsed = messages.select(once(F.from_json(payload, VENUE_A_MESSAGE)["data"]).alias("d"))
-    return parsed.where(field("e") == "trade").select(
-        field("s").alias("symbol"),
-        to_double(field("p")).alias("price"),
-        to_double(field("q")).alias("quantity"),
-        to_long(field("T")).alias("event_time"),
-        prefixed_trade_id(F.lit(VENUE_A), field("t")).alias("trade_id"),
-        F.lit(VENUE_A).alias("source"),
+    texts = parsed.where(field("e") == "trade").select(
+        field("s").alias("symbol"), field("p").alias("price_text"), field("q").alias("quantity_text"),
+        field("T").alias("event_text"), prefixed_trade_id(F.lit(VENUE_A), field("t")).alias("trade_id"),
     )
+    read = texts.withColumns({
+        "price": to_double(F.col("price_text")), "quantity": to_double(F.col("quantity_text")),
+        "event_time": to_long(F.col("event_text")), "source": F.lit(VENUE_A),
+    })
+
+    def unread(name: str, text: str) -> Column:
+        return F.when(F.col(text).isNotNull() & F.col(name).isNull(), F.lit(f"invalid:{name}"))
+
+    reasons = F.array(unread("price", "price_text"), unread("quantity", "quantity_text"), unread("event_time", "event_text"))
+    return read.withColumn("reasons", F.array_compact(reasons))
+
+
+def normalize_venue_a(messages: DataFrame, payload: str = "payload", strict: bool = False) -> DataFrame:
+    """One trade per message. Prices, sizes and times arrive as text; text that is no number becomes NULL.
+
+    With ``strict`` such trades are left to ``venue_a_rejects``.
+    """
+    updates = venue_a_updates(messages, payload)
+    return (updates.where(F.size("reasons") == 0) if strict else updates).select(*TRADE_FIELDS)
+
+
+def venue_a_rejects(messages: DataFrame, payload: str = "payload") -> DataFrame:
+    """Trades of the first venue whose texts cannot all be read, as they came, with the reasons."""
+    unread = venue_a_updates(messages, payload).where(F.size("reasons") > 0)
+    return unread.select("trade_id", "symbol", "price_text", "quantity_text", "event_text", "reasons")
 
 
 def venue_b_updates(messages: DataFrame, payload: str = "payload") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.functions.scalar import snapshot_hour
+from tickloom.operators.asof import asof_join
 from tickloom.operators.dedupe import dedupe_batch, latest_by
 from tickloom.operators.candles import ohlcv
 from tickloom.operators.normalize import base_of_symbol
@@ -22,6 +23,9 @@ FIRST_VALUE_AT = {
 }
 
 
+RECONCILED = ("open", "high", "low", "close", "volume", "trade_count")
+
+
 class ContractError(ValueError):
     """A table lacks columns that its readers rely on."""
 
@@ -89,7 +93,7 @@ def reconcile_candles(
     trades: DataFrame,
     silver: DataFrame,
     window: str,
-    measures: Sequence[str] = ("open", "high", "low", "close", "volume", "trade_count"),
+    measures: Sequence[str] = RECONCILED,
     tolerance: float = 1e-9,
 ) -> DataFrame:
     """Candles rebuilt from raw trades against the recorded ones, all windows.
@@ -263,3 +267,24 @@ def reference_check(candles: DataFrame, snapshots: DataFrame, price: str = "clos
     deviation = F.try_divide(F.col(price) - F.col("reference_price"), F.col("reference_price")) * 10_000
     return joined.select("symbol", "window_start", F.col(price).alias("price"), "reference_price",
                          deviation.alias("deviation_bps"))
+
+
+def reference_check_asof(
+    candles: DataFrame, snapshots: DataFrame, price: str = "close", max_age: str | None = None
+) -> DataFrame:
+    """Candle price against the newest reference price fetched up to the end of its window, in basis points.
+
+    An hour whose fetch failed is bridged by the fetch before, whose age in seconds is told; NULL without one, or if it
+    is older than ``max_age``.
+    """
+    reference = snapshots.select(
+        F.col("symbol").alias("base_symbol"), "ingested_at", F.col("current_price").alias("reference_price")
+    )
+    keyed = candles.select("symbol", "window_start", "window_end", F.col(price).alias("price"),
+                           base_of_symbol(F.col("symbol")).alias("base_symbol"))
+    oldest = None if max_age is None else F.expr(f"INTERVAL {max_age}")
+    joined = asof_join(keyed, reference, ["base_symbol"], "window_end", "ingested_at", ["reference_price", "ingested_at"], oldest)
+    deviation = F.try_divide(F.col("price") - F.col("reference_price"), F.col("reference_price")) * 10_000
+    age = (F.unix_micros("window_end") - F.unix_micros("ingested_at")) / 1e6
+    return joined.select("symbol", "window_start", "price", "reference_price", age.alias("age_seconds"),
+                         deviation.alias("deviation_bps"))

@@ -22,6 +22,7 @@ def upsert(
     time_column: str = "snapshot_hour",
     newest_by: str = "ingested_at",
     fmt: str = "parquet",
+    partition: str = PARTITION,
 ) -> None:
     """Merge ``source`` into the table at ``path``: a matching key is replaced whole, a new key is added.
 
@@ -31,35 +32,35 @@ def upsert(
     """
     if time_column not in keys:
         raise ValueError("the time column must be one of the keys")
-    dated = latest_by(source, keys, newest_by).withColumn(PARTITION, utc_date(F.col(time_column)))
+    dated = latest_by(source, keys, newest_by).withColumn(partition, utc_date(F.col(time_column)))
     fresh = dated.persist(StorageLevel.DISK_ONLY)  # read several times; what an executor loses is computed again
     try:
         if fresh.isEmpty():
             return
         if not table_exists(source.sparkSession, path, fmt):
-            _write_dates(fresh, path, fmt, "append" if fmt == "delta" else "overwrite")
+            _write_dates(fresh, path, fmt, "append" if fmt == "delta" else "overwrite", partition)
         elif fmt == "delta":
             _merge_delta(fresh, path, keys)
         else:
-            _write_dates(_merged_dates(fresh, path, keys, fmt), path, fmt, "overwrite")
+            _write_dates(_merged_dates(fresh, path, keys, fmt, partition), path, fmt, "overwrite", partition)
     finally:
         fresh.unpersist()
 
 
-def _merged_dates(fresh: DataFrame, path: str, keys: Sequence[str], fmt: str) -> DataFrame:
+def _merged_dates(fresh: DataFrame, path: str, keys: Sequence[str], fmt: str, partition: str) -> DataFrame:
     # two scalars bound the partitions to list and read; the semi join then drops those in between that stay as they are
-    lo, hi = fresh.agg(F.min(PARTITION), F.max(PARTITION)).first()
+    lo, hi = fresh.agg(F.min(partition), F.max(partition)).first()
     target = read_table(fresh.sparkSession, path, fresh.schema, fmt)
-    inside = target.where(F.col(PARTITION).between(F.lit(lo), F.lit(hi)) | F.col(PARTITION).isNull())
-    touched = fresh.select(PARTITION).distinct()
-    kept = inside.join(touched, inside[PARTITION].eqNullSafe(touched[PARTITION]), "left_semi")
+    inside = target.where(F.col(partition).between(F.lit(lo), F.lit(hi)) | F.col(partition).isNull())
+    touched = fresh.select(partition).distinct()
+    kept = inside.join(touched, inside[partition].eqNullSafe(touched[partition]), "left_semi")
     return kept.join(fresh, list(keys), "left_anti").unionByName(fresh)
 
 
-def _write_dates(rows: DataFrame, path: str, fmt: str, mode: str) -> None:
+def _write_dates(rows: DataFrame, path: str, fmt: str, mode: str, partition: str) -> None:
     # rebalancing gathers a date into few files and, unlike a plain repartition, splits a date that is too large
-    writer = rows.hint("rebalance", PARTITION).write.format(fmt).mode(mode)
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION).save(path)
+    writer = rows.hint("rebalance", partition).write.format(fmt).mode(mode)
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).save(path)
 
 
 def _merge_delta(fresh: DataFrame, path: str, keys: Sequence[str]) -> None:

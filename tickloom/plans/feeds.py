@@ -23,6 +23,7 @@ EVENT_SYMBOLS = {
 MALFORMED_USER, NO_PRICE_USER, TEXT_PRICE_USER, NO_ID_USER, EMPTY_USER = 3, 5, 7, 9, 11
 SNAPSHOT_USER, UNKNOWN_PAIR_USER, BAD_TIME_USER, OTHER_KIND_USER = 1, 13, 15, 2
 LATE_USER, REPLAY_USER = 4, 6
+WORD_PRICE_USER, EMPTY_SIZE_USER, WORD_TIME_USER = 8, 10, 12
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -134,14 +135,23 @@ def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope_of(with_trade_columns(table(spark, sf_dir, "events")))
 
 
-def venue_a_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First venue: one trade per message with text numbers; one user's messages are of another kind."""
+def venue_a_messages(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
+    """First venue: one trade per message with text numbers; one user's messages are of another kind.
+
+    With ``faults`` three users' messages have a word as price, an empty size, or a word as time.
+    """
     rows = with_trade_columns(table(spark, sf_dir, "events")).where(F.col("source") == VENUE_A)
     kind = F.when(F.col("user_id") == OTHER_KIND_USER, "aggTrade").otherwise("trade")
-    ms = F.unix_millis("event_time")
+    ms, price, size = F.unix_millis("event_time"), F.col("price").cast("string"), F.col("quantity").cast("string")
+    time = ms.cast("string") if faults else ms
+    if faults:
+        user = F.col("user_id")
+        price = F.when(user == WORD_PRICE_USER, F.lit("n/a")).otherwise(price)
+        size = F.when(user == EMPTY_SIZE_USER, F.lit("")).otherwise(size)
+        time = F.when(user == WORD_TIME_USER, F.lit("soon")).otherwise(time)
     data = F.struct(
         kind.alias("e"), ms.alias("E"), F.col("symbol").alias("s"), F.col("event_id").alias("t"),
-        F.col("price").cast("string").alias("p"), F.col("quantity").cast("string").alias("q"), ms.alias("T"),
+        price.alias("p"), size.alias("q"), time.alias("T"),
     )
     stream = F.concat(F.lower("symbol"), F.lit("@trade"))
     return rows.select(once(F.to_json(F.struct(stream.alias("stream"), data.alias("data")))).alias("payload"))

@@ -233,6 +233,17 @@ def _rate(first: str = "min(kafka_timestamp)", last: str = "max(kafka_timestamp)
     return f"round({per_second} + 1e-9, 6) + 0.0 AS per_second, round({per_minute} + 1e-9, 6) + 0.0 AS per_minute"
 
 
+PRICE_BOARD = f"""WITH {NEWEST},
+p AS (SELECT a.symbol, a.window_start, a.avg_price AS price, coalesce(b.avg_price, a.avg_price) AS prev_price
+      FROM (FROM ranked WHERE recency = 1) a LEFT JOIN (FROM ranked WHERE recency = 2) b ON a.symbol = b.symbol),
+c AS (SELECT *, price - prev_price AS change,
+             CASE WHEN prev_price = 0 THEN 0.0 ELSE (price - prev_price) / prev_price * 100 END AS pct FROM p)
+SELECT symbol, window_start, {_r('price', 'prev_price', 'change', 'pct')},
+       CASE WHEN change >= 0 THEN 'up' ELSE 'down' END AS direction,
+       '$' || format('{{:,.4f}}', price) AS price_label, format('{{:+.2f}}', pct) || '%' AS pct_label,
+       strftime(window_start + INTERVAL 1 HOUR, '%H:%M') AS clock FROM c"""
+
+
 def statements() -> dict[str, str]:
     candle_rows = f"WITH {HOURLY} SELECT {CANDLE_COLUMNS} FROM candles"
     bronze_rows = f"WITH {ENVELOPE} SELECT {BRONZE_COLUMNS} FROM bronze"
@@ -280,6 +291,13 @@ SELECT topic, kafka_partition, kafka_offset, kafka_timestamp, trade_id, reasons,
        trade_id IS NOT NULL AS is_admitted FROM envelope""",
         "normalize_venue_a": f"WITH {TRADES} {VENUE_A_ROWS}",
         "normalize_venue_b": f"WITH {TRADES} {VENUE_B_ROWS}",
+        "venue_a_rejects": f"""WITH {TRADES} SELECT trade_id, symbol,
+            CASE WHEN user_id = 8 THEN 'n/a' END AS price_text, CASE WHEN user_id = 10 THEN '' END AS quantity_text,
+            CASE WHEN user_id = 12 THEN 'soon' END AS event_text,
+            CASE user_id WHEN 8 THEN 'invalid:price' WHEN 10 THEN 'invalid:quantity' ELSE 'invalid:event_time' END AS reasons
+            FROM trades WHERE user_id IN (8, 10, 12)""",
+        "venue_a_strict": f"WITH {TRADES} {VENUE_A_ROWS} AND user_id NOT IN (8, 10, 12)",
+        "json_landing": f"WITH {TRADES} {VENUE_A_ROWS}",
         "venue_b_rejects": f"""WITH {TRADES} SELECT trade_id, symbol, 'yesterday' AS event_text,
             'invalid:timestamp' AS reason FROM trades WHERE source = 'kraken' AND user_id = 15""",
         "venue_union": f"WITH {TRADES} {VENUE_A_ROWS} UNION ALL {VENUE_B_ROWS}",
@@ -313,6 +331,9 @@ SELECT CASE WHEN event_time >= TIMESTAMP '2024-01-15' THEN 'live' ELSE 'history'
 FROM bronze""",
         "stream_bronze": bronze_rows,
         "stream_quarantine": QUARANTINE,
+        "stream_bronze_and_quarantine": f"""WITH {ENVELOPE}
+SELECT CASE WHEN trade_id IS NULL THEN 'quarantine' ELSE 'bronze' END AS table_name, topic, kafka_partition, kafka_offset,
+       kafka_timestamp, trade_id, CASE WHEN trade_id IS NULL THEN reasons END AS reasons FROM envelope""",
         "stream_ohlcv": f"WITH {HOURLY} SELECT {CANDLE_COLUMNS} FROM candles WHERE {CLOSED}",
         "stream_dedupe": f"WITH {TRADES} SELECT {trade_rows} FROM trades",
         "stream_feed_health": f"""WITH {ENVELOPE}
@@ -325,6 +346,13 @@ HAVING time_bucket(INTERVAL 1 DAY, kafka_timestamp, TIMESTAMP '1970-01-01') + IN
         "stream_gold_refresh": f"WITH {HOURLY}, closed AS (SELECT * FROM candles WHERE {CLOSED}), {_gold('closed')} "
         f"SELECT {GOLD_COLUMNS} FROM gold",
         "gold_extend": f"WITH {GOLD} SELECT {GOLD_COLUMNS} FROM gold",
+        "gold_correct": f"WITH {GOLD} SELECT {GOLD_COLUMNS} FROM gold",
+        "stream_late_trades": f"""WITH {TRADES}, w AS (
+  SELECT make_timestamp(max(event_ms) * 1000) - INTERVAL 2 MINUTE AS watermark
+  FROM trades WHERE (day(event_time) - 1) // 7 < 3 AND NOT ({LATE}))
+SELECT symbol, trade_id, event_time, watermark,
+       round((epoch_us(watermark) - epoch_us(event_time)) / 1e6 + 1e-9, 6) + 0.0 AS delay_seconds
+FROM trades, w WHERE {LATE}""",
         "stream_late_candles": f"""WITH {TRADES}, in_time AS (SELECT * FROM trades WHERE NOT ({LATE})),
 {_candles('in_time', '1 HOUR', 'candles')} SELECT {CANDLE_COLUMNS} FROM candles WHERE {CLOSED}""",
         "stream_progress": f"""WITH {TRADES} SELECT 'silver_progress' AS query, count(*) AS input_rows,
@@ -336,15 +364,8 @@ HAVING time_bucket(INTERVAL 1 DAY, kafka_timestamp, TIMESTAMP '1970-01-01') + IN
         "last_non_null": f"""WITH {HOURLY} SELECT symbol, round(max_by(close, window_start) + 1e-9, 6) + 0.0 AS close,
             round(max_by(vwap, window_start) FILTER (WHERE vwap IS NOT NULL) + 1e-9, 6) + 0.0 AS vwap,
             round(max_by(volume, window_start) + 1e-9, 6) + 0.0 AS volume FROM candles GROUP BY symbol""",
-        "price_board": f"""WITH {NEWEST},
-p AS (SELECT a.symbol, a.window_start, a.avg_price AS price, coalesce(b.avg_price, a.avg_price) AS prev_price
-      FROM (FROM ranked WHERE recency = 1) a LEFT JOIN (FROM ranked WHERE recency = 2) b ON a.symbol = b.symbol),
-c AS (SELECT *, price - prev_price AS change,
-             CASE WHEN prev_price = 0 THEN 0.0 ELSE (price - prev_price) / prev_price * 100 END AS pct FROM p)
-SELECT symbol, window_start, {_r('price', 'prev_price', 'change', 'pct')},
-       CASE WHEN change >= 0 THEN 'up' ELSE 'down' END AS direction,
-       '$' || format('{{:,.4f}}', price) AS price_label, format('{{:+.2f}}', pct) || '%' AS pct_label,
-       strftime(window_start + INTERVAL 1 HOUR, '%H:%M') AS clock FROM c""",
+        "price_board": PRICE_BOARD,
+        "stream_price_board": PRICE_BOARD,
         "signal_summary": f"""WITH {GOLD}, last AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS recency FROM gold)
 SELECT symbol, round(avg_price + 1e-9, 6) + 0.0 AS last_price, round(close + 1e-9, 6) + 0.0 AS last_close,
@@ -369,6 +390,7 @@ FROM n, (VALUES ('rsi', 14), ('bollinger', 20), ('macd', 35)) AS v(indicator, ne
             window_end + INTERVAL 1 HOUR AS window_end, round(close + 1e-9, 6) + 0.0 AS close,
             strftime(window_start + INTERVAL 1 HOUR, '%H:%M') AS clock FROM candles""",
         "bronze_silver_recon": _recon(),
+        "recon_by_digests": f"SELECT * FROM ({_recon()}) WHERE status <> 'equal'",
         "layer_count_parity": f"""WITH {HOURLY}, c AS (SELECT symbol, count(*) AS silver_rows, count(*) FILTER
               (WHERE NOT (symbol = 'BTCUSDT' AND window_start >= TIMESTAMP '2024-01-20')) AS gold_rows
             FROM candles GROUP BY symbol) SELECT *, silver_rows = gold_rows AS is_equal FROM c""",
@@ -401,6 +423,17 @@ SELECT topic, kafka_partition, kafka_offset, symbol, round(price + 1e-9, 6) + 0.
 SELECT 'silver' AS table_name, '' AS missing, true AS is_valid, count(*) AS n_rows FROM candles
 UNION ALL SELECT 'gold', '', true, count(*) FROM candles
 UNION ALL SELECT 'gold_drifted', 'rsi,vwap', false, count(*) FROM candles""",
+        "reference_price_asof": f"""WITH {HOUR_FACTS}, {_candles('trades', '15 MINUTE', 'quarters')},
+fetched AS (SELECT * FROM snapshots WHERE hour(snapshot_hour) % 3 <> 1),
+found AS (
+  SELECT q.symbol, q.window_start, q.window_end, q.close,
+         CASE WHEN s.ingested_at >= q.window_end - INTERVAL 6 HOUR THEN s.current_price END AS p,
+         CASE WHEN s.ingested_at >= q.window_end - INTERVAL 6 HOUR THEN s.ingested_at END AS fetched_at
+  FROM quarters q ASOF LEFT JOIN fetched s
+    ON s.symbol = replace(q.symbol, 'USDT', '') AND q.window_end >= s.ingested_at)
+SELECT symbol, window_start, round(close + 1e-9, 6) + 0.0 AS price, round(p + 1e-9, 6) + 0.0 AS reference_price,
+       round((epoch_us(window_end) - epoch_us(fetched_at)) / 1e6 + 1e-9, 6) + 0.0 AS age_seconds,
+       round((CASE WHEN p <> 0 THEN (close - p) / p * 10000 END) + 1e-9, 6) + 0.0 AS deviation_bps FROM found""",
         "reference_price_check": f"""WITH {HOUR_FACTS}, {_candles('trades', '15 MINUTE', 'quarters')}
 SELECT q.symbol, q.window_start, round(q.close + 1e-9, 6) + 0.0 AS price,
        round(s.current_price + 1e-9, 6) + 0.0 AS reference_price,

@@ -6,8 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tickloom.functions.scalar import clock_text
-from tickloom.operators import bronze, candles, dedupe, indicators, normalize, quality, series, signals, upsert
+from tickloom.functions.scalar import clock_text, utc_date
+from tickloom.operators import bronze, candles, dedupe, digests, indicators, normalize, quality, series, signals, upsert
 from tickloom.plans import feeds
 from tickloom.schemas import (
     BRONZE,
@@ -15,6 +15,7 @@ from tickloom.schemas import (
     GOLD,
     GOLD_REQUIRED,
     MARKET_SNAPSHOT,
+    QUARANTINE,
     SILVER,
     SILVER_REQUIRED,
     SYMBOLS,
@@ -33,6 +34,8 @@ UPDATES_FROM = "2024-01-15"
 BASE_UNTIL = "2024-01-20"
 EXTENDED_FROM = "2024-01-15 07:00:00"
 RANGE = ("2024-01-10", "2024-01-11")
+CORRECTED = ("2024-01-09 11:00:00", "2024-01-10 04:00:00")  # candles that a symbol gets late
+MISTAKEN = ("2024-01-20 05:00:00", "2024-01-20 09:00:00")  # candles of another one with wrong prices at first
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,6 +174,19 @@ def normalize_venue_b(spark, sf_dir):
     return normalize.normalize_venue_b(feeds.venue_b_messages(spark, sf_dir))
 
 
+def venue_a_rejects(spark, sf_dir):
+    """Trades with texts that cannot be read; of the texts those that are to blame."""
+    rows = normalize.venue_a_rejects(feeds.venue_a_messages(spark, sf_dir, faults=True))
+    texts = {"price_text": "price", "quantity_text": "quantity", "event_text": "event_time"}
+    return rows.withColumns({
+        text: F.when(F.array_contains("reasons", f"invalid:{name}"), F.col(text)) for text, name in texts.items()
+    })
+
+
+def venue_a_strict(spark, sf_dir):
+    return normalize.normalize_venue_a(feeds.venue_a_messages(spark, sf_dir, faults=True), strict=True)
+
+
 def venue_b_rejects(spark, sf_dir):
     return normalize.venue_b_rejects(feeds.venue_b_messages(spark, sf_dir))
 
@@ -205,6 +221,13 @@ def raw_replay(spark, sf_dir):
     return bronze.reparse_payloads(landing.read_raw(spark, path))
 
 
+def json_landing(spark, sf_dir):
+    """Unified trades kept as JSON rows and read back by their schema."""
+    path = scratch_path(spark, "json")
+    landing.save_json(normalize_venue_a(spark, sf_dir), path)
+    return landing.read_json(spark, path, TRADE_MESSAGE)
+
+
 def market_snapshot_rows(spark, sf_dir):
     return normalize.market_snapshot_rows(feeds.market_payloads(spark, sf_dir))
 
@@ -308,6 +331,20 @@ def stream_quarantine(spark, sf_dir):
     return tables.read_table(spark, sink["path"]).drop("raw_payload")
 
 
+def stream_bronze_and_quarantine(spark, sf_dir):
+    """Both tables of one query that reads and parses the feed once, together."""
+    path, rejected = scratch_path(spark, "bronze"), scratch_path(spark, "quarantine")
+    envelope = feeds.envelope_of(_trade_stream(spark, sf_dir))
+    runner.drain(jobs.start_bronze_and_quarantine(envelope, path, rejected, scratch_path(spark, "checkpoint")))
+    columns = ("topic", "kafka_partition", "kafka_offset", "kafka_timestamp")
+    kept = jobs.read_batches(spark, path, BRONZE, jobs.TRADE_DATE).select(
+        F.lit("bronze").alias("table_name"), *columns, "trade_id", F.lit(None).cast("array<string>").alias("reasons")
+    )
+    return kept.unionByName(jobs.read_batches(spark, rejected, QUARANTINE).select(
+        F.lit("quarantine").alias("table_name"), *columns, F.lit(None).cast("string").alias("trade_id"), "reasons"
+    ))
+
+
 def stream_ohlcv(spark, sf_dir):
     sink = _sink(spark, "silver")
     replays = _trade_stream(spark, sf_dir, copies=True)
@@ -353,6 +390,22 @@ def gold_extend(spark, sf_dir):
     return jobs.read_layer(spark, gold_path, GOLD).drop(jobs.CANDLE_DATE)
 
 
+def gold_correct(spark, sf_dir):
+    """Gold of a Silver with wrong and missing candles in the middle, brought up to their corrections, twice."""
+    silver_path, gold_path = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    silver = stored_silver(spark, sf_dir)
+    time = F.col("window_start")
+    late = (F.col("symbol") == SYMBOLS[1]) & time.between(*CORRECTED)
+    wrong = (F.col("symbol") == SYMBOLS[2]) & time.between(*MISTAKEN)
+    first = silver.where(~late).withColumn("close", F.when(wrong, F.col("close") * 2).otherwise(F.col("close")))
+    tables.append_table(jobs.dated(first), silver_path, [jobs.CANDLE_DATE])
+    jobs.refresh_gold(spark, silver_path, gold_path)
+    for corrections in (silver.where(late), silver.where(wrong)):
+        jobs.correct_candles(spark, corrections, silver_path)
+        jobs.correct_gold(spark, silver_path, gold_path)
+    return jobs.read_layer(spark, gold_path, GOLD).drop(jobs.CANDLE_DATE)
+
+
 def _late_silver(spark, sf_dir, name):
     """Candles of the feed with late trades, and the table of the progress that Spark reports of it."""
     sink, log_path = _sink(spark, "silver"), scratch_path(spark, "progress")
@@ -377,6 +430,24 @@ def stream_progress(spark, sf_dir):
     )
 
 
+def stream_late_trades(spark, sf_dir):
+    """The trades themselves that come too late, and by how much."""
+    path, late_path, log_path = (scratch_path(spark, name) for name in ("in-time", "late", "newest"))
+    trades = _trade_stream(spark, sf_dir, late=True).select(*TRADE_FIELDS)
+    schema = trades.schema
+    runner.drain(jobs.start_trades_and_late(trades, path, late_path, log_path, scratch_path(spark, "checkpoint")))
+    late = jobs.read_batches(spark, late_path, T.StructType(schema.fields + jobs.LATE_FIELDS))
+    return late.select("symbol", "trade_id", "event_time", "watermark", "delay_seconds")
+
+
+def stream_price_board(spark, sf_dir):
+    """The price board of candles that a stream keeps up to date, open windows included."""
+    path = scratch_path(spark, "live")
+    sink = {"checkpoint": scratch_path(spark, "live-checkpoint"), "state_partitions": spark.sparkContext.defaultParallelism}
+    runner.drain(jobs.start_live_candles(_trade_stream(spark, sf_dir), path, window=WINDOW, **sink))
+    return signals.price_board(jobs.read_layer(spark, path, SILVER).drop(jobs.CANDLE_DATE), ZONE)
+
+
 def late_data_audit(spark, sf_dir):
     """Per symbol the trades that the stream of unique trades dropped as late."""
     sink = _sink(spark, "audit")
@@ -448,6 +519,21 @@ def bronze_silver_recon(spark, sf_dir):
     return quality.reconcile_candles(feeds.trades_with_replays(spark, sf_dir), silver_of(recorded), WINDOW)
 
 
+def recon_by_digests(spark, sf_dir):
+    """Only the windows that differ, found from the digests that both layers keep."""
+    paths = {name: scratch_path(spark, name) for name in ("bronze", "silver", "bronze-tree", "silver-tree")}
+    trades = feeds.trades_with_replays(spark, sf_dir).withColumn("trade_date", utc_date(F.col("event_time")))
+    recorded = feeds.trades(spark, sf_dir).where(
+        ~((F.col("source") == VENUE_B) & (F.col("event_time") >= "2024-01-30"))
+    )
+    tables.append_table(trades, paths["bronze"], ["trade_date"])
+    tables.append_table(jobs.dated(silver_of(recorded)), paths["silver"], [jobs.CANDLE_DATE])
+    bronze_rows, silver = (tables.read_table(spark, paths[name]) for name in ("bronze", "silver"))
+    digests.record_digests(silver_of(dedupe.dedupe_batch(bronze_rows.drop("trade_date"))), paths["bronze-tree"])
+    digests.record_digests(silver, paths["silver-tree"])
+    return digests.reconcile_by_digests(bronze_rows, silver, paths["bronze-tree"], paths["silver-tree"], WINDOW)
+
+
 def layer_count_parity(spark, sf_dir):
     """Gold that lost one symbol's last days, which must show up."""
     silver = stored_silver(spark, sf_dir)
@@ -516,20 +602,31 @@ def reference_price_check(spark, sf_dir):
     return quality.reference_check(minutes, snapshots)
 
 
+def reference_price_asof(spark, sf_dir):
+    """Every third fetch of the hourly prices failed; the newest fetch of six hours at most stands in."""
+    snapshots = normalize.market_snapshot_rows(feeds.market_payloads(spark, sf_dir))
+    fetched = snapshots.where(F.hour("snapshot_hour") % 3 != 1)
+    minutes = candles.ohlcv(feeds.trades(spark, sf_dir), "15 minutes")
+    return quality.reference_check_asof(minutes, fetched, max_age="6 hours")
+
+
 QUERIES: Sequence[Query] = (
     ohlcv_candles, ohlcv_by_source, brand_weekly_candles, brand_daily_indicators,
     candle_index, price_change_lag, previous_price, rolling_mean_std, rsi14, macd_sma, bollinger20, gold_indicators,
     ema_macd, ema_macd_gaps, volume_zscore,
     bronze_parse, bronze_quarantine, message_completeness, normalize_venue_a, normalize_venue_b, venue_b_rejects,
+    venue_a_rejects, venue_a_strict, json_landing,
     venue_union, symbol_map, allowed_symbols, kafka_publish_rows, raw_replay, market_snapshot_rows,
     global_metrics_rows,
     dedupe_trades, snapshot_upsert, global_metrics_upsert, roundtrip_overwrite, backfill_merge,
     stream_bronze, stream_quarantine, stream_ohlcv, stream_dedupe, stream_feed_health, stream_gold_refresh,
+    stream_bronze_and_quarantine, gold_correct, stream_late_trades, stream_price_board,
     gold_extend, stream_late_candles, stream_progress, late_data_audit,
     latest_per_symbol, last_non_null, price_board, signal_summary, signal_history, warmup_status, candle_direction,
     indicator_points, distinct_symbols, display_time,
     bronze_silver_recon, layer_count_parity, null_pattern, table_profile, counts_by_source, topic_health, arrival_lag,
     first_sample, window_range_check, latest_trades_topk, schema_contract, reference_price_check,
+    recon_by_digests, reference_price_asof,
 )
 
 

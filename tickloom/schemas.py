@@ -89,6 +89,8 @@ BRONZE = _struct(
     ingested_at=T.TimestampType(),
 )
 
+QUARANTINE = T.StructType(BRONZE.fields[:5] + [T.StructField("reasons", T.ArrayType(T.StringType()), True)])
+
 SILVER = _struct(
     window_start=T.TimestampType(),
     window_end=T.TimestampType(),

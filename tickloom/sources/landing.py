@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def save_raw(messages: DataFrame, payload: Column | str, path: str) -> None:
@@ -17,3 +18,7 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def save_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
+
+
+def read_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).json(path)

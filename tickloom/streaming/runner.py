@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import signal
 import threading
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -68,6 +69,51 @@ def start_table_sink(
         return writer.start(path)
 
 
+def start_batches(
+    df: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    trigger: str | None = None,
+    name: str | None = None,
+    mode: str = "append",
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Give each micro-batch, computed once, to ``write(batch, batch_id)``, which may write it to several tables.
+
+    A batch that was under way when the query stopped is given again with its old number, so ``write`` must replace what
+    it has written for that number before (see ``replace_batch``) or merge by key.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist(StorageLevel.DISK_ONLY)  # what an executor loses is computed again
+        try:
+            write(kept, batch_id)
+        finally:
+            kept.unpersist()
+
+    writer = df.writeStream.foreachBatch(run).outputMode(mode).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
+    conf = dict(STATE_CONF)
+    if state_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(state_partitions)
+    with session_conf(df.sparkSession, conf):
+        return writer.start()
+
+
+BATCH = "batch"
+
+
+def replace_batch(rows: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (), files: int | None = None) -> None:
+    """Write the rows of a micro-batch under ``batch=<batch_id>`` of a table; what was there before is replaced whole."""
+    if files:
+        rows = rows.repartition(files)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
+
+
 def start_console(df: DataFrame, trigger: str, rows: int = 20) -> StreamingQuery:
     """Show each micro-batch, values in full: a smoke check of a feed."""
     writer = df.writeStream.format("console").outputMode("append").option("numRows", rows).option("truncate", False)

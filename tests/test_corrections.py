@@ -15,7 +15,7 @@ from tickloom.operators.asof import asof_join
 from tickloom.plans import feeds, queries
 from tickloom.schemas import BRONZE, GOLD, KAFKA_ENVELOPE, QUARANTINE, SILVER, TRADE_FIELDS, WATERMARK
 from tickloom.sources import tables
-from tickloom.streaming import jobs, runner
+from tickloom.streaming import health, jobs, runner
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -380,3 +380,43 @@ def test_no_task_of_an_asof_join_gets_a_hot_key(spark):
     assert len(by_key) == 1
     months = asof_join(left, right, ["k"], "t", "rt", ["v"])
     assert months.where("v IS NULL").isEmpty() and months.count() == 5000
+
+
+# ---- health from the checkpoint, percentiles ---------------------------------------------------------------------
+def test_state_and_freshness_of_a_checkpoint(spark, tmp_path, at):
+    folder, checkpoint = str(tmp_path / "feed"), str(tmp_path / "checkpoint")
+    schema = "symbol string, price double, quantity double, event_time timestamp, trade_id string"
+    for n in range(3):
+        rows = [("AB"[i % 2], 1.0, 1.0, at(n * 3600 + i * 60), f"v:{n}:{i}") for i in range(50)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    stream = tables.stream_table(spark, folder, spark.createDataFrame([], schema).schema, max_files_per_trigger=1)
+    before = dt.datetime.now()
+    query = runner.drain(jobs.start_silver(stream, str(tmp_path / "out"), checkpoint, "10 minutes", state_partitions=4))
+    rows = health.state_health(spark, checkpoint).collect()
+    assert len(rows) == 8  # two operators of four partitions
+    watermark = at(2 * 3600 + 49 * 60) - dt.timedelta(minutes=2)
+    by_operator = {}
+    for row in rows:
+        by_operator[row.operator] = by_operator.get(row.operator, 0) + row.state_rows
+        assert (row.first_due is None) == (row.state_rows == 0)
+        assert row.first_due is None or watermark < row.first_due <= row.last_due
+    last = {s.operatorName: s.numRowsTotal for s in query.lastProgress.stateOperators}
+    assert by_operator == last and sum(last.values()) > 0
+    fresh = health.checkpoint_freshness(spark, checkpoint).first()
+    assert fresh.batches == fresh.last_batch + 1 >= 3
+    assert before - dt.timedelta(seconds=2) <= fresh.last_commit and 0 <= fresh.seconds_since < 600
+
+
+def test_percentiles_of_merged_days(spark, at):
+    rng = random.Random(6)
+    values = [("ab"[i % 2], at(0).date() + dt.timedelta(days=i % 5), rng.lognormvariate(0, 2) + i % 5) for i in range(20_000)]
+    frame = spark.createDataFrame([*values, ("a", None, None)], "topic string, day date, value double")
+    sketches = quality.daily_sketches(frame)
+    assert sketches.count() == 10
+    found = quality.percentiles(sketches, (0.1, 0.5, 0.99))
+    assert {(r.topic, r.rank, r.n_values) for r in found.collect()} == {(t, q, 10_000) for t in "ab" for q in (0.1, 0.5, 0.99)}
+    for row in found.collect():
+        own = sorted(v for t, _, v in values if t == row.topic)
+        share = sum(v <= row.value for v in own) / len(own)
+        assert abs(share - row.rank) <= quality.RANK_ERROR + 1e-4
+    assert all(r.rank_error <= quality.RANK_ERROR for r in quality.rank_errors(frame, found).collect())

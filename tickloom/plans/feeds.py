@@ -6,6 +6,7 @@ odd users on the second. Some users' connections misbehave in a fixed way, which
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickloom.functions.scalar import once, topic_of
@@ -122,13 +123,16 @@ def land(rows: DataFrame, arrival: Column, path: str) -> int:
     Every arrival has the same number of files, which is returned and grows with the largest one, and the files of one
     are older than those of the next.
     """
-    arrived = rows.withColumn("_arrival", arrival)
-    sizes = sorted(tuple(row) for row in arrived.groupBy("_arrival").count().collect())  # a handful
-    files = max([LANDING_FILES, *(-(-size // FILE_ROWS) for _, size in sizes)])
-    for number, _ in sizes:
-        part = arrived.where(F.col("_arrival") == number).drop("_arrival")
-        part.repartition(files).write.mode("append").parquet(path)
-    return files
+    arrived = rows.withColumn("_arrival", arrival).persist(StorageLevel.DISK_ONLY)  # the feed is read once
+    try:
+        sizes = sorted(tuple(row) for row in arrived.groupBy("_arrival").count().collect())  # a handful
+        files = max([LANDING_FILES, *(-(-size // FILE_ROWS) for _, size in sizes)])
+        for number, _ in sizes:
+            part = arrived.where(F.col("_arrival") == number).drop("_arrival")
+            part.repartition(files).write.mode("append").parquet(path)
+        return files
+    finally:
+        arrived.unpersist()
 
 
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -353,6 +353,12 @@ HAVING time_bucket(INTERVAL 1 DAY, kafka_timestamp, TIMESTAMP '1970-01-01') + IN
 SELECT symbol, trade_id, event_time, watermark,
        round((epoch_us(watermark) - epoch_us(event_time)) / 1e6 + 1e-9, 6) + 0.0 AS delay_seconds
 FROM trades, w WHERE {LATE}""",
+        "stream_state_health": f"""WITH {HOURLY}, w AS (
+  SELECT make_timestamp(max(event_ms) * 1000) - INTERVAL 2 MINUTE AS watermark FROM trades)
+SELECT 'dedupeWithinWatermark' AS operator, count(*) AS state_rows, min(event_time + INTERVAL 2 MINUTE) AS first_due,
+       max(event_time + INTERVAL 2 MINUTE) AS last_due FROM trades, w WHERE event_time + INTERVAL 2 MINUTE > watermark
+UNION ALL
+SELECT 'stateStoreSave', count(*), min(window_end), max(window_end) FROM candles, w WHERE window_end > watermark""",
         "stream_late_candles": f"""WITH {TRADES}, in_time AS (SELECT * FROM trades WHERE NOT ({LATE})),
 {_candles('in_time', '1 HOUR', 'candles')} SELECT {CANDLE_COLUMNS} FROM candles WHERE {CLOSED}""",
         "stream_progress": f"""WITH {TRADES} SELECT 'silver_progress' AS query, count(*) AS input_rows,
@@ -408,6 +414,11 @@ l AS (SELECT topic, (epoch_us(kafka_timestamp) - epoch_us(event_time)) / 1e6 AS
 SELECT topic, count(*) AS messages, round(avg(lag) + 1e-9, 6) + 0.0 AS mean_lag_seconds,
        round(max(lag) + 1e-9, 6) + 0.0 AS max_lag_seconds, count(*) FILTER (WHERE lag < 0) AS from_the_future
 FROM l GROUP BY topic""",
+        "feed_percentiles": f"""WITH {ENVELOPE},
+v AS (SELECT 'lag' AS measure, topic FROM bronze
+      UNION ALL SELECT DISTINCT 'rate' || strftime(date_trunc('hour', kafka_timestamp), ' %x %H'), topic FROM bronze),
+n AS (SELECT split_part(measure, ' ', 1) AS measure, topic, count(*) AS n_values FROM v GROUP BY 1, 2)
+SELECT measure, topic, CAST(r AS DOUBLE) AS rank, n_values, true AS is_within FROM n, (VALUES (0.5), (0.9), (0.99)) AS q(r)""",
         "first_sample": f"""WITH {ENVELOPE},
 r AS (SELECT *, row_number() OVER (PARTITION BY topic ORDER BY kafka_partition, kafka_offset) AS n
       FROM envelope WHERE reasons = '')

@@ -26,7 +26,7 @@ from tickloom.schemas import (
 )
 from tickloom.session import materialize, require_utc, scratch_path
 from tickloom.sources import kafka, landing, tables
-from tickloom.streaming import jobs, runner
+from tickloom.streaming import health, jobs, runner
 
 WINDOW = "1 hour"
 ZONE = "Europe/Paris"
@@ -448,6 +448,16 @@ def stream_price_board(spark, sf_dir):
     return signals.price_board(jobs.read_layer(spark, path, SILVER).drop(jobs.CANDLE_DATE), ZONE)
 
 
+def stream_state_health(spark, sf_dir):
+    """State that a drained candle stream has left in its checkpoint, per operator."""
+    sink = _sink(spark, "silver")
+    runner.drain(jobs.start_silver(_trade_stream(spark, sf_dir, copies=True), window=WINDOW, **sink))
+    return health.state_health(spark, sink["checkpoint"]).groupBy("operator").agg(
+        F.sum("state_rows").alias("state_rows"), F.min("first_due").alias("first_due"),
+        F.max("last_due").alias("last_due"),
+    )
+
+
 def late_data_audit(spark, sf_dir):
     """Per symbol the trades that the stream of unique trades dropped as late."""
     sink = _sink(spark, "audit")
@@ -565,6 +575,20 @@ def arrival_lag(spark, sf_dir):
     return quality.arrival_lag(rows)
 
 
+def feed_percentiles(spark, sf_dir):
+    """Percentiles of lag and rate from daily sketches, and whether each is within the stated error of its rank."""
+    rows = stored_bronze(spark, sf_dir)
+    report = None
+    for measure, values in (("lag", quality.lag_values(rows)), ("rate", quality.rate_values(rows, "1 hour"))):
+        found = quality.percentiles(materialize(quality.daily_sketches(values), f"{measure}-sketches"))
+        checked = quality.rank_errors(values, found).select(
+            F.lit(measure).alias("measure"), "topic", "rank", "n_values",
+            (F.col("rank_error") <= quality.RANK_ERROR).alias("is_within"),
+        )
+        report = checked if report is None else report.unionByName(checked)
+    return report
+
+
 def first_sample(spark, sf_dir):
     checked = bronze.message_completeness(bronze.parse_envelope(feeds.envelope(spark, sf_dir)))
     samples = quality.first_samples(checked)
@@ -620,13 +644,13 @@ QUERIES: Sequence[Query] = (
     global_metrics_rows,
     dedupe_trades, snapshot_upsert, global_metrics_upsert, roundtrip_overwrite, backfill_merge,
     stream_bronze, stream_quarantine, stream_ohlcv, stream_dedupe, stream_feed_health, stream_gold_refresh,
-    stream_bronze_and_quarantine, gold_correct, stream_late_trades, stream_price_board,
+    stream_bronze_and_quarantine, gold_correct, stream_late_trades, stream_price_board, stream_state_health,
     gold_extend, stream_late_candles, stream_progress, late_data_audit,
     latest_per_symbol, last_non_null, price_board, signal_summary, signal_history, warmup_status, candle_direction,
     indicator_points, distinct_symbols, display_time,
     bronze_silver_recon, layer_count_parity, null_pattern, table_profile, counts_by_source, topic_health, arrival_lag,
     first_sample, window_range_check, latest_trades_topk, schema_contract, reference_price_check,
-    recon_by_digests, reference_price_asof,
+    recon_by_digests, reference_price_asof, feed_percentiles,
 )
 
 

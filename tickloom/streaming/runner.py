@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import signal
 import threading
+import time
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
@@ -160,12 +161,17 @@ class ProgressLog(StreamingQueryListener):
     """Writes one row per micro-batch of every query of a session to a table: throughput, watermark, state, late rows.
 
     The table outlives queries and sessions and holds all batches, where a query itself keeps its last reports only.
-    Use ``recording``; a row is one small file, so compact the table now and then as any log.
+    Rows are gathered and written ``rows_per_file`` at a time, by the first report that comes ``max_seconds`` after the
+    oldest one that waits, and at the end of a query and of the block; a session that dies loses those that wait. Use
+    ``recording``.
     """
 
-    def __init__(self, spark: SparkSession, path: str) -> None:
+    def __init__(self, spark: SparkSession, path: str, rows_per_file: int = 100, max_seconds: float = 60) -> None:
         super().__init__()
         self._spark, self._path = spark, path
+        self._rows_per_file, self._max_seconds = rows_per_file, max_seconds
+        self._waiting: list[tuple] = []
+        self._since = 0.0
         self._ended: set[str] = set()
         self._change = threading.Condition()
 
@@ -182,13 +188,27 @@ class ProgressLog(StreamingQueryListener):
             _finite(p.processedRowsPerSecond), p.durationMs.get("triggerExecution"), p.eventTime.get("watermark"),
             sum(s.numRowsTotal for s in p.stateOperators), sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
         )
-        self._spark.createDataFrame([row], PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self._path)
+        with self._change:
+            if not self._waiting:
+                self._since = time.monotonic()
+            self._waiting.append(row)
+            due = len(self._waiting) >= self._rows_per_file or time.monotonic() - self._since >= self._max_seconds
+        if due:
+            self.flush()
 
     def onQueryTerminated(self, event) -> None:
+        self.flush()
         with self._change:
             self._ended.add(str(event.runId))
             self._change.notify_all()
 
+    def flush(self) -> None:
+        """Write the rows that wait, as one file."""
+        with self._change:
+            rows, self._waiting = self._waiting, []
+        if rows:
+            self._spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").parquet(self._path)
+
     def wait_for(self, query: StreamingQuery, seconds: float = 60) -> None:
         """Reports arrive a little after the query: wait until the last one of an ended query is written."""
         with self._change:
@@ -205,6 +225,7 @@ def recording(spark: SparkSession, path: str):
         yield log
     finally:
         spark.streams.removeListener(log)
+        log.flush()
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:

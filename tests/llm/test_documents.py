@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -358,6 +359,34 @@ def test_folding():
     assert toxicity.fold("You ІDІОТ, 1d10t! l0ser") == " you idiot idiot loser "
     assert toxicity.fold("ｉｄｉｏｔ") == " idiot "
     assert toxicity.fold("") == "  "
+    for text in ("ïdïot", "i\u0301diot", "𝐢𝐝𝐢𝐨𝐭", "𝐈𝐃𝐈𝐎𝐓", "ⅰdiot", "id\u200biot", "i\u00addiot", "ìdíót", "IDİOT"):
+        assert toxicity.fold(text) == " idiot ", text
+
+
+def test_exceptions_in_one_sweep():
+    entries = tuple((f" {word} ", weight) for word, weight in (("trash", 3.0), ("can", 1.0), ("pig", 2.0), ("iron", 4.0)))
+    model = toxicity.Model(entries, toxicity.DEFAULT_CURVE, ("trash can", "guinea pig", "pig iron", "a guinea pig iron"))
+    generator = random.Random(9)
+    for _ in range(500):
+        words = generator.choices(["trash", "can", "pig", "iron", "guinea", "a"], k=generator.randint(0, 14))
+        folded = toxicity.fold(" ".join(words))
+        spans = [
+            (at, at + len(phrase) + 1) for phrase in model.exceptions for at in range(len(folded))
+            if folded.startswith(f" {phrase} ", at)
+        ]
+        total = sum(
+            weight for entry, weight in entries for at in range(len(folded))
+            if folded.startswith(entry, at) and not any(start <= at < end for start, end in spans)
+        )
+        assert model.match(" ".join(words))[0] == total
+    started = time.perf_counter()
+    assert model.match("trash can " * 100_000) == (0.0, 200_000)
+    assert time.perf_counter() - started < 10
+
+
+def test_all_entries_over_the_weight_are_kept():
+    counts = [(f" w{i} ", 200 + i % 3, 0) for i in range(9000)]
+    assert len(toxicity.weights(counts, 1000, 1000)) >= 9000
 
 
 def test_exceptions_and_length():

@@ -10,19 +10,20 @@ on labelled rows that the weights have not seen. Both use a sample of the labell
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.llm.common import id_and_text, unused
 
 THRESHOLD = 0.3
 SAMPLE = 20_000  # labelled rows that the lexicon and the curve are fitted on, about
-ENTRIES = 4_000  # of a lexicon at most, the heaviest
 STEMS = (4, 5, 6)  # letters of the word beginnings that are tried besides whole words
 LEAST_TOXIC = 3  # toxic texts that an entry must be in
 LEAST_WEIGHT = 1.0
@@ -50,16 +51,17 @@ _FOLD = str.maketrans(_ALIKE | _WRITTEN_FOR | dict.fromkeys(_BREAKS, " "))
 
 
 def fold(text: str) -> str:
-    """Folded words with a space around each; full-width letters come as plain ones."""
-    lowered = text.lower()
-    if not lowered.isascii():
-        lowered = lowered.translate(_FULL_WIDTH) if _WIDE & set(lowered) else lowered
+    """Folded words with a space around each. Letters come without accents and marks, and without characters that are
+    not seen; compatibility forms (full-width, mathematical, roman numerals) come as plain letters."""
+    if text.isascii():
+        lowered = text.lower()
+    else:
+        lowered = _UNSEEN.sub("", unicodedata.normalize("NFKD", text).lower())
     # an exclamation mark after a word ends it; inside one it stands for a letter
     return " " + " ".join(word.rstrip("!|").translate(_FOLD).strip() for word in lowered.split()) + " "
 
 
-_FULL_WIDTH = {0xFF01 + i: 0x21 + i for i in range(94)}
-_WIDE = frozenset(map(chr, _FULL_WIDTH))
+_UNSEEN = regex.compile(r"[\p{Mn}\p{Me}\p{Cf}]+")
 
 
 def entries_of(folded: str) -> set[str]:
@@ -111,7 +113,14 @@ class Model:
                 excepted.append((start, end))
             elif weight > found.get(start, 0.0):
                 found[start] = weight
-        total = sum(w for at, w in found.items() if not any(start <= at < end for start, end in excepted))
+        total, reach, spans = 0.0, -1, iter(sorted(excepted))
+        start, end = next(spans, (len(folded), 0))
+        for at in sorted(found) if excepted else found:
+            while start <= at:  # one sweep: the farthest end of the phrases that begin up to here
+                reach = max(reach, end)
+                start, end = next(spans, (len(folded), 0))
+            if at >= reach:
+                total += found[at]
         return total, len(folded.split())
 
     def score(self, text: str) -> float:
@@ -150,7 +159,7 @@ def weights(counts: Iterable[tuple[str, int, int]], toxic: int, clean: int) -> t
             found[entry] = float(weight)
         elif entry in found and in_clean > in_toxic:
             del found[entry]
-    return tuple(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:ENTRIES])
+    return tuple(sorted(found.items(), key=lambda x: (-x[1], x[0])))
 
 
 DEFAULT_CURVE = (-3.0, 1.0, 0.5)  # where too few labels are there to fit one
@@ -165,8 +174,11 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from labelled rows that are not held out; about ``sample`` of them, chosen by a hash of their doc_id.
 
-    Labels other than 0 and 1 are no labels. Three quarters of the sample make the weights: entries are counted in the
-    tasks, summed in a shuffle, and at most ``ENTRIES`` come back. The last quarter makes the curve.
+    Labels other than 0 and 1 are no labels; of several labels of a doc_id the toxic one counts, and all texts of a
+    doc_id are labelled alike. Three quarters of the sample make the weights: entries are counted in the tasks, summed in
+    a shuffle, and those over the least weight come back, all of them: their number is bounded by the sample. The last
+    quarter makes the curve. Texts count whole, whatever their length, empty ones with no words; with too few labels the
+    seeds and a stated curve are the model.
     """
     usable = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
@@ -197,11 +209,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .agg(F.sum("in_toxic").alias("in_toxic"), F.sum("in_clean").alias("in_clean"))
     )
     odds = F.log((F.col("in_toxic") + 0.5) / (toxic + 1)) - F.log((F.col("in_clean") + 0.5) / (clean + 1))
-    worth = (F.col("in_toxic") >= LEAST_TOXIC) & (odds >= LEAST_WEIGHT) | F.col("entry").isin(
-        [f" {word} " for word in SEEDS]
-    )
-    heaviest = summed.where(worth).orderBy(F.desc("in_toxic"), "in_clean", "entry").limit(ENTRIES).collect()
-    model = Model(weights([tuple(row) for row in heaviest], toxic, clean), DEFAULT_CURVE)
+    error = F.sqrt(1 / (F.col("in_toxic") + 0.5) + 1 / (F.col("in_clean") + 0.5))
+    heavy = odds - 2 * error >= LEAST_WEIGHT - 1e-9  # ``weights`` decides, this only spares the driver the rest
+    worth = (F.col("in_toxic") >= LEAST_TOXIC) & heavy | F.col("entry").isin([f" {word} " for word in SEEDS])
+    model = Model(weights([tuple(row) for row in summed.where(worth).collect()], toxic, clean), DEFAULT_CURVE)
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,7 +253,12 @@ def score(docs: DataFrame, model: Model, columns: Sequence[str] = ("doc_id",), n
 
 
 def detect(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
-    """Per row: doc_id, held_out, score, predicted."""
+    """Per row: doc_id, held_out, score, predicted (1 from ``threshold`` on).
+
+    Equal texts have equal scores, rows that repeat repeat. A null text is an empty one; empty texts, and such without
+    words, have the score of a sum of zero. Texts are scored whole, in time that grows with their length. No rows give
+    no rows; without labels the seeds alone decide.
+    """
     scored = score(docs, fit(docs, labels, sample))
     return scored.select(
         "doc_id",

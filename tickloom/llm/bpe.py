@@ -86,6 +86,7 @@ class BytePairEncoder(PieceEncoder):
         self._tokens = {rank: token for token, rank in self._ranks.items()}
         self._queue = RankQueue(max(self._tokens) + 1)
         self._matches = regex.compile(pattern).findall
+        self._merged: dict[str, list[int]] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of one piece."""
@@ -133,6 +134,9 @@ class BytePairEncoder(PieceEncoder):
     def pieces(self, texts: list[str]) -> list[bytes]:
         """One search of the pattern for all: a new line between pieces is a match by itself, see ``PieceEncoder``."""
         found = []
+        if len(self._merged) > self.PIECES:
+            self._merged.clear()
+        merged = self._merged
         matches = iter(self._matches("\n".join([text.removeprefix("\n") for text in texts]) + "\n"))
         line = array("I", self.merge(b"\n"))
         for text in texts:
@@ -140,7 +144,10 @@ class BytePairEncoder(PieceEncoder):
             for match in matches:
                 if match == "\n":
                     break
-                ids.extend(self.merge(match.encode()))
+                ids_of = merged.get(match)
+                if ids_of is None:
+                    ids_of = merged[match] = self.merge(match.encode())
+                ids.extend(ids_of)
             found.append(ids.tobytes())
         return found
 

@@ -26,6 +26,11 @@ SNAPSHOT_USER, UNKNOWN_PAIR_USER, BAD_TIME_USER, OTHER_KIND_USER = 1, 13, 15, 2
 LATE_USER, REPLAY_USER = 4, 6
 WORD_PRICE_USER, EMPTY_SIZE_USER, WORD_TIME_USER = 8, 10, 12
 
+# days on which the fields of the feed change
+FEE_FROM, NOTE_FROM, NOTE_TEXT_FROM, NOTE_UNTIL, TEXT_PRICE_FROM, NO_SOURCE_FROM = (
+    "2024-01-10", "2024-01-12", "2024-01-13", "2024-01-14", "2024-01-15", "2024-01-20"
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -103,6 +108,35 @@ def envelope_of(rows: DataFrame) -> DataFrame:
     )
 
 
+def drifting_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose fields change by date, beside broken and empty ones.
+
+    A fee is added, a nested note comes, has its number turned into text and goes, prices of the second venue become
+    text, and one topic loses its source.
+    """
+    rows = with_trade_columns(table(spark, sf_dir, "events"))
+    time, user = F.col("event_time"), F.col("user_id")
+    price_is_text = (time >= TEXT_PRICE_FROM) & (F.col("source") == VENUE_B)
+    price = F.when(price_is_text, F.col("price").cast("string").cast("variant")).otherwise(F.col("price").cast("variant"))
+    by = F.when(time >= NOTE_TEXT_FROM, user.cast("string").cast("variant")).otherwise(user.cast("long").cast("variant"))
+    noted = (time >= NOTE_FROM) & (time < NOTE_UNTIL)
+    no_source = (time >= NO_SOURCE_FROM) & (F.col("symbol") == "ETHUSDT")
+    text = F.to_json(F.struct(
+        "symbol", price.alias("price"), "quantity", F.unix_millis("event_time").alias("event_time"), "trade_id",
+        F.when(~no_source, F.col("source")).alias("source"),
+        F.when(time >= FEE_FROM, user / 100).alias("fee"),
+        F.when(noted, F.struct(by.alias("by"))).alias("note"),
+    ))
+    payload = (
+        F.when(user == MALFORMED_USER, F.substring(text, F.lit(1), F.length(text) - 5))
+        .when(user == EMPTY_USER, F.lit(None).cast("string"))
+        .otherwise(text)
+    )
+    return rows.select(
+        topic_of(F.col("symbol")).alias("topic"), time.alias("kafka_timestamp"), once(payload).alias("raw_payload")
+    )
+
+
 LANDING_FILES = 4  # of each arrival at least, so that a trigger of as many files takes just one
 FILE_ROWS = 1_000_000  # of the largest arrival in a file; all arrivals have as many files
 

@@ -107,6 +107,35 @@ BRONZE_COLUMNS = (
 QUARANTINE = f"""WITH {ENVELOPE}
 SELECT topic, kafka_partition, kafka_offset, kafka_timestamp, reasons FROM envelope WHERE trade_id IS NULL"""
 
+# what each readable message of the drifting feed holds
+DRIFT = TRADES + """,
+d0 AS (
+  SELECT 'crypto-trades-' || lower(symbol) AS topic, CAST(event_time AS DATE) AS day, user_id, symbol, price, quantity,
+         event_time, event_ms, trade_id, source, user_id IN (3, 11) AS broken,
+         event_time >= TIMESTAMP '2024-01-15' AND source = 'kraken' AS price_is_text,
+         event_time >= TIMESTAMP '2024-01-20' AND symbol = 'ETHUSDT' AS no_source FROM trades),
+d1 AS (
+  SELECT topic, day, unnest([
+    {'f': 'symbol', 't': CASE WHEN symbol IS NOT NULL THEN 'STRING' END},
+    {'f': 'price', 't': CASE WHEN price IS NULL THEN NULL WHEN price_is_text THEN 'STRING' ELSE 'NUMBER' END},
+    {'f': 'quantity', 't': CASE WHEN quantity IS NOT NULL THEN 'NUMBER' END},
+    {'f': 'event_time', 't': CASE WHEN event_ms IS NOT NULL THEN 'NUMBER' END},
+    {'f': 'trade_id', 't': CASE WHEN trade_id IS NOT NULL THEN 'STRING' END},
+    {'f': 'source', 't': CASE WHEN NOT no_source THEN 'STRING' END},
+    {'f': 'fee', 't': CASE WHEN day >= DATE '2024-01-10' THEN 'NUMBER' END},
+    {'f': 'note', 't': CASE WHEN day = DATE '2024-01-12' THEN 'OBJECT<by: NUMBER>'
+                            WHEN day = DATE '2024-01-13' THEN 'OBJECT<by: STRING>' END}]) AS e
+  FROM d0 WHERE NOT broken),
+d2 AS (
+  SELECT topic, day, e.f AS field, string_agg(DISTINCT e.t, '|' ORDER BY e.t) AS types, count(*) AS messages
+  FROM d1 WHERE e.t IS NOT NULL GROUP BY topic, day, e.f),
+d3 AS (
+  SELECT topic, day, lag(day) OVER (PARTITION BY topic ORDER BY day) AS day_before
+  FROM (SELECT DISTINCT topic, day FROM d0 WHERE NOT broken)),
+d4 AS (
+  SELECT d3.topic, d3.day, b.field, b.types FROM d3 JOIN d2 b ON b.topic = d3.topic AND b.day = d3.day_before),
+d5 AS (SELECT d2.* FROM d2 JOIN d3 USING (topic, day) WHERE day_before IS NOT NULL)"""
+
 MESSAGE_COLUMNS = (
     f"symbol, {_r('price', 'quantity')}, event_ms AS event_time, trade_id, source"
 )
@@ -313,6 +342,21 @@ SELECT venue_pair, symbol, count(*) AS trades FROM pairs GROUP BY venue_pair, sy
         f"{MESSAGE_COLUMNS} FROM trades",
         "raw_replay": f"""WITH {ENVELOPE} SELECT symbol, round(price + 1e-9, 6) + 0.0 AS price,
             round(quantity + 1e-9, 6) + 0.0 AS quantity, event_time_ms AS event_time, trade_id, source FROM bronze""",
+        "payload_drift": f"""WITH {DRIFT}
+SELECT topic, day, field, CASE WHEN b.types IS NULL THEN 'appeared' WHEN a.types IS NULL THEN 'vanished'
+       ELSE 'retyped' END AS change, b.types AS types_before, a.types AS types_after, coalesce(a.messages, 0) AS messages
+FROM d5 a FULL JOIN d4 b USING (topic, day, field) WHERE a.types IS DISTINCT FROM b.types""",
+        "payload_readability": f"""WITH {DRIFT}
+SELECT topic, day, count(*) AS messages, count(*) FILTER (WHERE broken) AS unreadable FROM d0 GROUP BY topic, day""",
+        "drift_replay": f"""WITH {DRIFT}
+SELECT symbol, CASE WHEN NOT price_is_text THEN round(price + 1e-9, 6) + 0.0 END AS price, {_r('quantity')},
+       event_ms AS event_time, trade_id, CASE WHEN NOT no_source THEN source END AS source,
+       CASE WHEN day >= DATE '2024-01-10' THEN round(user_id / 100 + 1e-9, 6) + 0.0 END AS fee,
+       CASE WHEN day = DATE '2024-01-12' THEN '{{"note":{{"by":' || user_id || '}}}}'
+            WHEN day = DATE '2024-01-13' THEN '{{"note":{{"by":"' || user_id || '"}}}}' ELSE '{{}}' END AS rest
+FROM d0 WHERE NOT broken AND trade_id IS NOT NULL""",
+        "curve_lookup": f"""WITH {TRADES} SELECT symbol, {_r('price', 'quantity')}, event_time, trade_id, source
+FROM trades WHERE symbol = 'ETHUSDT' AND event_time >= TIMESTAMP '2024-01-10' AND event_time < TIMESTAMP '2024-01-11'""",
         "market_snapshot_rows": f"WITH {HOUR_FACTS} SELECT * FROM snapshots",
         "global_metrics_rows": f"WITH {HOUR_FACTS} SELECT * FROM metrics",
         "dedupe_trades": f"WITH {TRADES} SELECT {trade_rows} FROM trades",

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tickloom.functions.scalar import clock_text, utc_date
-from tickloom.operators import bronze, candles, dedupe, digests, indicators, normalize, quality, series, signals, upsert
+from tickloom.operators import bronze, candles, dedupe, digests, drift, indicators, layout, normalize, quality, series, signals, upsert
 from tickloom.plans import feeds
 from tickloom.schemas import (
     BRONZE,
@@ -35,6 +35,7 @@ BASE_UNTIL = "2024-01-20"
 EXTENDED_FROM = "2024-01-15 07:00:00"
 RANGE = ("2024-01-10", "2024-01-11")
 CORRECTED = ("2024-01-09 11:00:00", "2024-01-10 04:00:00")  # candles that a symbol gets late
+CURVE_ROWS = 10_000  # of a file along the curve, few because the feed is small
 MISTAKEN = ("2024-01-20 05:00:00", "2024-01-20 09:00:00")  # candles of another one with wrong prices at first
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,6 +229,33 @@ def json_landing(spark, sf_dir):
     return landing.read_json(spark, path, TRADE_MESSAGE)
 
 
+def stored_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a feed that drifts, landed with their payload as text and as VARIANT."""
+    return materialize(drift.with_variant(feeds.drifting_messages(spark, sf_dir)), "payloads")
+
+
+def payload_drift(spark, sf_dir):
+    """Fields that appeared, vanished or changed type, by topic and date."""
+    return drift.field_changes(drift.payload_shapes(stored_payloads(spark, sf_dir)))
+
+
+def payload_readability(spark, sf_dir):
+    return drift.unreadable(drift.payload_shapes(stored_payloads(spark, sf_dir)))
+
+
+def drift_replay(spark, sf_dir):
+    """Unified messages with a field that the contract got later, and the names of those it still does not know."""
+    rows = drift.promote(drift.replay_with_rest(stored_payloads(spark, sf_dir)), "fee", "double")
+    return rows.withColumn("rest", F.to_json("rest"))
+
+
+def curve_lookup(spark, sf_dir):
+    """A day of one symbol out of trades laid along the curve of symbol and time."""
+    path, manifest = scratch_path(spark, "curve"), scratch_path(spark, "curve-files")
+    layout.write_along_curve(feeds.trades(spark, sf_dir), path, manifest, rows_per_file=CURVE_ROWS)
+    return layout.look_up(spark, path, manifest, "ETHUSDT", *RANGE)
+
+
 def market_snapshot_rows(spark, sf_dir):
     return normalize.market_snapshot_rows(feeds.market_payloads(spark, sf_dir))
 
@@ -641,6 +669,7 @@ QUERIES: Sequence[Query] = (
     bronze_parse, bronze_quarantine, message_completeness, normalize_venue_a, normalize_venue_b, venue_b_rejects,
     venue_a_rejects, venue_a_strict, json_landing,
     venue_union, symbol_map, allowed_symbols, kafka_publish_rows, raw_replay, market_snapshot_rows,
+    payload_drift, payload_readability, drift_replay, curve_lookup,
     global_metrics_rows,
     dedupe_trades, snapshot_upsert, global_metrics_upsert, roundtrip_overwrite, backfill_merge,
     stream_bronze, stream_quarantine, stream_ohlcv, stream_dedupe, stream_feed_health, stream_gold_refresh,

@@ -91,6 +91,46 @@ def test_rank_queue_gives_lowest_rank_and_leftmost_position():
     assert not queue
 
 
+def test_rank_queue_started_at_once_equals_pushes():
+    generator = random.Random(4)
+    for size in (0, 1, 7, 400):
+        pair = [generator.choice([None, generator.randrange(5000), 17, 255, 256]) for _ in range(size)]
+        started, pushed = bpe.RankQueue(5000), bpe.RankQueue(5000)
+        started.start(pair)
+        for position, rank in enumerate(pair):
+            if rank is not None:
+                pushed.push(rank, position)
+        count = sum(rank is not None for rank in pair)
+        assert [started.pop() for _ in range(count)] == [pushed.pop() for _ in range(count)]
+        assert not started and not pushed
+
+
+def test_merges_of_random_vocabularies_equal_plain_merging(tmp_path):
+    generator = random.Random(5)
+    for trial in range(30):
+        tokens_of = [bytes([c]) for c in b"abc"]
+        while len(tokens_of) < 300:
+            token = generator.choice(tokens_of) + generator.choice(tokens_of)
+            if token not in tokens_of:
+                tokens_of.append(token)
+        later = tokens_of[3:]
+        generator.shuffle(later)
+        ranks = {token: rank for rank, token in enumerate(tokens_of[:3] + later)}
+        path = tmp_path / f"{trial}.ranks"
+        path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in ranks.items()))
+        codec = bpe.BytePairEncoder(str(path), r"\S+")
+        for size in (1, 2, 5, 60, 300):
+            data = bytes(generator.choices(b"abc", k=size))
+            parts = [data] if data in ranks else [data[i : i + 1] for i in range(size)]
+            while True:
+                found = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+                if not found:
+                    break
+                _, i = min(found)
+                parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            assert codec.merge(data) == [ranks[part] for part in parts]
+
+
 def test_very_long_piece():
     codec = bpe.byte_pair_encoder(public_tokenizers.path(bpe.RANKS), public_tokenizers.PATTERN)
     text = "abcdefghij" * 20_000

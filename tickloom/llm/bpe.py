@@ -2,8 +2,8 @@
 
 Within a piece of text the pair of lowest rank is merged first, of equal ones the leftmost. The bytes of a piece form a
 linked list; every pair that the vocabulary holds is put into the bucket of its rank as the position of its left part.
-A bitmap marks the ranks whose buckets are not empty, and a few levels of bitmaps above it mark the words that are not
-zero, so that the next rank is found by one find-first-set per level. A merge leaves the entries of its old neighbours
+A bitmap marks the ranks whose buckets are not empty, and one above it marks the words that are not zero, so that the
+next rank is found by one find-first-set per level. A merge leaves the entries of its old neighbours
 where they are: an entry whose rank is no longer that of its position is skipped when met. A piece of n bytes costs
 O(n log n) steps at worst, also when it is very long.
 """
@@ -26,23 +26,22 @@ from tickloom.llm.common import documents_of, id_and_text
 from tickloom.llm.tokens import PieceEncoder
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-_BITS = 256  # of a word of the bitmap: two levels hold all ranks
+_SHIFT = 8  # of a rank to its word of the bitmap: words of 256 bits, and one whose bits stand for the words
+_MASK = (1 << _SHIFT) - 1
 
 
 class RankQueue:
     """Positions by rank: ``push(rank, position)``; ``pop()`` gives the lowest rank and its leftmost position."""
 
+    __slots__ = ("_buckets", "_marks", "top")
+
     def __init__(self, ranks: int) -> None:
-        self._levels = []
-        while True:
-            ranks = -(-ranks // _BITS)
-            self._levels.append([0] * ranks)
-            if ranks <= 1:
-                break
-        self._buckets: dict[int, list[int]] = {}
+        self._buckets: dict[int, list[int]] = {}  # heaps
+        self._marks = [0] * ((ranks >> _SHIFT) + 1)  # a bit per rank whose bucket is not empty
+        self.top = 0  # a bit per word of marks that is not zero
 
     def __bool__(self) -> bool:
-        return self._levels[-1][0] != 0
+        return self.top != 0
 
     def push(self, rank: int, position: int) -> None:
         bucket = self._buckets.get(rank)
@@ -50,28 +49,38 @@ class RankQueue:
             heappush(bucket, position)
             return
         self._buckets[rank] = [position]
-        for words in self._levels:
-            rank, bit = divmod(rank, _BITS)
-            before = words[rank]
-            words[rank] = before | 1 << bit
-            if before:
-                break
+        word = rank >> _SHIFT
+        self._marks[word] |= 1 << (rank & _MASK)
+        self.top |= 1 << word
+
+    def start(self, pair: list[int | None]) -> None:
+        """Push every position that has a rank, into a queue that is empty."""
+        buckets, marks, top = self._buckets, self._marks, 0
+        for position, rank in enumerate(pair):
+            if rank is None:
+                continue
+            if rank in buckets:
+                buckets[rank].append(position)  # positions ascend: still a heap
+            else:
+                buckets[rank] = [position]
+                word = rank >> _SHIFT
+                marks[word] |= 1 << (rank & _MASK)
+                top |= 1 << word
+        self.top = top
 
     def pop(self) -> tuple[int, int]:
-        rank = 0
-        for words in reversed(self._levels):
-            word = words[rank]
-            rank = rank * _BITS + (word & -word).bit_length() - 1
+        lowest = self.top & -self.top
+        word = lowest.bit_length() - 1
+        mark = self._marks[word]
+        bit = mark & -mark
+        rank = word << _SHIFT | bit.bit_length() - 1
         bucket = self._buckets[rank]
         if len(bucket) > 1:
             return rank, heappop(bucket)
         del self._buckets[rank]
-        place = rank
-        for words in self._levels:
-            place, bit = divmod(place, _BITS)
-            words[place] = left = words[place] ^ 1 << bit
-            if left:
-                break
+        self._marks[word] = mark = mark ^ bit
+        if not mark:
+            self.top ^= lowest
         return rank, bucket[0]
 
 
@@ -100,10 +109,8 @@ class BytePairEncoder(PieceEncoder):
         before = list(range(-1, size))
         pair = [rank_of(data[left : left + 2]) for left in range(size)]  # rank of a part with the next one
         pair[size - 1] = None
-        for left, rank in enumerate(pair):
-            if rank is not None:
-                push(rank, left)
-        while queue:
+        queue.start(pair)
+        while queue.top:
             rank, left = pop()
             if pair[left] != rank:
                 continue  # stale

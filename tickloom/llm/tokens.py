@@ -121,16 +121,21 @@ class LibraryEncoder(PieceEncoder):
         self._tokenizer = Tokenizer.from_file(path)
         # between pieces: a token that no piece has. A byte-level piece may only begin with a new line, see ``pieces``
         self._separator = "<|endoftext|>" if by_words else "\n"
-        self._separator_ids = self._tokenizer.encode(self._separator, add_special_tokens=False).ids
+        self._separator_ids = self._ids(self._separator)
+
+    def _ids(self, text: str) -> np.ndarray:
+        """Ids by the call that leaves out the places of the tokens in the text, which takes half the time."""
+        (encoding,) = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(encoding.ids, dtype="<u4")
 
     def whole(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return self._ids(text).tobytes()
 
     def pieces(self, texts: list[str]) -> list[bytes]:
         """One call for all, which the separator keeps apart."""
         (separator,) = self._separator_ids
         joined = self._separator.join([text.removeprefix(self._separator) for text in texts])
-        ids = np.array(self._tokenizer.encode(joined, add_special_tokens=False).ids, dtype="<u4")
+        ids = self._ids(joined)
         cuts = np.flatnonzero(ids == separator).tolist()
         data = ids.tobytes()
         mark = int(separator).to_bytes(4, "little")

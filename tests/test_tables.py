@@ -280,3 +280,16 @@ def test_newest_rows_and_profile(spark, at):
     assert profile.where("NOT is_total").count() == 2
     empty = quality.table_profile(frame.where("false"), "event_time").collect()
     assert [(r.n_rows, r.is_total) for r in empty] == [(0, True)]
+
+
+def test_released_tables_are_gone_and_only_they(spark):
+    frame = spark.range(10)
+    first, second = session.materialize(frame, "step"), session.materialize(frame, "step")
+    path = first.inputFiles()[0].rsplit("/", 1)[0]
+    derived = first.where("id > 3")
+    session.release(derived)  # no table of its own
+    assert derived.count() == 6
+    session.release(first)
+    session.release(first, frame)
+    assert not tables.table_exists(spark, path)
+    assert second.count() == 10

@@ -11,7 +11,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from tickloom.session import materialize
+from tickloom.session import materialize, release
 from tickloom.sources.tables import overwrite_table, read_table
 
 BITS = 16  # of each side of the curve
@@ -76,6 +76,7 @@ def write_along_curve(
     files = max(1, -(-total // rows_per_file))
     laid = _with_curve(rows, cells, symbol, time).repartitionByRange(files, "_curve", time)
     overwrite_table(laid.sortWithinPartitions("_curve", time).drop("_curve"), path)
+    release(cells)
     file_facts(rows.sparkSession, path, symbol, time).write.mode("overwrite").parquet(manifest_path)
 
 

@@ -6,6 +6,7 @@ import functools
 import re
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,4 +68,23 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _STORED[stored] = path
+    return stored
+
+
+_STORED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the tables behind frames that ``materialize`` returned, through the file system that Spark writes with.
+
+    For steps that are done: whatever was derived from such a frame must be stored by then, or it fails when it is read.
+    Frames that ``materialize`` did not return, and those released before, are left as they are.
+    """
+    for frame in frames:
+        written = _STORED.pop(frame, None)
+        if written is not None:
+            spark = frame.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(written)
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -220,12 +221,38 @@ def test_fingerprints_of_odd_rows(odd, odd_rows, no_rows, docs_of):
 
 # ---- passages ---------------------------------------------------------------------------------------------------
 def test_windows_cover_every_run_once():
-    hashes = np.random.default_rng(2).integers(0, 50, 120)
-    windows = passages.compact_windows(hashes, 20)
-    for a in range(120):
-        for b in range(a + 20, 121):
-            inside = [c for f, c, e in windows if f <= a <= c < b <= e]
-            assert inside == [a + int(hashes[a:b].argmin())]
+    hashes = np.random.default_rng(2).integers(0, 50, 240)
+    windows = list(zip(*passages.compact_windows(hashes, np.array([0, 120]), np.array([120, 240]), 20)))
+    for low in (0, 120):
+        for a in range(low, low + 120):
+            for b in range(a + 20, low + 121):
+                inside = [c for f, c, e in windows if f <= a <= c < b <= e]
+                assert inside[0] == a + int(hashes[a:b].argmin()) and len({hashes[c] for c in inside}) == 1
+
+
+def test_words_are_hashed_as_they_are_cut(monkeypatch):
+    """Equal hashes for equal words and for them alone, whatever the blocks; texts that touch, and empty ones."""
+    texts = ["", "Ab ab\tAB  x", "x", " ", "é É ab", "", "a" * 300 + " b", "long " * 50, "İx ſ\x00 \x1c y\x0b\x0cz\r\n"]
+    monkeypatch.setattr(passages, "_BLOCK", 16)
+    array = pa.array(["skipped", *texts]).slice(1)
+    hashes, offsets = passages.hashed_words(array)
+    found = [word for text in texts for word in text.encode().lower().split()]
+    assert np.diff(offsets).tolist() == [len(text.encode().split()) for text in texts]
+    assert len(set(zip(found, hashes.tolist()))) == len(set(found)) == len(set(hashes.tolist()))
+
+
+def test_cells_hold_the_least_shingles_of_their_runs():
+    """Each run of the least length lies in one cell a pair of functions, and equal runs have equal cells."""
+    generator = random.Random(5)
+    texts = [" ".join(f"w{generator.randrange(40)}" for _ in range(n)) for n in (49, 50, 200, 0, 131)]
+    texts += ["same line again " * 60, texts[2]]
+    hashes, offsets = passages.hashed_words(pa.array(texts))
+    bucket, text, first, end = passages.cells(hashes, offsets)
+    by_text = [{(b, f, e) for b, t, f, e in zip(bucket, text, first, end) if t == i} for i in range(len(texts))]
+    assert not by_text[0] and not by_text[3] and by_text[2] == by_text[6] and len(by_text[1]) == passages.PAIRS
+    marked = sorted((f, e) for b, f, e in by_text[2] if b & np.uint64(1))
+    assert [f for f, e in marked] == [0] + [e - 45 for f, e in marked[:-1]] and marked[-1][1] == 196
+    assert all(e < 0 for b, f, e in by_text[5])
 
 
 def exact_repeats(docs, size=50):
@@ -317,10 +344,10 @@ def test_near_passages_in_short_documents_are_candidates():
         near = list(passage)
         for k in generator.sample(range(length), edits):
             near[k] = next(fresh)
-        found = [passages.bucket_keys(" ".join([next(fresh) for _ in range(around)] + t))[0] for t in (passage, near)]
-        a, b = (set(keys[keys & np.uint64(1) == 0].tolist()) for keys in found)
-        missed += len(a & b) < passages.ENOUGH
-    assert missed <= 6  # 1%
+        texts = pa.array([" ".join([next(fresh) for _ in range(around)] + t) for t in (passage, near)])
+        bucket, text, *_ = passages.cells(*passages.hashed_words(texts))
+        missed += not set(bucket[text == 0].tolist()) & set(bucket[text == 1].tolist())
+    assert missed <= 18  # 3%
 
 
 def test_texts_of_one_id_that_share_a_passage(docs_of):

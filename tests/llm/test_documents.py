@@ -350,6 +350,23 @@ def test_near_passages_in_short_documents_are_candidates():
     assert missed <= 18  # 3%
 
 
+def test_variants_of_variants_and_sources_full_of_fragments(docs_of):
+    """C is like B, which is like A, but C is not like A; and a source that holds pieces of a passage many times."""
+    rows, missed = [], 0
+    for i in range(40):
+        a = [f"p{i}w{k}" for k in range(55)]
+        b = a[:18] + ["once"] + a[19:]
+        c = b[:36] + ["twice"] + b[37:]
+        rows += [(10 * i + k, f"q{i}k{k} " * 6 + " ".join(t) + f" r{i}k{k}" * 6) for k, t in enumerate((a, b, c))]
+    passage = [f"z{k}" for k in range(60)]
+    pieces = " ".join(" ".join([*passage[20:44], f"n{k}"]) for k in range(60))
+    rows += [(1000, pieces + " " + " ".join(passage)), (1001, "own words " + " ".join([*passage[:9], "x", *passage[10:]]))]
+    found = marked(passages.repeated_passages(docs_of(rows)).collect(), rows)
+    for i in range(40):
+        missed += sum(found[10 * i + 2][6:61]) < 50
+    assert missed <= 4 and sum(found[1001]) >= 55
+
+
 def test_texts_of_one_id_that_share_a_passage(docs_of):
     passage = words(0, 70)
     rows = [(5, f"one {passage} two"), (5, f"three {passage} four"), (6, "clean")]

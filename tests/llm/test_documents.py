@@ -5,6 +5,7 @@ import random
 import time
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -150,6 +151,31 @@ def test_a_repeated_id_whose_second_text_has_a_near_copy(docs_of):
     assert len(found) == 4 and {row.doc_id: row.component_id for row in found} == groups(rows) == {5: 2, 3: 2, 2: 2}
 
 
+def test_texts_edited_too_much_meet_by_what_they_can_share(docs_of):
+    random = np.random.default_rng(3)
+    texts = []
+    for i in range(120):
+        kept = np.sort(random.permutation(140)[10:])
+        texts.append([WORDS[j] for j in kept])
+        if i % 10 == 0:
+            texts.append(texts[-1][:-2])
+    texts.append(texts[5][:100])  # a short one lets all others meet by more of their shingles
+    docs = docs_of([(i, " ".join(text)) for i, text in enumerate(texts)])
+    sets = [frozenset(minhash.shingle_set(" ".join(text)).tolist()) for text in texts]
+    rows = [(i, 1, len(s), len(s), min(map(len, sets)), 1) for i, s in enumerate(sets)]
+    members = docs.sparkSession.createDataFrame(rows, "node long, weight long, n long, common long, least long, texts long")
+    by_bucket = {}
+    for row in minhash._by_rare_shingles(members, docs, minhash.PERCENT).collect():
+        by_bucket.setdefault(row["bucket"], []).append(row)
+    met = [
+        (a["node"], b["node"]) for rows in by_bucket.values() for a, b in combinations(sorted(rows, key=lambda r: r["node"]), 2)
+        if 175 * min(a["common"], b["common"]) >= 75 * (a["n"] + b["n"])
+    ]
+    linked = {(a, b) for a, b in combinations(range(len(sets)), 2) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert len(linked) >= 12 and linked <= set(met)
+    assert len(met) < 5000  # 10,353 where only the shortest text of a bucket bounds them
+
+
 def test_bounds_keep_pairs_at_the_threshold():
     bounds = minhash.least_matches(200)
     assert list(bounds) == sorted(bounds) and bounds[-1] < 150

@@ -376,6 +376,30 @@ def test_near_passages_in_short_documents_are_candidates():
     assert missed <= 18  # 3%
 
 
+def test_texts_are_sent_once_to_a_square_of_pairs(docs_of):
+    docs = docs_of([(i, words(i, 60)) for i in range(60)])
+    all_pairs = {(a, b) for a in range(60) for b in range(a + 1, 60)}
+    pairs = docs.sparkSession.createDataFrame([(a, b, [(0, 1, 0, 1)]) for a, b in all_pairs], (
+        "lead long, doc_id long, cells array<struct<first: int, end: int, lead_first: int, lead_end: int>>"
+    ))
+    rows = passages.in_squares(docs, pairs, 4).collect()
+    leads, others = [[r for r in rows if (r.leads is None) is lead] for lead in (True, False)]
+    assert len(rows) <= 60 * 8 < len(all_pairs)
+    assert sorted((p.lead, r.doc_id) for r in others for p in r.leads) == sorted(all_pairs)
+    there = {(r.square, r.doc_id) for r in leads}
+    assert len(there) == len(leads) and there == {(r.square, p.lead) for r in others for p in r.leads}
+
+
+def test_too_few_equal_shingles_for_any_passage():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        same = rng.random(rng.integers(1, 90)) < rng.uniform(0.4, 0.9)
+        place = int(rng.integers(len(same)))
+        spans = [(s, e) for s in range(len(same)) for e in range(s + 46, len(same) + 1) if 100 * same[s:e].sum() >= 75 * (e - s)]
+        assert passages._dense(same, 46, 75) == bool(spans)
+        assert passages._dense(same, 46, 75, place) == any(s <= place < e + 4 for s, e in spans)
+
+
 def test_variants_of_variants_and_sources_full_of_fragments(docs_of):
     """C is like B, which is like A, but C is not like A; and a source that holds pieces of a passage many times."""
     rows, missed = [], 0

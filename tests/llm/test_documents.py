@@ -390,6 +390,30 @@ def test_texts_are_sent_once_to_a_square_of_pairs(docs_of):
     assert len(there) == len(leads) and there == {(r.square, p.lead) for r in others for p in r.leads}
 
 
+def test_documents_of_one_bucket_meet_in_few_squares(docs_of):
+    docs = docs_of([(i, words(i, 60)) for i in range(200)])
+    all_pairs = {(a, b) for a in range(200) for b in range(a + 1, 200) if a // 20 == b // 20}
+    pairs = docs.sparkSession.createDataFrame([(a, b, [(0, 1, 0, 1)]) for a, b in all_pairs], (
+        "lead long, doc_id long, cells array<struct<first: int, end: int, lead_first: int, lead_end: int>>"
+    ))
+    rows = passages.in_squares(docs, pairs, 16).collect()
+    assert sorted((p.lead, r.doc_id) for r in rows if r.leads for p in r.leads) == sorted(all_pairs)
+    assert len(rows) == 2 * (200 - 10)
+
+
+def test_a_word_that_goes_on_in_both_is_aligned_only_where_a_passage_can_be(monkeypatch):
+    calls, aligned = [], passages._Alignment._passages
+    monkeypatch.setattr(passages._Alignment, "_passages", lambda self, *of: calls.append(of) or aligned(self, *of))
+
+    def shared(text, source):
+        return passages.shared_passages(*(passages.hashed_words(pa.array([t]))[0] for t in (text, source)))
+
+    short, long = "the " * 47, "the " * 300
+    assert shared(long, f"{words(0, 80)} {short} {words(100, 80)}") == [] and not calls
+    assert shared(f"{words(0, 80)} {short} {words(100, 80)}", long) == [] and not calls
+    assert shared(f"{words(200, 20)} {long}", f"{long} {words(300, 20)}")[0][:2] == (20, 320)
+
+
 def test_too_few_equal_shingles_for_any_passage():
     rng = np.random.default_rng(5)
     for _ in range(300):

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -293,3 +294,20 @@ def test_released_tables_are_gone_and_only_they(spark):
     session.release(first, frame)
     assert not tables.table_exists(spark, path)
     assert second.count() == 10
+
+
+def test_what_was_shuffled_for_a_stored_table_is_deleted(spark):
+    def shuffled():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        names = (str(blocks.apply(i)) for i in range(blocks.size()))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(session._CLEANUP, None)
+    stored = session.materialize(spark.range(1000).repartition(3, "id"), "step")
+    for _ in range(50):  # files go a little later
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and stored.count() == 1000
+    assert spark.conf.get(session._CLEANUP, None) == setting

@@ -401,6 +401,41 @@ def test_documents_of_one_bucket_meet_in_few_squares(docs_of):
     assert len(rows) == 2 * (200 - 10)
 
 
+def test_texts_that_go_to_many_squares_are_sent_in_turns(docs_of, monkeypatch):
+    rows = [(i, words(i * 60, 60) + " " + words(3900, 60)) for i in range(40)]
+    docs, sent, rows_by = docs_of(rows), [], passages.texts_in_squares
+    met = docs.sparkSession.createDataFrame(
+        [(a, b, 60, 116, 60, 116) for a in range(40) for b in range(a + 1, 40)],
+        "lead long, doc_id long, first int, end int, lead_first int, lead_end int",
+    )
+
+    def counted(docs, placed):
+        sent.append(sum(len(r.text) for r in rows_by(docs, placed).collect()))
+        return rows_by(docs, placed)
+
+    monkeypatch.setattr(passages, "texts_in_squares", counted)
+    monkeypatch.setattr(passages, "GROUP", 4)
+    room, found = sum(len(t) for _, t in rows), []
+    for most in (room, 100 * room):
+        sent.clear()
+        turns = passages._compared(docs, met, most, 50, 75)
+        found.append(sorted(tuple(r) for turn in turns for r in turn.collect()))
+        assert len(turns) == len(sent) == -(-sum(sent) // most) and max(sent) < 2 * most and sum(sent) > 2 * room
+    assert found[0] == found[1] and len(found[0]) == 40 * 39 // 2
+
+
+def test_passages_found_in_turns(docs_of, monkeypatch):
+    rows = [(i, words(i * 60, 30) + " " + words(3000 + i % 2 * 10, 70)) for i in range(8)]
+    docs = docs_of(rows)
+    whole = sorted(map(tuple, passages.repeated_passages(docs).collect()))
+    names, store = [], passages.materialize
+    monkeypatch.setattr(passages, "room_of", lambda docs: 3000)
+    monkeypatch.setattr(passages, "materialize", lambda df, name: names.append(name) or store(df, name))
+    assert sorted(map(tuple, passages.repeated_passages(docs).collect())) == whole and len(whole) >= 7
+    assert names.count("passage-diagonals") > 1 and names.count("passage-pairs") > names.count("passage-rest")
+    assert names.count("passages-across") > names.count("passage-pairs")
+
+
 def test_a_word_that_goes_on_in_both_is_aligned_only_where_a_passage_can_be(monkeypatch):
     calls, aligned = [], passages._Alignment._passages
     monkeypatch.setattr(passages._Alignment, "_passages", lambda self, *of: calls.append(of) or aligned(self, *of))
